@@ -408,12 +408,12 @@ _UUID = (
     "substr(md5(CAST(event_id AS VARCHAR)), 13, 4), substr(md5(CAST(event_id AS VARCHAR)), 17, 4), "
     "substr(md5(CAST(event_id AS VARCHAR)), 21, 12))"
 )
-_PAYLOAD = f"""'{{"uuid":"' || {_UUID} || '","timestamp":' || epoch_ms(ts) || '}}'"""
+_PAYLOAD = f"""'{{"uuid":"' || {_UUID} || '","timestamp":' || (epoch_us(ts) // 1000) || '}}'"""
 _RECORDS = f"""
 records AS (
-    SELECT {_UUID} AS uuid, epoch_ms(ts) AS timestamp, 'events' AS kafka_topic,
+    SELECT {_UUID} AS uuid, (epoch_us(ts) // 1000) AS timestamp, 'events' AS kafka_topic,
            CAST(event_id % 10 AS INTEGER) AS kafka_partition, event_id // 10 AS kafka_offset,
-           epoch_ms(ts) // 86400000 AS checkpoint_id, event_type, ts,
+           (epoch_us(ts) // 1000) // 86400000 AS checkpoint_id, event_type, ts,
            CASE WHEN (event_id // 10) % 10 = 0 THEN 'dropped' ELSE 'output' END AS sink
     FROM events
 )"""
@@ -495,7 +495,7 @@ damaged AS (
            CASE event_type WHEN 'error' THEN 'undecodable' WHEN 'signup' THEN 'null value'
                 WHEN 'click' THEN 'no uuid' WHEN 'purchase' THEN 'no timestamp' ELSE 'usable' END AS reason,
            CASE event_type WHEN 'error' THEN substr({_PAYLOAD}, 1, 20) WHEN 'signup' THEN NULL
-                WHEN 'click' THEN '{{"timestamp":' || epoch_ms(ts) || '}}'
+                WHEN 'click' THEN '{{"timestamp":' || (epoch_us(ts) // 1000) || '}}'
                 WHEN 'purchase' THEN '{{"uuid":"' || {_UUID} || '"}}' ELSE {_PAYLOAD} END AS value
     FROM events
 )"""
@@ -514,7 +514,7 @@ def oracle_sql() -> dict[str, str]:
     cases = " UNION ALL ".join(_verdict_sql(case, rows, *_COORDINATES) for case, rows in _VERDICT_CASES.items())
     return {
         "log_records": f"""SELECT 'events' AS topic, CAST(event_id % 10 AS INTEGER) AS partition,
-            event_id // 10 AS "offset", epoch_ms(ts) AS log_ms, {_PAYLOAD} AS value FROM events""",
+            event_id // 10 AS "offset", (epoch_us(ts) // 1000) AS log_ms, {_PAYLOAD} AS value FROM events""",
         "enrich_events": f"WITH {_RECORDS} SELECT {_ENRICHED} FROM records",
         "decode_props": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
         "malformed_split": f"WITH {_DAMAGED} SELECT reason, count(*) AS messages FROM damaged GROUP BY reason",
