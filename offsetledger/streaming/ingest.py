@@ -32,6 +32,8 @@ SINKS = (OUTPUT, DROPPED, QUARANTINED)
 PARTITION_COLUMNS = (*BUCKET_COLUMNS, *BATCH_COLUMNS)
 # The last millisecond of the year 9999.
 LAST_BUCKET_MS = 253_402_300_799_999
+# A bucket with no more rows than this is written by one task.
+MAX_ROWS_PER_TASK = 1_000_000
 # Up to this many buckets of a batch are listed by name; with more, by one glob.
 MAX_NAMED_BUCKETS = 1_000
 
@@ -103,14 +105,18 @@ def process_batch(
     batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         most = len(SINKS) * MAX_NAMED_BUCKETS
-        counted = batch.groupBy("sink", *BUCKET_COLUMNS).agg(F.min("committed_ms").alias("committed_ms"))
+        counted = batch.groupBy("sink", *BUCKET_COLUMNS).agg(
+            F.min("committed_ms").alias("committed_ms"), F.count("*").alias("rows")
+        )
         found = counted.limit(most + 1).collect()
         complete = len(found) <= most
         for sink, path in paths.tables().items():
             mine = [row for row in found if row.sink == sink]
             if complete and not mine:
                 continue
-            write_bucketed(_sink_table(batch, sink, run_id, batch_id, bucket_by), path)
+            table = _sink_table(batch, sink, run_id, batch_id)
+            largest = max((row.rows for row in mine), default=0) if complete else None
+            write_bucketed(_gathered(table, sink, bucket_by, len(mine), largest), path)
             names = ["/".join(f"{name}={row[name]}" for name in BUCKET_COLUMNS) for row in mine]
             leaves = batch_paths(path, names if complete else None, run_id, batch_id)
             files = list_files_at(batch.sparkSession, leaves)
@@ -121,18 +127,26 @@ def process_batch(
         batch.unpersist()
 
 
-def _sink_table(batch: DataFrame, sink: str, run_id: str, batch_id: int, bucket_by: str) -> DataFrame:
+def _sink_table(batch: DataFrame, sink: str, run_id: str, batch_id: int) -> DataFrame:
     rows = batch.filter(F.col("sink") == sink)
     shape = quarantine if sink == QUARANTINED else enrich
     table = shape(rows, batch_id, BUCKET_COLUMNS)
-    table = table.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("long")})
+    return table.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("long")})
+
+
+def _gathered(table: DataFrame, sink: str, bucket_by: str, buckets: int, largest: int | None) -> DataFrame:
+    """Bring rows that share a directory together, where that saves files.
+
+    By processing time a batch has one bucket: its main rows stay where they were read,
+    the thin side tables are gathered. By event time rows meet by bucket; one task per
+    bucket while all are small, else rebalancing, which splits the hot ones.
+    """
     if bucket_by == "event":
-        # Rows of one bucket meet before writing; a hot bucket is still split over tasks.
+        if largest is not None and largest <= MAX_ROWS_PER_TASK:
+            tasks = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            return table.repartition(max(1, min(buckets, tasks)), *BUCKET_COLUMNS)
         return table.hint("rebalance", *BUCKET_COLUMNS)
-    if sink != OUTPUT:
-        # The side tables are thin: gather them into few files.
-        return table.hint("rebalance")
-    return table
+    return table if sink == OUTPUT else table.hint("rebalance")
 
 
 def run_ingest(
