@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offsetledger.functions.paths import sink_prefix
-from offsetledger.functions.timecols import bucket_columns
+from offsetledger.functions.timecols import bucket_columns, epoch_millis
 from offsetledger.operators.offsets import (
     first_gaps,
     offset_gaps,
@@ -39,7 +39,6 @@ from offsetledger.operators.selection import (
     select_paths,
     stale,
 )
-from offsetledger.plans.audit import select_log
 from offsetledger.plans.views import coordinates_view, hourly_commit_log, log_view
 from offsetledger.schemas import ENRICHED, PARTITIONS
 from offsetledger.session import work_dir
@@ -87,7 +86,10 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return route(coordinates_view(_table(spark, sf_dir, "events"), "event_id", F.lit("events")))
+    """Routed log coordinates with the event's time, without the payload's way through JSON."""
+    events = _table(spark, sf_dir, "events")
+    kept = (epoch_millis(events, "ts").alias("timestamp"), F.col("event_type"))
+    return route(coordinates_view(events, "event_id", F.lit("events"), keep=kept))
 
 
 def _sink(df: DataFrame, name: str) -> DataFrame:
@@ -95,22 +97,20 @@ def _sink(df: DataFrame, name: str) -> DataFrame:
 
 
 def _hourly_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify_source(hourly_commit_log(_records(spark, sf_dir)))
+    return classify_source(hourly_commit_log(_coordinates(spark, sf_dir)))
 
 
 def _repeated_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hourly log with the files of hours that saw an error logged a second time."""
-    events = _table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
-    usable, _ = split_malformed(decode(log_view(events, "events", "event_id", "ts")))
-    again = hourly_commit_log(route(enrich(usable, 0)))
-    return classify_source(hourly_commit_log(_records(spark, sf_dir)).unionByName(again))
+    records = _coordinates(spark, sf_dir)
+    again = records.filter(F.col("event_type") == "error")
+    return classify_source(hourly_commit_log(records).unionByName(hourly_commit_log(again)))
 
 
 def _purchase_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As existing files: those of hours whose records of that sink hold a purchase."""
-    events = _table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
-    usable, _ = split_malformed(decode(log_view(events, "events", "event_id", "ts")))
-    return distinct_keys(hourly_commit_log(route(enrich(usable, 0))))
+    purchases = _coordinates(spark, sf_dir).filter(F.col("event_type") == "purchase")
+    return distinct_keys(hourly_commit_log(purchases))
 
 
 # --- records ------------------------------------------------------------------------
@@ -165,7 +165,7 @@ def sink_prefixes(spark, sf_dir):
 
 def bucket_counts(spark, sf_dir):
     buckets = [col.alias(name) for name, col in bucket_columns(F.col("timestamp")).items()]
-    return _records(spark, sf_dir).groupBy("sink", *buckets).agg(F.count("*").alias("records"))
+    return _coordinates(spark, sf_dir).groupBy("sink", *buckets).agg(F.count("*").alias("records"))
 
 
 def round_robin(spark, sf_dir):

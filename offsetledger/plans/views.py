@@ -42,12 +42,15 @@ def log_view(
     )
 
 
-def coordinates_view(df: DataFrame, identity: str, topic: Column, partitions: int = 10) -> DataFrame:
-    """Only the log coordinates of `log_view`."""
+def coordinates_view(
+    df: DataFrame, identity: str, topic: Column, partitions: int = 10, keep: tuple[Column, ...] = ()
+) -> DataFrame:
+    """Only the log coordinates of `log_view`, then `keep`."""
     return df.select(
         topic.alias("kafka_topic"),
         (F.col(identity) % partitions).cast("int").alias("kafka_partition"),
         F.expr(f"{identity} div {partitions}").alias("kafka_offset"),
+        *keep,
     )
 
 
