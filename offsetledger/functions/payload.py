@@ -40,11 +40,11 @@ def encode_payload(uuid: Column, millis: Column, fmt: str = "json") -> Column:
     raise ValueError(f"unknown payload format {fmt!r}")
 
 
-def malformed_reason(value: Column, payload: Column) -> Column:
+def malformed_reason(value: Column, uuid: Column, timestamp: Column) -> Column:
     """Why a message cannot be used; null when it can."""
     return (
         F.when(value.isNull(), "null value")
-        .when(payload.isNull() | (payload["uuid"].isNull() & payload["timestamp"].isNull()), "undecodable")
-        .when(payload["uuid"].isNull(), "no uuid")
-        .when(payload["timestamp"].isNull(), "no timestamp")
+        .when(uuid.isNull() & timestamp.isNull(), "undecodable")
+        .when(uuid.isNull(), "no uuid")
+        .when(timestamp.isNull(), "no timestamp")
     )

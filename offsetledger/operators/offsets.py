@@ -155,12 +155,15 @@ def offset_verdict(summary: DataFrame, log: DataFrame | None = None) -> DataFram
     duplicates only, else PASS. `entries` counts the log's entries or, without a log, the
     summarized keys.
     """
-    zero = F.lit(0).cast("long")
-    counted = (summary if log is None else log).select(
-        zero.alias("missing_offsets"), zero.alias("duplicate_offsets"), F.lit(1).cast("long").alias("entries")
-    )
-    measured = summary.select("missing_offsets", "duplicate_offsets", zero.alias("entries"))
-    totals = measured.unionAll(counted).agg(
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    counted = one if log is None else zero
+    measured = summary.select("missing_offsets", "duplicate_offsets", counted.alias("entries"))
+    if log is not None:
+        entries = log.select(
+            zero.alias("missing_offsets"), zero.alias("duplicate_offsets"), one.alias("entries")
+        )
+        measured = measured.unionAll(entries)
+    totals = measured.agg(
         *[
             F.coalesce(F.sum(name), zero).alias(alias)
             for name, alias in (

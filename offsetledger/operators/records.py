@@ -23,19 +23,23 @@ def decode(log: DataFrame, fmt: str = "json") -> DataFrame:
 
     `reason` says why a message is unusable; it is null for the good ones. The log's own
     timestamp is kept as `log_timestamp`, `timestamp` is the payload's.
+
+    The payload passes through `inline`, below which no filter is pushed: a filter on its
+    fields would otherwise parse every message again for each mention.
     """
-    read = log.withColumn("_payload", decode_payload(F.col("value"), fmt))
+    named = log.withColumnRenamed("timestamp", "log_timestamp")
+    read = named.select("*", F.inline(F.array(decode_payload(F.col("value"), fmt))))
     return read.select(
-        F.col("_payload.uuid").alias("uuid"),
-        F.col("_payload.timestamp").alias("timestamp"),
+        "uuid",
+        "timestamp",
         F.col("topic").alias("kafka_topic"),
         F.col("partition").cast("int").alias("kafka_partition"),
         F.col("offset").cast("long").alias("kafka_offset"),
-        F.col("key"),
-        F.col("value"),
-        F.col("timestamp").alias("log_timestamp"),
-        F.col("timestampType"),
-        malformed_reason(F.col("value"), F.col("_payload")).alias("reason"),
+        "key",
+        "value",
+        "log_timestamp",
+        "timestampType",
+        malformed_reason(F.col("value"), F.col("uuid"), F.col("timestamp")).alias("reason"),
     )
 
 
