@@ -41,6 +41,8 @@ def _parser() -> argparse.ArgumentParser:
     _setting(ingest, "--topic", "KAFKA_TOPIC", "events")
     _setting(ingest, "--security-protocol", "KAFKA_SECURITY_PROTOCOL", "PLAINTEXT")
     ingest.add_argument("--group-id", default=os.environ.get("KAFKA_GROUP_ID"))
+    ingest.add_argument("--min-partitions", type=int, help="tasks per batch; splits large log partitions")
+    ingest.add_argument("--max-offsets", type=int, help="most messages per batch")
     ingest.add_argument("--log-table", help="read a Parquet copy of the log instead of a topic")
     _setting(ingest, "--output", "OUTPUT_PATH")
     _setting(ingest, "--dropped", "DROPPED_PATH")
@@ -80,7 +82,12 @@ def main(argv: list[str] | None = None) -> int:
         log = read_log_table(spark, args.log_table)
     else:
         options = kafka_options(
-            args.servers, args.topic, security_protocol=args.security_protocol, group_id=args.group_id
+            args.servers,
+            args.topic,
+            security_protocol=args.security_protocol,
+            group_id=args.group_id,
+            min_partitions=args.min_partitions,
+            max_offsets_per_trigger=args.max_offsets,
         )
         log = read_log(spark, options)
     query = run_ingest(

@@ -19,23 +19,18 @@ def decode_payload(value: Column, fmt: str = "json") -> Column:
     if fmt == "avro":
         from pyspark.sql.avro.functions import from_avro
 
-        decoded = from_avro(value, PAYLOAD_AVRO, {"mode": "PERMISSIVE"})
-        fields = F.struct(decoded["uuid"].alias("uuid"), F.unix_millis(decoded["timestamp"]).alias("timestamp"))
-        return F.when(decoded.isNotNull(), fields)
+        return from_avro(value, PAYLOAD_AVRO, {"mode": "PERMISSIVE"})
     raise ValueError(f"unknown payload format {fmt!r}")
 
 
 def encode_payload(uuid: Column, millis: Column, fmt: str = "json") -> Column:
     """`(uuid, timestamp)` to bytes."""
+    fields = F.struct(uuid.alias("uuid"), millis.alias("timestamp"))
     if fmt == "json":
-        return F.to_json(F.struct(uuid.alias("uuid"), millis.alias("timestamp"))).cast("binary")
+        return F.to_json(fields).cast("binary")
     if fmt == "avro":
         from pyspark.sql.avro.functions import to_avro
 
-        fields = F.struct(
-            F.coalesce(uuid, F.lit("")).alias("uuid"),
-            F.timestamp_millis(F.coalesce(millis, F.lit(0))).alias("timestamp"),
-        )
         return F.when(uuid.isNotNull() & millis.isNotNull(), to_avro(fields, PAYLOAD_AVRO))
     raise ValueError(f"unknown payload format {fmt!r}")
 

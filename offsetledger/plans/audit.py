@@ -19,7 +19,7 @@ from offsetledger.operators.offsets import (
 )
 from offsetledger.operators.selection import AUDITED, entry_counts, select_minutes, stale
 from offsetledger.sources.commit_log import read_commit_log
-from offsetledger.sources.data_files import data_globs, list_files, read_committed
+from offsetledger.sources.data_files import data_globs, list_files, read_committed, unread_entries
 
 # Rows of the per-key summary that a text report shows; the frame itself is whole.
 REPORTED_KEYS = 1_000
@@ -36,6 +36,8 @@ class Audit:
     words: DataFrame
     summary: DataFrame
     verdict: DataFrame
+    # Entries that gave no row; only a tolerant audit can have them.
+    unread: DataFrame | None = None
 
     def gaps(self, limit: int | None = None) -> DataFrame:
         gaps = gaps_of_words(self.words, self.keys)
@@ -101,6 +103,7 @@ def audit_offsets(
         words=words,
         summary=summary,
         verdict=offset_verdict(summary, log),
+        unread=None if strict else unread_entries(spark, log, roots=roots),
     )
 
 
@@ -115,6 +118,9 @@ def render_report(audit: Audit) -> tuple[str, int]:
     lost = audit.stale.count()
     if lost:
         lines.append(f"WARNING: {lost} log entries name files that do not exist")
+    unread = 0 if audit.unread is None else audit.unread.count()
+    if unread:
+        lines.append(f"WARNING: {unread} log entries name files that gave no rows")
     lines += ["", *_table(audit.summary.orderBy(*audit.keys), REPORTED_KEYS), ""]
     if result.status == "FAIL":
         lines += [f"FAIL: {result.total_missing} missing offset(s)", ""]

@@ -17,7 +17,7 @@ from offsetledger.functions.paths import (
     one_of,
     table_root,
 )
-from offsetledger.schemas import BUCKET_COLUMNS, COORDINATES
+from offsetledger.schemas import BUCKET_COLUMNS, COORDINATES, ENRICHED, PARTITIONS
 
 # More table roots than this in one log means the keys are no bucketed tables.
 MAX_ROOTS = 100
@@ -88,6 +88,11 @@ def list_files(spark: SparkSession, globs: list[str]) -> DataFrame:
     return reduce(DataFrame.unionAll, [list_files_at(spark, [glob]) for glob in globs] or [spark.createDataFrame([], LISTING)])
 
 
+def read_table(spark: SparkSession, path: str, schema: StructType = ENRICHED) -> DataFrame:
+    """A whole bucketed table with its directory levels as columns, zero padding kept."""
+    return spark.read.schema(StructType(schema.fields + PARTITIONS.fields)).parquet(path)
+
+
 def read_committed(
     spark: SparkSession,
     log: DataFrame,
@@ -95,11 +100,14 @@ def read_committed(
     *,
     roots: list[str] | None = None,
     strict: bool = True,
+    with_file: bool = False,
     max_literal_keys: int = MAX_LITERAL_KEYS,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows of the existing files named in the log, each file once; columns of `schema`.
 
+    `with_file` adds `file_path`.
+
     The log is resolved against the listing first, so the row scan compares nothing but
     `_metadata.file_path`. Few files become literals and prune the scan while planning; a
     longer list is broadcast after its size was summed; beyond that it is a shuffled
@@ -112,24 +120,40 @@ def read_committed(
     if not strict:
         reader = reader.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
     scans = [frame for frame in (_existing(reader.parquet, glob) for glob in globs) if frame is not None]
+    file = F.col("_metadata.file_path").alias("file_path")
     if not scans:
-        return spark.createDataFrame([], schema)
+        empty = spark.createDataFrame([], schema)
+        return empty.withColumn("file_path", F.lit("")) if with_file else empty
     columns = [F.col(name) for name in schema.names]
 
     few = wanted.limit(max_literal_keys + 1).collect()
     if len(few) <= max_literal_keys:
         names = [row.file_path for row in few]
-        picked = [frame.filter(F.col("_metadata.file_path").isin(names)) for frame in scans]
-        return reduce(DataFrame.unionAll, [frame.select(*columns) for frame in picked])
+        shown = [*columns, file] if with_file else columns
+        picked = [frame.filter(F.col("_metadata.file_path").isin(names)).select(*shown) for frame in scans]
+        return reduce(DataFrame.unionAll, picked)
 
-    rows = reduce(
-        DataFrame.unionAll,
-        [frame.select(*columns, F.col("_metadata.file_path").alias("_file")) for frame in scans],
-    )
+    rows = reduce(DataFrame.unionAll, [frame.select(*columns, file) for frame in scans])
     size = wanted.agg(F.sum(F.octet_length("file_path") + 64).alias("bytes")).first().bytes
     names = F.broadcast(wanted) if size <= max_broadcast_bytes else wanted
-    kept = rows.join(names, rows["_file"] == names["file_path"], "left_semi")
-    return kept.select(*columns)
+    kept = rows.join(names, "file_path", "left_semi")
+    return kept.select(*schema.names, *(["file_path"] if with_file else []))
+
+
+def unread_entries(
+    spark: SparkSession, log: DataFrame, column: str = "kafka_offset", roots: list[str] | None = None
+) -> DataFrame:
+    """Entries whose existing file gave no row: unreadable, or empty.
+
+    Reads one column of the logged files, tolerating the broken ones.
+    """
+    field = COORDINATES[column]
+    rows = read_committed(spark, log, StructType([field]), roots=roots, strict=False, with_file=True)
+    read = rows.groupBy("file_path").agg(F.count(column).alias("rows")).filter("rows > 0")
+    live = list_files(spark, data_globs(log, roots))
+    silent = live.join(read, "file_path", "left_anti").select(F.col("s3_key").alias("_key"))
+    keyed = log.withColumn("_key", normalize_path(F.col("s3_key")))
+    return keyed.join(silent, "_key", "left_semi").select(*log.columns)
 
 
 def committed_files(log: DataFrame, files: DataFrame) -> DataFrame:

@@ -117,6 +117,24 @@ def test_unreadable_files_fail_unless_tolerated(spark, tables, log):
         D.read_committed(spark, logged).agg(F.sum("kafka_offset")).collect()
     rows = D.read_committed(spark, logged, strict=False)
     assert rows.agg(F.count("kafka_offset")).first()[0] == 470
+    assert [row.s3_key for row in D.unread_entries(spark, logged).collect()] == [f"file:{damaged}"]
+
+
+def test_readable_files_are_not_reported(spark, log):
+    assert D.unread_entries(spark, log).count() == 0
+    assert D.unread_entries(spark, log.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("limits", WAYS)
+def test_rows_with_their_file(spark, log, limits):
+    rows = D.read_committed(spark, day_one(log), with_file=True, **limits)
+    assert rows.columns[-1] == "file_path"
+    assert rows.select("file_path").distinct().count() == 24
+
+
+def test_whole_table_keeps_its_zero_padding(spark, tables):
+    row = D.read_table(spark, str(tables / "output")).select("year", "month", "day").first()
+    assert (row.year, row.month) == ("2026", "03") and row.day in ("01", "02")
 
 
 def test_other_errors_are_not_swallowed(spark):
