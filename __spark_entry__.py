@@ -44,6 +44,7 @@ from offsetledger.schemas import ENRICHED, PARTITIONS
 from offsetledger.session import work_dir
 from offsetledger.sources.commit_log import read_commit_log
 from offsetledger.sources.data_files import read_committed
+from offsetledger.sources.log import read_log_table
 from offsetledger.streaming.ingest import IngestPaths, run_ingest
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -312,7 +313,7 @@ def _ingest(spark: SparkSession, sf_dir: str, bucket_by: str) -> IngestPaths:
     paths = IngestPaths(f"{base}/output", f"{base}/dropped", f"{base}/commit-log", f"{base}/quarantine")
     schema = _table(spark, sf_dir, "events").schema
     # The glob admits a single file as well as a directory of files.
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+    events = read_log_table(spark, f"{sf_dir}/events.parquet*", schema=schema)
     query = run_ingest(
         log_view(events, "events", "event_id", "ts"),
         paths,

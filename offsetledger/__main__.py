@@ -1,7 +1,7 @@
-"""Command line: `python -m offsetledger audit …`, `python -m offsetledger ingest …`.
+"""Command line: `python -m offsetledger ingest …`, `… audit …`, `… publish …`.
 
 Options default to the environment variables named in the help, so the same deployment
-settings serve both jobs. Run it through spark-submit on a cluster.
+settings serve all jobs. Run it through spark-submit on a cluster.
 """
 
 from __future__ import annotations
@@ -11,10 +11,11 @@ import os
 import sys
 
 from offsetledger.operators.offsets import DEFAULT_KEYS
+from offsetledger.operators.round_robin import assign_round_robin
 from offsetledger.operators.selection import AUDITED
 from offsetledger.plans.audit import audit_offsets, render_report
-from offsetledger.session import build_session
-from offsetledger.sources.log import kafka_options, read_log, read_log_table
+from offsetledger.session import AUDIT_SETTINGS, build_session
+from offsetledger.sources.log import encode_messages, kafka_options, publish, read_log, read_log_table
 from offsetledger.streaming.ingest import IngestPaths, run_ingest
 
 
@@ -36,10 +37,19 @@ def _parser() -> argparse.ArgumentParser:
     audit.add_argument("--sources", nargs="+", default=list(AUDITED))
     audit.add_argument("--tolerant", action="store_true", help="skip data files that cannot be read")
 
+    publishing = jobs.add_parser("publish", help="send a Parquet table to a topic, evenly over its partitions")
+    publishing.add_argument("--table", required=True)
+    publishing.add_argument("--uuid", default="uuid", help="column of the message's uuid")
+    publishing.add_argument("--timestamp", default="timestamp", help="column of its time in epoch ms")
+    publishing.add_argument("--partitions", type=int, required=True, help="how many partitions the topic has")
+    publishing.add_argument("--order-by", help="unique column to go round in the order of")
+
     ingest = jobs.add_parser("ingest", help="stream the log into bucketed tables and their commit log")
-    _setting(ingest, "--servers", "KAFKA_BOOTSTRAP_SERVERS", "localhost:9092")
-    _setting(ingest, "--topic", "KAFKA_TOPIC", "events")
-    _setting(ingest, "--security-protocol", "KAFKA_SECURITY_PROTOCOL", "PLAINTEXT")
+    for job in (publishing, ingest):
+        _setting(job, "--servers", "KAFKA_BOOTSTRAP_SERVERS", "localhost:9092")
+        _setting(job, "--topic", "KAFKA_TOPIC", "events")
+        _setting(job, "--security-protocol", "KAFKA_SECURITY_PROTOCOL", "PLAINTEXT")
+        job.add_argument("--format", choices=("json", "avro"), default="json")
     ingest.add_argument("--group-id", default=os.environ.get("KAFKA_GROUP_ID"))
     ingest.add_argument("--min-partitions", type=int, help="tasks per batch; splits large log partitions")
     ingest.add_argument("--max-offsets", type=int, help="most messages per batch")
@@ -49,7 +59,6 @@ def _parser() -> argparse.ArgumentParser:
     _setting(ingest, "--commit-log", "WRITE_AHEAD_COMMIT_LOG_PATH")
     ingest.add_argument("--quarantine", default=os.environ.get("QUARANTINE_PATH"))
     ingest.add_argument("--checkpoint", required=True, help="shared folder of the query's progress")
-    ingest.add_argument("--format", choices=("json", "avro"), default="json")
     ingest.add_argument("--bucket-by", choices=("processing", "event"), default="processing")
     ingest.add_argument("--interval", default="60 seconds", help="time between batches")
     ingest.add_argument("--available-now", action="store_true", help="stop when the log is read up")
@@ -61,7 +70,14 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
     if args.job == "audit" and (len(args.range) != 2) == (not args.paths):
         parser.error("audit: give a start and an end, or --paths")
-    spark = build_session(f"offsetledger-{args.job}", args.master)
+    on_cluster = not (args.master or "").startswith("local")
+    settings = AUDIT_SETTINGS if args.job == "audit" and on_cluster else {}
+    spark = build_session(f"offsetledger-{args.job}", args.master, settings)
+    if args.job == "publish":
+        rows = encode_messages(spark.read.parquet(args.table), args.format, args.uuid, args.timestamp)
+        assigned = assign_round_robin(rows, args.partitions, args.order_by)
+        publish(assigned, args.servers, args.topic, security_protocol=args.security_protocol)
+        return 0
     if args.job == "audit":
         chosen = {"paths": args.paths} if args.paths else dict(zip(("start", "end"), args.range))
         audit = audit_offsets(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -9,9 +11,13 @@ from pyspark.sql import functions as F
 # monotonically_increasing_id keeps the row's position within its task in the low 33 bits.
 _POSITION_BITS = (1 << 33) - 1
 
+# Rows that one task numbers, as long as that takes no more than MAX_SLICES cuts.
+ROWS_PER_SLICE = 2_000_000
+MAX_SLICES = 10_000
+
 
 def assign_round_robin(
-    df: DataFrame, partitions: int, order_by: str | None = None, slices: int | None = None
+    df: DataFrame, partitions: int, order_by: str | None = None, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
     """Add `partition`, going round 0..partitions-1.
 
@@ -22,30 +28,26 @@ def assign_round_robin(
     if order_by is None:
         position = F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS))
         return df.withColumn("partition", (position % partitions).cast("int"))
-    position = dense_position(df, order_by, slices)
-    return position.withColumn("partition", (F.col("_position") % partitions).cast("int")).drop("_position")
+    numbered = dense_position(df, order_by, rows_per_slice)
+    return numbered.withColumn("partition", (F.col("_position") % partitions).cast("int")).drop("_position")
 
 
-def dense_position(df: DataFrame, order_by: str, slices: int | None = None) -> DataFrame:
+def dense_position(df: DataFrame, order_by: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Add `_position`, 0..n-1 in the order of a unique column, without one global sort task.
 
-    The value range is cut at approximate quantiles into slices of about equal size; rows
-    are numbered inside their slice and shifted by the number of rows in earlier slices.
+    The value range is cut at approximate quantiles into slices of about `rows_per_slice`
+    rows; rows are numbered inside their slice and shifted by the rows in earlier slices.
     The cuts are literals, so a recomputed task slices exactly as the first did.
     """
-    if slices is None:
-        slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    number = F.col(order_by).cast("timestamp").cast("double") if _is_time(df, order_by) else F.col(order_by).cast("double")
-    numbered = df.withColumn("_number", number)
-    cuts: list[float] = []
-    if slices > 1:
-        shares = [step / slices for step in range(1, slices)]
-        row = numbered.agg(F.percentile_approx("_number", shares).alias("cuts")).first()
-        cuts = sorted(set(row.cuts or []))
-    if cuts:
-        bounds = [float("-inf"), *cuts, float("inf")]
-        cutter = Bucketizer(splits=bounds, inputCol="_number", outputCol="_slice", handleInvalid="keep")
-        sliced = cutter.transform(numbered).withColumn("_slice", F.coalesce("_slice", F.lit(float(len(bounds)))))
+    column = F.col(order_by).cast("timestamp") if _is_time(df, order_by) else F.col(order_by)
+    numbered = df.withColumn("_number", column.cast("double"))
+    slices = min(MAX_SLICES, max(1, math.ceil(df.count() / rows_per_slice)))
+    bounds = [float("-inf"), *_cuts(numbered, slices), float("inf")]
+    if len(bounds) > 2:
+        cutter = Bucketizer(splits=bounds, inputCol="_number", outputCol="_cut", handleInvalid="keep")
+        # Rows without a number come last, in a slice of their own.
+        number = F.coalesce("_cut", F.lit(float(len(bounds))))
+        sliced = cutter.transform(numbered).withColumn("_slice", number).drop("_cut")
     else:
         sliced = numbered.withColumn("_slice", F.lit(0.0))
     # At most slices + 1 rows: this window and the broadcast below stay that small.
@@ -53,10 +55,20 @@ def dense_position(df: DataFrame, order_by: str, slices: int | None = None) -> D
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_slice", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
     within = Window.partitionBy("_slice").orderBy(F.col(order_by).asc_nulls_last())
-    placed = sliced.withColumn("_rank", F.row_number().over(within).cast("long"))
+    placed = sliced.repartition(slices, "_slice").withColumn("_rank", F.row_number().over(within))
     placed = placed.join(F.broadcast(starts), "_slice")
-    position = placed.withColumn("_position", F.col("_start") + F.col("_rank") - 1)
-    return position.select(*df.columns, "_position")
+    position = F.col("_start") + F.col("_rank").cast("long") - 1
+    return placed.select(*df.columns, position.alias("_position"))
+
+
+def _cuts(numbered: DataFrame, slices: int) -> list[float]:
+    """Values between the slices: as many as there are slices, whatever the row count."""
+    if slices == 1:
+        return []
+    shares = [step / slices for step in range(1, slices)]
+    accuracy = max(10_000, 10 * slices)
+    cuts = numbered.agg(F.percentile_approx("_number", shares, accuracy).alias("cuts")).first().cuts
+    return sorted(set(cuts or []))
 
 
 def _is_time(df: DataFrame, name: str) -> bool:

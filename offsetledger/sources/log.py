@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from offsetledger.functions.payload import encode_payload
 from offsetledger.schemas import LOG
 
+# Bytes of files that one batch of a Parquet log takes.
+MAX_BATCH_BYTES = 100 * 1024**3
+
 
 def kafka_options(
     servers: str,
@@ -48,13 +52,26 @@ def read_log(spark: SparkSession, options: dict[str, str], *, streaming: bool =
 
 
 def read_log_table(
-    spark: SparkSession, path: str, *, streaming: bool = True, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    *,
+    streaming: bool = True,
+    schema: StructType = LOG,
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int = MAX_BATCH_BYTES,
 ) -> DataFrame:
-    """The same rows from a Parquet copy of a log."""
-    reader = (spark.readStream if streaming else spark.read).schema(LOG)
-    if streaming and max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path)
+    """The same rows from a Parquet copy of a log, or the rows of any Parquet table.
+
+    A stream takes so many bytes a batch, so a long backlog is no single batch. Its path
+    may be a glob.
+    """
+    if not streaming:
+        return spark.read.schema(schema).parquet(path)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        # The two limits exclude each other.
+        return reader.option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)
+    return reader.option("maxBytesPerTrigger", max_bytes_per_trigger).parquet(path)
 
 
 def encode_messages(

@@ -135,6 +135,16 @@ def test_ingest_then_audit_then_failures(job, spark):
     assert main([*arguments, days[0], days[-1]]) == 1
     assert main([*arguments, "01-01-2020", "01-01-2020"]) == 1
 
+    # A damaged file stops the audit unless it is told to go on, and is then named.
+    other = job.logged().filter("checkpoint_id = 2 AND source = 'output'").first().s3_key
+    Path(other.removeprefix("file:")).write_bytes(b"not parquet")
+    Path(other.removeprefix("file:")).with_name(f".{other.rsplit('/', 1)[1]}.crc").unlink(missing_ok=True)
+    with pytest.raises(Exception):
+        job.verdict()
+    audit = job.audit(strict=False)
+    assert "1 log entries name files that gave no rows" in render_report(audit)[0]
+    audit.close()
+
 
 def test_same_checkpoint_numbers_of_another_run_do_not_collide(job):
     job.run("first")

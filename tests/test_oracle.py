@@ -47,3 +47,15 @@ def test_query_matches_sql(spark, sql, name):
 
 def test_entry(spark):
     assert registered.entry(spark).count() == 10
+
+
+def test_ingest_reads_a_directory_of_files_in_bounded_batches(spark, tmp_path, monkeypatch):
+    """The table as a directory of files, too large for one batch."""
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    events.repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    size = max(file.stat().st_size for file in (tmp_path / "events.parquet").glob("*.parquet"))
+    read = registered.read_log_table
+    monkeypatch.setattr(registered, "read_log_table", lambda *a, **k: read(*a, **k, max_bytes_per_trigger=2 * size))
+    summary = registered.ingest_then_audit(spark, str(tmp_path)).collect()
+    assert sum(row.record_count for row in summary) == events.count()
+    assert sum(row.missing_offsets + row.duplicate_offsets for row in summary) == 0

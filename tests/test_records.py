@@ -78,12 +78,20 @@ def test_ordered_round_robin_equals_the_global_count(spark):
     # Uneven values, shuffled input, more slices than needed.
     values = sorted({n * n for n in range(500)} | set(range(100_000, 100_300)))
     df = spark.createDataFrame([(value,) for value in values], "v long").repartition(7)
-    for slices in (1, 2, 16):
-        rows = assign_round_robin(df, 7, "v", slices).collect()
+    for rows_per_slice in (10_000, 400, 50):
+        rows = assign_round_robin(df, 7, "v", rows_per_slice).collect()
         assert sorted((row.v, row.partition) for row in rows) == [(v, at % 7) for at, v in enumerate(values)]
 
 
+def test_ordered_round_robin_of_no_rows_and_of_missing_numbers(spark):
+    df = spark.createDataFrame([(3,), (None,), (1,), (2,)], "v long")
+    assert assign_round_robin(df.limit(0), 3, "v").collect() == []
+    for rows_per_slice in (10, 2):
+        rows = assign_round_robin(df, 10, "v", rows_per_slice).collect()
+        assert sorted((row.partition, row.v) for row in rows) == [(0, 1), (1, 2), (2, 3), (3, None)]
+
+
 def test_ordered_round_robin_by_time(spark):
     df = spark.range(50).select(F.timestamp_seconds(F.col("id") * 60).alias("at"), "id")
-    rows = assign_round_robin(df, 4, "at", 3).collect()
+    rows = assign_round_robin(df, 4, "at", 20).collect()
     assert all(row.partition == row.id % 4 for row in rows) and len(rows) == 50
