@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offsetledger.functions.paths import sink_prefix
-from offsetledger.functions.timecols import bucket_columns, epoch_millis
+from offsetledger.functions.timecols import bucket_columns, epoch_millis, hour_start
 from offsetledger.operators.offsets import (
     first_gaps,
     offset_gaps,
@@ -165,8 +165,9 @@ def sink_prefixes(spark, sf_dir):
 
 
 def bucket_counts(spark, sf_dir):
-    buckets = [col.alias(name) for name, col in bucket_columns(F.col("timestamp")).items()]
-    return _coordinates(spark, sf_dir).groupBy("sink", *buckets).agg(F.count("*").alias("records"))
+    hour = hour_start(F.col("timestamp")).alias("start")
+    hourly = _coordinates(spark, sf_dir).groupBy("sink", hour).agg(F.count("*").alias("records"))
+    return hourly.withColumns(bucket_columns(F.col("start"))).drop("start")
 
 
 def round_robin(spark, sf_dir):
@@ -233,8 +234,14 @@ def stale_entries(spark, sf_dir):
 
 
 def offset_summary_all(spark, sf_dir):
+    """Both sinks together."""
+    return offset_summary(_coordinates(spark, sf_dir))
+
+
+def offset_summary_redelivered(spark, sf_dir):
+    """The dropped records arrive a second time."""
     records = _coordinates(spark, sf_dir)
-    return offset_summary(union_records([_sink(records, "output"), _sink(records, "dropped")]))
+    return offset_summary(union_records([records, _sink(records, "dropped")]))
 
 
 def offset_summary_output(spark, sf_dir):
@@ -379,6 +386,7 @@ _QUERIES = [
     finalized_entries,
     stale_entries,
     offset_summary_all,
+    offset_summary_redelivered,
     offset_summary_output,
     offset_summary_topics,
     offset_totals_output,
@@ -552,6 +560,8 @@ def oracle_sql() -> dict[str, str]:
         "stale_entries": f"""{_PURCHASES} SELECT * FROM hourly
             WHERE s3_key NOT IN (SELECT s3_key FROM existing)""",
         "offset_summary_all": audit_all,
+        "offset_summary_redelivered": f"""WITH {_RECORDS}
+            {_summary_sql(_VERDICT_CASES["redelivered"], *_COORDINATES)}""",
         "offset_summary_output": f"WITH {_RECORDS} {output_summary}",
         "offset_summary_topics": _summary_sql(_TOPICS, "kafka_topic, kafka_partition", "kafka_offset"),
         "offset_totals_output": f"""WITH {_RECORDS}

@@ -1,4 +1,4 @@
-"""Command line: `python -m offsetledger ingest …`, `… audit …`, `… publish …`.
+"""Command line: `python -m offsetledger ingest …`, `audit`, `files`, `publish`.
 
 Options default to the environment variables named in the help, so the same deployment
 settings serve all jobs. Run it through spark-submit on a cluster.
@@ -12,9 +12,10 @@ import sys
 
 from offsetledger.operators.offsets import DEFAULT_KEYS
 from offsetledger.operators.round_robin import assign_round_robin
-from offsetledger.operators.selection import AUDITED
+from offsetledger.operators.selection import AUDITED, files_of_checkpoint
 from offsetledger.plans.audit import audit_offsets, render_report
 from offsetledger.session import AUDIT_SETTINGS, build_session
+from offsetledger.sources.commit_log import read_commit_log
 from offsetledger.sources.log import encode_messages, kafka_options, publish, read_log, read_log_table
 from offsetledger.streaming.ingest import IngestPaths, run_ingest
 
@@ -37,6 +38,10 @@ def _parser() -> argparse.ArgumentParser:
     audit.add_argument("--sources", nargs="+", default=list(AUDITED))
     audit.add_argument("--tolerant", action="store_true", help="skip data files that cannot be read")
 
+    files = jobs.add_parser("files", help="list the data files of one checkpoint")
+    _setting(files, "--commit-log", "WRITE_AHEAD_COMMIT_LOG_PATH")
+    files.add_argument("checkpoint_id", type=int)
+
     publishing = jobs.add_parser("publish", help="send a Parquet table to a topic, evenly over its partitions")
     publishing.add_argument("--table", required=True)
     publishing.add_argument("--uuid", default="uuid", help="column of the message's uuid")
@@ -78,6 +83,11 @@ def main(argv: list[str] | None = None) -> int:
         assigned = assign_round_robin(rows, args.partitions, args.order_by)
         publish(assigned, args.servers, args.topic, security_protocol=args.security_protocol)
         return 0
+    if args.job == "files":
+        entries = files_of_checkpoint(read_commit_log(spark, args.commit_log), args.checkpoint_id)
+        for row in entries.select("s3_key").toLocalIterator():
+            print(row.s3_key)
+        return 0
     if args.job == "audit":
         chosen = {"paths": args.paths} if args.paths else dict(zip(("start", "end"), args.range))
         audit = audit_offsets(

@@ -34,6 +34,11 @@ def day_of(millis: Column) -> Column:
     return F.date_from_unix_date(((millis - into_day) / DAY_MS).cast("int"))
 
 
+def hour_start(millis: Column) -> Column:
+    """The first millisecond of the hour."""
+    return millis - F.pmod(millis, F.lit(HOUR_MS))
+
+
 def _padded(number: Column, width: int) -> Column:
     return F.lpad(number.cast("string"), width, "0")
 

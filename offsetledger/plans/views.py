@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offsetledger.functions.payload import encode_payload
-from offsetledger.functions.timecols import bucket_path, epoch_millis, log_folder
+from offsetledger.functions.timecols import bucket_path, epoch_millis, hour_start, log_folder
 
 
 def stable_uuid(identity: Column) -> Column:
@@ -59,10 +59,11 @@ def hourly_commit_log(records: DataFrame, source: str = "sink", millis: str = "t
 
     The checkpoint is the day's number since 1970, the commit time the hour's last record.
     """
-    bucket = bucket_path(F.col(millis))
-    hourly = records.groupBy(F.col(source).alias("_sink"), bucket.alias("_bucket"))
+    # Grouped by number; the names are made from the few hours, not from every record.
+    hourly = records.groupBy(F.col(source).alias("_sink"), hour_start(F.col(millis)).alias("_hour"))
     last = hourly.agg(F.max(millis).alias("commit_timestamp"))
-    file = F.concat(F.lit("s3://data/"), F.col("_sink"), F.lit("/"), F.col("_bucket"), F.lit("/part-0.parquet"))
+    folder = F.concat_ws("/", F.lit("s3://data"), F.col("_sink"), bucket_path(F.col("_hour")))
+    file = F.concat(folder, F.lit("/part-0.parquet"))
     written = F.concat(log_folder(F.col("commit_timestamp")), F.lit("/"), F.col("_sink"), F.lit("-subtask-0-0.csv"))
     return last.select(
         F.expr("commit_timestamp div 86400000").alias("checkpoint_id"),

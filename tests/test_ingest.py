@@ -223,12 +223,16 @@ def test_replay_keeps_the_batch_clock(job):
 
 
 def test_cli_ingest_and_audit_by_path(job, spark, capsys):
-    arguments = ["ingest", "--log-table", f"{job.base}/log", "--output", job.paths.output, "--dropped", job.paths.dropped]
+    local = ["--master", "local[2]"]
+    arguments = [*local, "ingest", "--log-table", f"{job.base}/log", "--output", job.paths.output, "--dropped", job.paths.dropped]
     arguments += ["--commit-log", job.paths.commit_log, "--checkpoint", f"{job.base}/cp", "--available-now"]
     assert main(arguments) == 0
     assert offset_totals(offset_summary(read_committed(spark, job.logged()))).first().total_missing == 0
-    assert main(["audit", "--commit-log", job.paths.commit_log, "--paths", *job.days()]) == 0
+    assert main([*local, "audit", "--commit-log", job.paths.commit_log, "--paths", *job.days()]) == 0
     assert "PASS" in capsys.readouterr().out
+    assert main([*local, "files", "--commit-log", job.paths.commit_log, "0"]) == 0
+    printed = capsys.readouterr().out.split()
+    assert sorted(printed) == sorted(row.s3_key for row in job.logged().collect())
     with pytest.raises(SystemExit):
         main(["audit", "--commit-log", job.paths.commit_log, "01-01-2024"])
 
