@@ -2,6 +2,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from offsetledger import schemas
@@ -155,6 +156,30 @@ def test_same_checkpoint_numbers_of_another_run_do_not_collide(job):
     assert job.logged().select("checkpoint_id").distinct().count() == BATCHES
 
 
+@pytest.mark.parametrize("step,sink", [("append_commit_log", "output"), ("write_bucketed", "dropped")])
+def test_a_crash_inside_a_batch_is_healed_by_its_replay(job, spark, monkeypatch, step, sink):
+    original = getattr(I, step)
+    target = {"append_commit_log": "/output-batch-", "write_bucketed": job.paths.dropped}[step]
+    crashed = []
+
+    def crash_once(df, path, *rest):
+        if target in path and len(list(Path(job.paths.commit_log).rglob("*-batch-*"))) >= 2 and not crashed:
+            crashed.append(path)
+            raise RuntimeError("executor lost")
+        return original(df, path, *rest)
+
+    monkeypatch.setattr(I, step, crash_once)
+    with pytest.raises(StreamingQueryException):
+        job.run()
+    assert crashed and sink in crashed[0]
+    job.run()
+    verdict, lost = job.verdict()
+    assert (verdict.status, lost, len(stored(job))) == ("PASS", 0, BATCHES * PER_BATCH)
+    # Nothing of the failed attempt is left beside the logged files.
+    tables = list_files_at(spark, [job.paths.output, job.paths.dropped])
+    assert tables.count() == job.logged().count()
+
+
 def test_malformed_messages_go_to_quarantine(job, spark):
     bad = [
         (None, value, "t", 0, 150 + at, None, 0)
