@@ -19,7 +19,7 @@ from offsetledger.operators.offsets import (
 )
 from offsetledger.operators.selection import AUDITED, entry_counts, select_minutes, stale
 from offsetledger.sources.commit_log import read_commit_log
-from offsetledger.sources.data_files import data_globs, list_files, read_committed, unread_entries
+from offsetledger.sources.data_files import Listing, find_files, read_committed, unread_entries
 
 # Rows of the per-key summary that a text report shows; the frame itself is whole.
 REPORTED_KEYS = 1_000
@@ -27,11 +27,12 @@ REPORTED_KEYS = 1_000
 
 @dataclass
 class Audit:
-    """An audit's frames. `log` and `words` are cached; `close()` lets them go."""
+    """An audit's frames. `log`, `files` and `words` are cached; `close()` lets them go."""
 
     title: str
     keys: tuple[str, ...]
     log: DataFrame
+    files: DataFrame
     stale: DataFrame
     words: DataFrame
     summary: DataFrame
@@ -44,8 +45,8 @@ class Audit:
         return gaps if limit is None else first_gaps(gaps, self.keys, limit)
 
     def close(self) -> None:
-        self.words.unpersist()
-        self.log.unpersist()
+        for cached in (self.words, self.files, self.log):
+            cached.unpersist()
 
 
 def select_log(
@@ -92,18 +93,21 @@ def audit_offsets(
     """
     log = select_log(spark, base, start=start, end=end, paths=paths, sources=sources)
     log = log.persist(StorageLevel.MEMORY_AND_DISK)
-    words = offset_words(read_committed(spark, log, roots=roots, strict=strict), keys)
+    found = find_files(spark, log, roots)
+    listing = Listing(found.globs, found.files.persist(StorageLevel.MEMORY_AND_DISK))
+    words = offset_words(read_committed(spark, log, listing=listing, strict=strict), keys)
     words = words.persist(StorageLevel.MEMORY_AND_DISK)
     summary = summarize_words(words, keys)
     return Audit(
         title=f"paths: {' '.join(paths)}" if paths is not None else f"{start} to {end}",
         keys=keys,
         log=log,
-        stale=stale(log, list_files(spark, data_globs(log, roots))),
+        files=listing.files,
+        stale=stale(log, listing.files),
         words=words,
         summary=summary,
         verdict=offset_verdict(summary, log),
-        unread=None if strict else unread_entries(spark, log, roots=roots),
+        unread=None if strict else unread_entries(spark, log, listing=listing),
     )
 
 

@@ -50,5 +50,8 @@ def commit_folder(base: str, prefix: str, run_id: str, batch_id: int, commit_ms:
 
 
 def append_commit_log(entries: DataFrame, folder: str, files: int = 1) -> None:
-    """Write one sink's entries of one batch, replacing an earlier attempt's."""
-    entries.coalesce(files).write.mode("overwrite").option("header", True).csv(folder)
+    """Write one sink's entries of one batch, replacing an earlier attempt's.
+
+    The names are listed in parallel and only then gathered, so no coalesce.
+    """
+    entries.repartition(files).write.mode("overwrite").option("header", True).csv(folder)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,6 +90,20 @@ def list_files(spark: SparkSession, globs: list[str]) -> DataFrame:
     return reduce(DataFrame.unionAll, [list_files_at(spark, [glob]) for glob in globs] or [spark.createDataFrame([], LISTING)])
 
 
+@dataclass(frozen=True)
+class Listing:
+    """Where a log's files lie (`globs`), and the `files` found there."""
+
+    globs: list[str]
+    files: DataFrame
+
+
+def find_files(spark: SparkSession, log: DataFrame, roots: list[str] | None = None) -> Listing:
+    """List the directories the log's keys lie in; `roots` names tables without buckets."""
+    globs = data_globs(log, roots)
+    return Listing(globs, list_files(spark, globs))
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType = ENRICHED) -> DataFrame:
     """A whole bucketed table with its directory levels as columns, zero padding kept."""
     return spark.read.schema(StructType(schema.fields + PARTITIONS.fields)).parquet(path)
@@ -98,7 +114,7 @@ def read_committed(
     log: DataFrame,
     schema: StructType = COORDINATES,
     *,
-    roots: list[str] | None = None,
+    listing: Listing | None = None,
     strict: bool = True,
     with_file: bool = False,
     max_literal_keys: int = MAX_LITERAL_KEYS,
@@ -113,45 +129,49 @@ def read_committed(
     longer list is broadcast after its size was summed; beyond that it is a shuffled
     left-semi join. `strict=False` skips files that cannot be read.
     """
-    globs = data_globs(log, roots)
-    wanted = committed_files(log, list_files(spark, globs)).select("file_path")
+    listing = listing or find_files(spark, log)
+    wanted = committed_files(log, listing.files).select("file_path")
     reader = spark.read.schema(schema).option("recursiveFileLookup", True)
     reader = reader.option("pathGlobFilter", "*.parquet")
     if not strict:
         reader = reader.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
-    scans = [frame for frame in (_existing(reader.parquet, glob) for glob in globs) if frame is not None]
+    scans = [frame for frame in (_existing(reader.parquet, glob) for glob in listing.globs) if frame is not None]
     file = F.col("_metadata.file_path").alias("file_path")
     if not scans:
         empty = spark.createDataFrame([], schema)
         return empty.withColumn("file_path", F.lit("")) if with_file else empty
     columns = [F.col(name) for name in schema.names]
 
-    few = wanted.limit(max_literal_keys + 1).collect()
-    if len(few) <= max_literal_keys:
-        names = [row.file_path for row in few]
-        shown = [*columns, file] if with_file else columns
-        picked = [frame.filter(F.col("_metadata.file_path").isin(names)).select(*shown) for frame in scans]
-        return reduce(DataFrame.unionAll, picked)
-
+    # Held only while it is measured; the plan below resolves it once more by itself.
+    wanted.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        few = wanted.limit(max_literal_keys + 1).collect()
+        if len(few) <= max_literal_keys:
+            names = [row.file_path for row in few]
+            shown = [*columns, file] if with_file else columns
+            picked = [frame.filter(F.col("_metadata.file_path").isin(names)).select(*shown) for frame in scans]
+            return reduce(DataFrame.unionAll, picked)
+        size = wanted.agg(F.sum(F.octet_length("file_path") + 64).alias("bytes")).first().bytes
+    finally:
+        wanted.unpersist()
     rows = reduce(DataFrame.unionAll, [frame.select(*columns, file) for frame in scans])
-    size = wanted.agg(F.sum(F.octet_length("file_path") + 64).alias("bytes")).first().bytes
     names = F.broadcast(wanted) if size <= max_broadcast_bytes else wanted
     kept = rows.join(names, "file_path", "left_semi")
     return kept.select(*schema.names, *(["file_path"] if with_file else []))
 
 
 def unread_entries(
-    spark: SparkSession, log: DataFrame, column: str = "kafka_offset", roots: list[str] | None = None
+    spark: SparkSession, log: DataFrame, column: str = "kafka_offset", listing: Listing | None = None
 ) -> DataFrame:
     """Entries whose existing file gave no row: unreadable, or empty.
 
     Reads one column of the logged files, tolerating the broken ones.
     """
-    field = COORDINATES[column]
-    rows = read_committed(spark, log, StructType([field]), roots=roots, strict=False, with_file=True)
+    listing = listing or find_files(spark, log)
+    schema = StructType([COORDINATES[column]])
+    rows = read_committed(spark, log, schema, listing=listing, strict=False, with_file=True)
     read = rows.groupBy("file_path").agg(F.count(column).alias("rows")).filter("rows > 0")
-    live = list_files(spark, data_globs(log, roots))
-    silent = live.join(read, "file_path", "left_anti").select(F.col("s3_key").alias("_key"))
+    silent = listing.files.join(read, "file_path", "left_anti").select(F.col("s3_key").alias("_key"))
     keyed = log.withColumn("_key", normalize_path(F.col("s3_key")))
     return keyed.join(silent, "_key", "left_semi").select(*log.columns)
 
