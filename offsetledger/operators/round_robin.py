@@ -42,19 +42,21 @@ def dense_position(df: DataFrame, order_by: str, rows_per_slice: int = ROWS_PER_
     column = F.col(order_by).cast("timestamp") if _is_time(df, order_by) else F.col(order_by)
     numbered = df.withColumn("_number", column.cast("double"))
     slices = min(MAX_SLICES, max(1, math.ceil(df.count() / rows_per_slice)))
-    bounds = [float("-inf"), *_cuts(numbered, slices), float("inf")]
-    if len(bounds) > 2:
-        cutter = Bucketizer(splits=bounds, inputCol="_number", outputCol="_cut", handleInvalid="keep")
-        # Rows without a number come last, in a slice of their own.
-        number = F.coalesce("_cut", F.lit(float(len(bounds))))
-        sliced = cutter.transform(numbered).withColumn("_slice", number).drop("_cut")
-    else:
-        sliced = numbered.withColumn("_slice", F.lit(0.0))
+    cuts = _cuts(numbered, slices)
+    order = F.col(order_by).asc_nulls_last()
+    if not cuts:
+        rank = F.row_number().over(Window.orderBy(order)).cast("long")
+        return df.withColumn("_position", rank - 1)
+    bounds = [float("-inf"), *cuts, float("inf")]
+    cutter = Bucketizer(splits=bounds, inputCol="_number", outputCol="_cut", handleInvalid="keep")
+    # Rows without a number come last, in a slice of their own.
+    number = F.coalesce("_cut", F.lit(float(len(bounds))))
+    sliced = cutter.transform(numbered).withColumn("_slice", number)
     # At most slices + 1 rows: this window and the broadcast below stay that small.
     sizes = sliced.groupBy("_slice").agg(F.count("*").alias("_rows"))
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_slice", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-    within = Window.partitionBy("_slice").orderBy(F.col(order_by).asc_nulls_last())
+    within = Window.partitionBy("_slice").orderBy(order)
     placed = sliced.repartition(slices, "_slice").withColumn("_rank", F.row_number().over(within))
     placed = placed.join(F.broadcast(starts), "_slice")
     position = F.col("_start") + F.col("_rank").cast("long") - 1
@@ -62,7 +64,7 @@ def dense_position(df: DataFrame, order_by: str, rows_per_slice: int = ROWS_PER_
 
 
 def _cuts(numbered: DataFrame, slices: int) -> list[float]:
-    """Values between the slices: as many as there are slices, whatever the row count."""
+    """Values between the slices; none for a single slice."""
     if slices == 1:
         return []
     shares = [step / slices for step in range(1, slices)]

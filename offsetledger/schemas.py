@@ -31,13 +31,13 @@ PAYLOAD = StructType(
     ]
 )
 
-# The payload in Avro's schema language. Messages already in the log use it.
-# Its timestamp-millis annotation is left off: the bytes are the same, and the plain long
-# is what the tables store.
+# The payload in Avro's schema language. Field order and types are those of
+# messages already in the log. Writers mark the long as timestamp-millis; the bytes are the
+# same without, and the plain number is what the tables store.
 PAYLOAD_AVRO = """
 {
   "type": "record",
-  "name": "InputEvent",
+  "name": "Message",
   "fields": [
     {"name": "uuid", "type": "string"},
     {"name": "timestamp", "type": "long"}

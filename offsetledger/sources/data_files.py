@@ -49,18 +49,19 @@ def data_globs(log: DataFrame, roots: list[str] | None = None) -> list[str]:
     the audited range and not the table's age, and no more than `MAX_DIRS` names per root
     reach the driver.
     """
-    key = F.col("s3_key")
-    by_root = log.select(key, table_root(key).alias("root"))
-    if roots is None:
-        found = by_root.select("root").distinct().limit(MAX_ROOTS + 1).collect()
-        if len(found) > MAX_ROOTS:
-            raise ValueError(f"the log names files in over {MAX_ROOTS} tables; give roots=[...]")
-        roots = sorted(row.root for row in found)
-    else:
+    if roots is not None:
         return [glob_escape(root.rstrip("/")) for root in roots]
+    key = F.col("s3_key")
+    located = log.filter(key.isNotNull()).select(
+        key, table_root(normalize_path(key)).alias("table"), table_root(key).alias("root")
+    )
+    # A table logged under several spellings of its path is one table.
+    found = located.groupBy("table").agg(F.min("root").alias("root")).limit(MAX_ROOTS + 1).collect()
+    if len(found) > MAX_ROOTS:
+        raise ValueError(f"the log names files in over {MAX_ROOTS} tables; give roots=[...]")
     globs = []
-    for root in roots:
-        below = by_root.filter(F.col("root") == root)
+    for table, root in sorted(map(tuple, found)):
+        below = located.filter(F.col("table") == table)
         names: list[str] = []
         for depth in range(len(BUCKET_COLUMNS), 0, -1):
             level = bucket_prefix(key, BUCKET_COLUMNS[:depth]).alias("dir")

@@ -71,6 +71,15 @@ def test_every_way_reads_exactly_the_logged_files_once(spark, tables, log, limit
     assert {(row.kafka_offset, row["count"]) for row in counts} == {(n, 2) for n in range(0, 240, 2)}
 
 
+def test_a_file_logged_under_two_spellings_is_read_once(spark, tables, log):
+    bare = log.withColumn("s3_key", F.regexp_replace("s3_key", "^file:", ""))
+    triple = log.withColumn("s3_key", F.regexp_replace("s3_key", "^file:", "file://"))
+    nothing = log.limit(1).withColumn("s3_key", F.lit(None).cast("string"))
+    both = bare.unionAll(log).unionAll(triple).unionAll(nothing)
+    assert D.read_committed(spark, both).count() == 480
+    assert len(D.data_globs(both)) == 2
+
+
 def test_literal_keys_prune_files_and_columns(spark, tables, log):
     one = log.filter(F.col("s3_key").contains("/output/") & F.col("s3_key").contains("/day=01/hour=03/"))
     rows = D.read_committed(spark, one.unionAll(one)).select("kafka_partition", "kafka_offset")
