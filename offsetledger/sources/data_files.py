@@ -59,8 +59,20 @@ def data_globs(log: DataFrame, roots: list[str] | None = None) -> list[str]:
     found = located.groupBy("table").agg(F.min("root").alias("root")).limit(MAX_ROOTS + 1).collect()
     if len(found) > MAX_ROOTS:
         raise ValueError(f"the log names files in over {MAX_ROOTS} tables; give roots=[...]")
-    globs = []
+    outer: dict[str, str] = {}
+    whole: set[str] = set()
     for table, root in sorted(map(tuple, found)):
+        holder = next((name for name in outer if table.startswith(f"{name}/")), None)
+        if holder is None:
+            outer[table] = root
+        else:
+            # A table inside another's folder: the outer one is listed whole and has it.
+            whole.add(holder)
+    globs = []
+    for table, root in outer.items():
+        if table in whole:
+            globs.append(glob_escape(root))
+            continue
         below = located.filter(F.col("table") == table)
         names: list[str] = []
         for depth in range(len(BUCKET_COLUMNS), 0, -1):

@@ -80,6 +80,18 @@ def test_a_file_logged_under_two_spellings_is_read_once(spark, tables, log):
     assert len(D.data_globs(both)) == 2
 
 
+def test_tables_inside_another_folder_are_read_once(spark, tables, log):
+    flat = spark.range(1_000, 1_010).select(F.lit(0).alias("kafka_partition"), F.col("id").alias("kafka_offset"))
+    flat.coalesce(1).write.parquet(str(tables / "flat"))
+    (file,) = (tables / "flat").glob("*.parquet")
+    moved = tables / "loose.parquet"
+    moved.write_bytes(file.read_bytes())
+    loose = spark.createDataFrame([(1, str(moved), 0)], log.schema)
+    rows = D.read_committed(spark, log.unionAll(loose))
+    assert rows.count() == 490
+    assert D.data_globs(log.unionAll(loose))[0].endswith("a b+c")
+
+
 def test_literal_keys_prune_files_and_columns(spark, tables, log):
     one = log.filter(F.col("s3_key").contains("/output/") & F.col("s3_key").contains("/day=01/hour=03/"))
     rows = D.read_committed(spark, one.unionAll(one)).select("kafka_partition", "kafka_offset")
