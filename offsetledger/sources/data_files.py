@@ -100,7 +100,9 @@ def list_files_at(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def list_files(spark: SparkSession, globs: list[str]) -> DataFrame:
     """Parquet files below each of the globs; those that match nothing list nothing."""
-    return reduce(DataFrame.unionAll, [list_files_at(spark, [glob]) for glob in globs] or [spark.createDataFrame([], LISTING)])
+    if not globs:
+        return spark.createDataFrame([], LISTING)
+    return reduce(DataFrame.unionAll, [list_files_at(spark, [glob]) for glob in globs])
 
 
 @dataclass(frozen=True)

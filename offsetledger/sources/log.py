@@ -110,5 +110,5 @@ def publish(
         return None
     if not checkpoint_path:
         raise ValueError("a streaming publish needs checkpoint_path")
-    writer = rows.writeStream.format("kafka").options(**options)
-    return writer.option("checkpointLocation", checkpoint_path).trigger(**(trigger or {"processingTime": "0 seconds"})).start()
+    writer = rows.writeStream.format("kafka").options(**options).option("checkpointLocation", checkpoint_path)
+    return writer.trigger(**(trigger or {"processingTime": "0 seconds"})).start()
