@@ -406,8 +406,23 @@ _QUERIES = [
 ]
 
 
+def _optional() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the subpackage `llm` and its pipeline; none where these folders are absent."""
+    try:
+        import corpus_pipeline
+        import offsetledger.llm.queries as llm
+    except ModuleNotFoundError as error:
+        if error.name == "corpus_pipeline" or (error.name or "").startswith("offsetledger.llm"):
+            return {}, {}
+        raise
+    sql = dict(llm.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return llm.QUERIES | {"pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in _QUERIES}
+    return {query.__name__: query for query in _QUERIES} | _optional()[0]
 
 
 # --- the same in SQL ----------------------------------------------------------------
@@ -582,4 +597,4 @@ def oracle_sql() -> dict[str, str]:
         "ingest_records": f"""WITH {_RECORDS}
             SELECT uuid, timestamp, kafka_topic, kafka_partition, kafka_offset FROM records""",
         "ingest_buckets": _BUCKETS,
-    }
+    } | _optional()[1]
