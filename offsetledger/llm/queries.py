@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from offsetledger.llm import packing, quality_rules
+from offsetledger.llm import jaccard_join, packing, quality_rules
 from offsetledger.llm.tables import table
 
 
@@ -22,7 +22,18 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {query.__name__: query for query in (op4_packing, op6_quality_rules)}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op4_packing,
+        op6_quality_rules,
+        op10_jaccard_join,
+    )
+}
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _MARKS = "[#*$%&<>!]"
