@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from offsetledger.llm import jaccard_join, packing, quality_rules
+from offsetledger.llm import jaccard_join, packing, quality_cnn, quality_rules
 from offsetledger.llm.tables import table
 
 
@@ -18,6 +18,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op5_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_cnn.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op4_packing,
+        op5_quality_cnn,
         op6_quality_rules,
         op10_jaccard_join,
     )
