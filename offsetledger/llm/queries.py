@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from offsetledger.llm import jaccard_join, packing, quality_cnn, quality_rules
+from offsetledger.llm import jaccard_join, packing, quality_cnn, quality_rules, suffix_dedup
 from offsetledger.llm.tables import table
 
 
@@ -14,6 +14,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -33,6 +37,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
+        op2_suffix_dedup,
         op4_packing,
         op5_quality_cnn,
         op6_quality_rules,
