@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from offsetledger.llm import jaccard_join, packing, quality_cnn, quality_rules, suffix_dedup
+from offsetledger.llm import (
+    html_extract,
+    jaccard_join,
+    packing,
+    quality_cnn,
+    quality_rules,
+    suffix_dedup,
+    topk,
+    url_filter,
+)
 from offsetledger.llm.tables import table
 
 
@@ -14,6 +23,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
@@ -30,6 +43,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -37,10 +58,13 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
+        op1_html_extract,
         op2_suffix_dedup,
         op4_packing,
         op5_quality_cnn,
         op6_quality_rules,
+        op7_url_filter,
+        op9_topk,
         op10_jaccard_join,
     )
 }
@@ -86,4 +110,44 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0)
 FROM counts
 """
 
-ORACLE_SQL = {"op6_quality_rules": _OP6}
+_OP7 = r"""
+WITH split AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, rest FROM split
+), hosts AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM parts
+), rules(rule_host, rule_path, verdict) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), fits AS (
+  SELECT h.page_id, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+    max_by(verdict, length(rule_host || rule_path)) AS verdict
+  FROM hosts h JOIN rules r ON (h.host = rule_host OR suffix(h.host, '.' || rule_host)) AND starts_with(h.path, rule_path)
+  GROUP BY h.page_id
+), judged AS (
+  SELECT h.*, rule, verdict FROM hosts h LEFT JOIN fits USING (page_id)
+), listed AS (
+  SELECT DISTINCT host FROM judged WHERE verdict = 'block'
+)
+SELECT page_id, host, path, rule,
+  coalesce(verdict, CASE WHEN host IN (SELECT host FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged
+"""
+
+_OP9 = """
+WITH sound AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM sound q JOIN sound c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLE_SQL = {"op6_quality_rules": _OP6, "op7_url_filter": _OP7, "op9_topk": _OP9}
