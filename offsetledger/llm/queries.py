@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from offsetledger.llm import (
     html_extract,
     jaccard_join,
+    license_scan,
     packing,
     quality_cnn,
     quality_rules,
+    sentencepiece_codec,
     suffix_dedup,
     topk,
     url_filter,
@@ -31,6 +33,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.digests(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -47,6 +53,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -60,10 +70,12 @@ QUERIES = {
     for query in (
         op1_html_extract,
         op2_suffix_dedup,
+        op3_sentencepiece,
         op4_packing,
         op5_quality_cnn,
         op6_quality_rules,
         op7_url_filter,
+        op8_license_scan,
         op9_topk,
         op10_jaccard_join,
     )
