@@ -1,25 +1,55 @@
-"""The corpus pipeline: documents in, packed token windows out."""
+"""The corpus pipeline: documents in, packed token windows out.
+
+Each stage takes what the one before has kept, written as Parquet. The filtering stages leave texts as
+they are; only the suffix-array stage cuts repeated passages out of them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from offsetledger.llm import packing, quality_rules
+from offsetledger.llm import jaccard_join, packing, quality_cnn, quality_rules, suffix_dedup
 from offsetledger.llm.queries import tokenizer_file
 from offsetledger.llm.tables import table, written
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line rules reject go; the texts of the others stay whole."""
+    """Documents that the line rules reject go."""
     return quality_rules.kept_documents(docs)
 
 
+def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the byte network predicts to be bad go."""
+    return quality_cnn.kept_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near duplicates stays, the one with the least id."""
+    found = jaccard_join.near_duplicates(docs)
+    first = found.where("doc_id is null or component_id is null or doc_id = component_id").select("doc_id").distinct()
+    once = docs.dropDuplicates(["doc_id"])  # repeated rows are copies as well
+    return once.join(first, once["doc_id"].eqNullSafe(first["doc_id"]), "left_semi").select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes of passages that occur anywhere else too are cut out; every document stays."""
+    cut = suffix_dedup.deduplicated(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document left, as pieces of token windows."""
     return packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
 
 
-STAGES = [("quality rules", rules), ("packing", pack)]
+STAGES = [
+    ("quality rules", rules),
+    ("quality classifier", classifier),
+    ("n-gram Jaccard join", near_duplicates),
+    ("suffix-array dedup", repeated_passages),
+    ("packing", pack),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
