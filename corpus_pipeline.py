@@ -26,10 +26,15 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates stays, the one with the least id."""
-    found = jaccard_join.near_duplicates(docs)
+    found = written(jaccard_join.near_duplicates(docs), "found")
     first = found.where("doc_id is null or component_id is null or doc_id = component_id").select("doc_id").distinct()
-    once = docs.dropDuplicates(["doc_id"])  # repeated rows are copies as well
-    return once.join(first, once["doc_id"].eqNullSafe(first["doc_id"]), "left_semi").select(*docs.columns)
+    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
+    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept
+    # Rows that repeat an id are copies as well.
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(once)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
