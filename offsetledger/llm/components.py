@@ -14,12 +14,13 @@ def components(edges: DataFrame) -> DataFrame:
     Each round every node points to whichever of itself and its neighbours comes first in that
     round's random order, then to where that one points; the edges are renamed so and loops dropped,
     until none is left. The number of rounds grows with the logarithm of the number of nodes. Each
-    round's tables are written to the shared folder.
+    round's tables are written to the shared folder, and the names are put together at the end.
     """
     edges = written(edges.select("a", "b").where("a <> b").distinct(), "edges")
-    labels, turn = None, 0
+    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
+    rounds: list[DataFrame] = []
     while not edges.isEmpty():
-        turn += 1
+        turn = len(rounds)
 
         def place(node):
             return F.struct(F.xxhash64(node, F.lit(turn)).alias("at"), F.col(node).alias("node"))
@@ -27,19 +28,17 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.union(edges.select("b", "a"))
         first = both.groupBy("a").agg(F.min(place("b")).alias("other"))
         parent = first.select(F.col("a").alias("u"), F.least("other", place("a"))["node"].alias("p"))
-        parent = written(parent, "parents")
         upper = parent.select(F.col("u").alias("p"), F.col("p").alias("q"))
         jumped = written(parent.join(upper, "p", "left").select("u", F.coalesce("q", "p").alias("p")), "jumped")
-        if labels is None:
-            labels = jumped.select(F.col("u").alias("node"), F.col("p").alias("component"))
-        else:
-            labels = labels.join(jumped, F.col("component") == F.col("u"), "left")
-            labels = written(labels.select("node", F.coalesce("p", "component").alias("component")), "labels")
+        rounds.append(jumped)
         a = jumped.select(F.col("u").alias("a"), F.col("p").alias("a2"))
         b = jumped.select(F.col("u").alias("b"), F.col("p").alias("b2"))
         edges = edges.join(a, "a").join(b, "b").select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b"))
         edges = written(edges.where("a <> b").distinct(), "edges")
-    if labels is None:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    labels = nodes.withColumn("component", F.col("node"))
+    for jumped in rounds:
+        step = jumped.withColumnRenamed("u", "component")
+        labels = labels.join(step, "component", "left").select("node", F.coalesce("p", "component").alias("component"))
+    labels = written(labels, "labels")
     names = labels.groupBy("component").agg(F.min("node").alias("name"))
     return written(labels.join(names, "component").select("node", F.col("name").alias("component")), "components")

@@ -1,23 +1,24 @@
 """Near duplicates by Jaccard similarity of word shingles, exact, with vertical partitioning.
 
 The global order of shingles puts rare ones first. Two sets that are similar enough share a shingle
-among the first fifth of each (their prefix), so only those are grouped. Candidate pairs are then
-verified by fragments of the order: each fragment's common shingles are counted by itself, and the
-partial overlaps are summed per pair.
+among the first fifth of each, and one more for each shingle that this prefix is made longer by; so only
+prefixes are grouped. The order is cut into fragments, the prefix being the first: shingles shared
+there are counted, per set and then per pair, which rules out most by the number they still need; then
+common shingles are counted in each fragment by itself, and the partial overlaps are summed per pair.
 
 What is asked for is the component of every document, so a group of g documents that share a
 shingle need not become g^2 pairs:
 
 * documents with equal sets are one class, and only its least id goes on;
 * each class is first compared with one hub, the least class of most of its groups;
-* pairs that are joined already, by whatever chain, need no look. As long as the groups still hold
-  many pairs across components, further hubs are tried; then every such pair is verified.
+* pairs that are joined already, by whatever chain, need no look; further hubs are tried as long as they
+  join many; then every pair across components is counted.
 
 So no link between components is missed, and a large group of copies costs a few pairs a member.
 
-Frequencies come from a fixed number of counters over all texts. They only arrange the order: any
-order gives the same links. Groups of frequent shingles are split by salt; their parts meet in the
-later rounds.
+Frequent shingles are found by exact counts within blocks of texts, summed over all of them. They only
+arrange the order: any order gives the same links. Groups of very frequent shingles are split by salt;
+their parts meet in the later rounds.
 
 Defined cases: a null or empty text, or one without words, has no shingles, is linked with nothing and
 is its own component; rows that share a doc_id are one node, linked where any of its texts is; a null
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offsetledger.llm.components import components
@@ -39,31 +40,43 @@ from offsetledger.llm.tables import written
 
 #: Similarity is at least SHARE / 100.
 SHARE = 80
-#: Frequency counters; their number is fixed, whatever the size of the input.
-SLOTS = 1 << 15
+#: Per cent of a set by which its prefix is longer than it must be.
+LONGER = 8
 FRAGMENTS = 4
+#: A shingle is frequent from so many texts on, and from so many per million texts.
+FREQUENT, FREQUENT_PER_MILLION = 32, 100
+#: Shingles counted at once, and the least count within them that is reported.
+COUNTED, REPORTED = 8_000_000, 3
 #: Members that a part of a split group is meant to have.
-GROUP = 5_000
-#: While groups hold more unjoined pairs than this for each member, another round of hubs is tried.
-PAIRS_A_MEMBER = 8
-MAX_HUB_ROUNDS = 6
+GROUP = 50_000
+#: Further hubs are tried while one joins at least one of so many members.
+WORTHWHILE = 100
+MAX_HUB_ROUNDS = 4
+#: Ids of texts to verify that are sent to all tasks; beyond that, both sides are shuffled.
+MAX_BROADCAST_IDS = 200_000
 
 _SALT_BITS = 16
-_ROWS = "doc_id long, n long, sig1 long, sig2 long, slot int"
-_TOKENS = "bucket long, doc_id long, pos int"
+_ROWS = "doc_id long, n long, sig1 long, sig2 long, token long"
+_TOKENS = "bucket long, doc_id long"
 _SETS = "rep long, n long, fragment int, tokens array<long>"
 
 
-def _slot(value: np.ndarray) -> np.ndarray:
-    return (value >> np.uint64(40)).astype(np.int64) % SLOTS
+class Order:
+    """The global order: frequent shingles last, by the logarithm of their count; then by hash."""
 
+    def __init__(self, tokens: np.ndarray, counts: np.ndarray) -> None:
+        at = np.argsort(tokens)
+        self.tokens = tokens[at]
+        self.rank = (1 + np.log2(np.maximum(counts[at], 1))).astype(np.int8)
+        self.salts = np.minimum(counts[at] // GROUP, (1 << _SALT_BITS) - 2)
 
-def _levels(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per slot: the rank in the global order (0 for what is not frequent) and the number of salts."""
-    mean = max(counts.mean(), 1.0)
-    level = np.where(counts > 4 * mean, np.log2(np.maximum(counts, 1) / mean).astype(np.int64), 0)
-    salts = np.where(level > 0, np.minimum((counts - mean) // GROUP, (1 << _SALT_BITS) - 2), 0)
-    return level.astype(np.int8), salts.astype(np.int64)
+    def of(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank (0 for what is not frequent) and number of salts."""
+        if not len(self.tokens):
+            return np.zeros(len(value), dtype=np.int8), np.zeros(len(value), dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.tokens, value), len(self.tokens) - 1)
+        hit = self.tokens[at] == value
+        return np.where(hit, self.rank[at], 0), np.where(hit, self.salts[at], 0)
 
 
 def _signatures(owner: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -78,22 +91,35 @@ def _signatures(owner: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarra
 
 
 def _summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row per document, and at the end of a task its counters (with `slot` set)."""
-    counters = np.zeros(SLOTS, dtype=np.int64)
+    """A row per document, and for each block of texts one per shingle that several of them have."""
+    held: list[np.ndarray] = []
+    size = 0
+
+    def count() -> pd.DataFrame:
+        token, n = np.unique(np.concatenate(held), return_counts=True)
+        often = n >= REPORTED
+        empty = pd.array([pd.NA] * int(often.sum()), dtype="Int64")
+        return pd.DataFrame({"doc_id": empty, "n": n[often], "sig1": empty, "sig2": empty, "token": token[often].view(np.int64)})
+
     for batch in batches:
         texts = batch["text"].tolist()
         for part in blocks(texts):
             owner, value = distinct(*shingles(texts[part]))
-            counters += np.bincount(_slot(value), minlength=SLOTS)
             n, sig1, sig2 = _signatures(owner, value, len(texts[part]))
             ids = batch["doc_id"].iloc[part].astype("Int64").reset_index(drop=True)
-            yield pd.DataFrame({"doc_id": ids, "n": n, "sig1": sig1, "sig2": sig2}).assign(slot=pd.NA).astype({"slot": "Int32"})
-    used = np.flatnonzero(counters)
-    empty = pd.array([pd.NA] * len(used), dtype="Int64")
-    yield pd.DataFrame({"doc_id": empty, "n": counters[used], "sig1": empty, "sig2": empty, "slot": used.astype(np.int32)})
-
-
-def _prefixes(batches: Iterator[pd.DataFrame], levels: np.ndarray, salts: np.ndarray) -> Iterator[pd.DataFrame]:
+            rows = pd.DataFrame({"doc_id": ids, "n": n, "sig1": sig1, "sig2": sig2})
+            yield rows.assign(token=pd.array([pd.NA] * len(rows), dtype="Int64"))
+            held.append(value)
+            size += len(value)
+            if size >= COUNTED:
+                yield count()
+                held.clear()
+                size = 0
+    if size:
+        yield count()
+
+
+def _prefixes(batches: Iterator[pd.DataFrame], order: Order) -> Iterator[pd.DataFrame]:
     """The prefix of each document's set; of equal sets within one task only the first."""
     seen: set[tuple[int, int]] = set()
     for batch in batches:
@@ -101,7 +127,7 @@ def _prefixes(batches: Iterator[pd.DataFrame], levels: np.ndarray, salts: np.nda
         for part in blocks(texts):
             owner, value = distinct(*shingles(texts[part]))
             n, sig1, sig2 = _signatures(owner, value, len(texts[part]))
-            owner, value = distinct(owner, value, levels[_slot(value)])
+            owner, value = distinct(owner, value, order.of(value)[0])
             ids = batch["doc_id"].iloc[part]
             begins = np.cumsum(n) - n
             new = ids.notna().to_numpy()
@@ -112,14 +138,14 @@ def _prefixes(batches: Iterator[pd.DataFrame], levels: np.ndarray, salts: np.nda
                 elif new[at]:
                     seen.add(key[1:])
             pos = np.arange(len(value)) - begins[owner]
-            size = n - (SHARE * n + 99) // 100 + 1
+            size = n - (SHARE * n + 99) // 100 + 1 + (LONGER * n + 99) // 100
             take = new[owner] & (pos < size[owner])
-            owner, value, pos = owner[take], value[take], pos[take]
+            owner, value = owner[take], value[take]
             numbers = ids.fillna(0).to_numpy(dtype=np.int64)[owner]
-            split = salts[_slot(value)]
+            split = order.of(value)[1]
             salt = np.where(split > 0, 1 + (mix(numbers.view(np.uint64)) >> np.uint64(1)).astype(np.int64) % np.maximum(split, 1), 0)
             bucket = (value & ~np.uint64((1 << _SALT_BITS) - 1)).view(np.int64) | salt
-            yield pd.DataFrame({"bucket": bucket, "doc_id": numbers, "pos": pos.astype(np.int32)})
+            yield pd.DataFrame({"bucket": bucket, "doc_id": numbers})
 
 
 def _fragments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -135,76 +161,109 @@ def _fragments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             reps = batch["doc_id"].iloc[part].to_numpy()
             n = np.bincount(owner, minlength=len(reps))
             at = owner[cuts]
+            if not len(at):
+                continue
             yield pd.DataFrame({"rep": reps[at], "n": n[at], "fragment": fragment[cuts].astype(np.int32), "tokens": sets[: len(cuts)]})
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) that are similar enough: overlaps per fragment, summed."""
+    reps = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "reps")
+    wanted = F.broadcast(reps) if reps.count() <= MAX_BROADCAST_IDS else reps
+    sets = written(texts.join(wanted, "doc_id", "left_semi").mapInPandas(_fragments, _SETS), "sets").distinct()
     a = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), "fragment", F.col("tokens").alias("ta"))
     b = sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), "fragment", F.col("tokens").alias("tb"))
-    # A pair has a row for each fragment of `a`; fragments that `b` lacks add nothing.
+    # A pair has a row for each fragment that both sets have.
     partial = pairs.join(a, "a").join(b, ["b", "fragment"])
     partial = partial.select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("common"))
     total = partial.groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("o"))
     return total.where(100 * F.col("o") >= SHARE * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
 
 
-def _possible(na: str, pa: str, nb: str, pb: str):
-    """Whether sets of these sizes, whose first common shingle has these places, can be similar."""
-    least = 100 * F.least(na, nb) >= SHARE * F.greatest(na, nb)
-    rest = F.least(F.col(na) - F.col(pa), F.col(nb) - F.col(pb))
-    return least & ((100 + SHARE) * rest >= SHARE * (F.col(na) + F.col(nb)))
+def _rest(n: Column) -> Column:
+    """Shingles of a set of this size after its prefix."""
+    return F.greatest(F.floor((SHARE * n + 99) / 100) - 1 - F.floor((LONGER * n + 99) / 100), F.lit(0))
+
+
+def _needed(na: Column, nb: Column) -> Column:
+    """Common shingles in both prefixes that similar sets of these sizes have at least.
+
+    The prefix that ends first in the order bounds what can follow: all of its set's other shingles.
+    """
+    return F.ceil(SHARE * (na + nb) / (100 + SHARE)) - F.greatest(_rest(na), _rest(nb))
+
+
+def _enough(na: str, nb: str, common: str) -> Column:
+    """Whether sets of these sizes can be similar with so many common shingles in their prefixes."""
+    sizes = 100 * F.least(na, nb) >= SHARE * F.greatest(na, nb)
+    return sizes & (F.col(common) >= _needed(F.col(na), F.col(nb)))
+
+
+def _plausible(rows: DataFrame, group: str, whole: Column) -> DataFrame:
+    """The rows of sets that share enough with any others of possible size in their groups.
+
+    `whole` marks groups that hold all sets with their shingle. Fewest shingles are needed with the
+    smallest or the largest partner, so these two are tried for all groups of a set together.
+    """
+    own, n = Window.partitionBy("rep"), F.col("n")
+    for _ in range(2):
+        rows = rows.drop("k", "needed", "c")
+        groups = Window.partitionBy(group)
+        rows = rows.withColumn("k", F.count("*").over(groups)).withColumn("low", F.min("n").over(groups)).withColumn("high", F.max("n").over(groups))
+        rows = rows.where((F.col("k") > 1) | ~whole)
+        rows = rows.withColumn("low", F.when(whole, F.col("low")).otherwise(0)).withColumn("high", F.when(whole, F.col("high")).otherwise(2 * n))
+        low = F.greatest(F.min("low").over(own), F.ceil(SHARE * n / 100))
+        high = F.least(F.max("high").over(own), F.floor(100 * n / SHARE))
+        rows = rows.withColumn("needed", F.least(_needed(low, n), _needed(n, high), _needed(n, n))).withColumn("c", F.count("*").over(own))
+        rows = rows.where("c >= needed").drop("low", "high")
+    return rows
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     summary = written(texts.mapInPandas(_summarise, _ROWS), "summary")
-    rows = summary.where("slot is null").drop("slot")
-    counts = np.zeros(SLOTS, dtype=np.int64)
-    for row in summary.where("slot is not null").groupBy("slot").agg(F.sum("n").alias("n")).collect():
-        counts[row.slot] = row.n
-    levels, salts = _levels(counts)
+    rows = summary.where("token is null").drop("token")
+    often = max(FREQUENT, rows.count() * FREQUENT_PER_MILLION // 1_000_000)
+    # At most the shingles of an average text times the millions, however many texts there are.
+    counted = summary.where("token is not null").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= often)
+    frequent = counted.toPandas()
+    order = Order(frequent["token"].to_numpy(dtype=np.int64).view(np.uint64), frequent["n"].to_numpy(dtype=np.int64))
 
     classes = rows.where("n > 0").groupBy("sig1", "sig2").agg(F.min("doc_id").alias("rep"))
     members = written(rows.join(classes, ["sig1", "sig2"], "left"), "members")
 
-    tokens = texts.mapInPandas(lambda batches: _prefixes(batches, levels, salts), _TOKENS)
+    tokens = texts.mapInPandas(lambda batches: _prefixes(batches, order), _TOKENS)
     salted = F.col("bucket").bitwiseAND((1 << _SALT_BITS) - 1) != 0
     shared = tokens.withColumn("k", F.count("*").over(Window.partitionBy("bucket"))).where((F.col("k") > 1) | salted)
     by_class = members.where("rep is not null").select("doc_id", "rep", "n").distinct()
-    shared = shared.join(by_class, "doc_id").groupBy("bucket", "rep").agg(F.min("pos").alias("pos"), F.first("n").alias("n"))
+    shared = shared.join(by_class, "doc_id").groupBy("bucket", "rep").agg(F.max("n").alias("n"))  # copies are one
+    shared = _plausible(shared, "bucket", ~salted).drop("k", "needed", "c")
     group = Window.partitionBy("bucket")
-    shared = shared.withColumn("hub", F.min(F.struct("rep", "n", "pos")).over(group)).withColumn("k", F.count("*").over(group))
+    shared = shared.withColumn("hub", F.min(F.struct("rep", "n")).over(group)).withColumn("k", F.count("*").over(group))
     base = F.col("bucket").bitwiseAND(~((1 << _SALT_BITS) - 1)).alias("token")
-    shared = written(
-        shared.where((F.col("k") > 1) | salted).select(
-            base, "rep", "n", "pos", F.col("hub.rep").alias("h"), F.col("hub.n").alias("hn"), F.col("hub.pos").alias("hpos")
-        ),
-        "shared",
-    )
-    candidates = shared.select(F.col("rep").alias("doc_id")).distinct()
-    sets = written(texts.join(candidates, "doc_id", "left_semi").distinct().mapInPandas(_fragments, _SETS), "sets")
+    shared = shared.where((F.col("k") > 1) | salted)
+    shared = written(shared.select(base, "rep", "n", F.col("hub.rep").alias("h"), F.col("hub.n").alias("hn")), "shared")
 
     # Rows under one id with different texts are one node.
-    edges = rows.where("n > 0").groupBy("doc_id").agg(F.countDistinct("sig1", "sig2").alias("k")).where("k > 1")
-    edges = members.join(edges, "doc_id", "left_semi").where("rep is not null").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    near = _hub_pairs(shared.where("h <> rep"))
-    links = written(_verified(near, sets).union(edges), "links")
-    for turn in range(MAX_HUB_ROUNDS + 1):
-        joined = components(links)
+    several = rows.where("n > 0").groupBy("doc_id").agg(F.countDistinct("sig1", "sig2").alias("k")).where("k > 1")
+    own = members.join(several, "doc_id", "left_semi").where("rep is not null")
+    links = own.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    links = written(_verified(_hub_pairs(shared), texts).union(links), "links")
+    joined = components(links)
+    for turn in range(MAX_HUB_ROUNDS):
         left = _across(shared, joined)
-        open_pairs, size = left.groupBy("token", "component").agg(F.count("*").alias("k")).groupBy("token").agg(
-            F.sum("k").alias("s"), F.sum(F.col("k") * F.col("k")).alias("q")
-        ).agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.sum("s")).first()
-        if not open_pairs:
+        pairs = written(_hub_pairs(_with_hub(left, turn)), "pairs")
+        if pairs.isEmpty():
             break
-        exhaust = open_pairs <= PAIRS_A_MEMBER * max(size, 10_000) or turn == MAX_HUB_ROUNDS
-        found = _verified(written(_all_pairs(left) if exhaust else _hub_pairs(_with_hub(left, turn)), "pairs"), sets)
-        links = written(links.union(found), "links")
-        if exhaust:
-            joined = components(links)
+        found = written(_verified(pairs, texts), "found")
+        links = links.union(found)
+        if found.count() * WORTHWHILE < pairs.count():
             break
+        joined = components(links)
+    found = written(_verified(written(_all_pairs(_across(shared, joined)), "pairs"), texts), "found")
+    if not found.isEmpty():
+        joined = components(links.union(found))
 
     label = F.coalesce("component", "rep", "doc_id").cast("long")
     result = members.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
@@ -212,34 +271,46 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _hub_pairs(rows: DataFrame) -> DataFrame:
-    """Each class with the hub of most of its groups, if the two can be similar."""
-    possible = rows.where(_possible("n", "pos", "hn", "hpos"))
-    votes = possible.groupBy("rep", "h").agg(F.count("*").alias("votes"))
-    best = votes.groupBy("rep").agg(F.max_by("h", F.struct("votes", -F.col("h"))).alias("h"))
-    return best.select(F.col("h").alias("b"), F.col("rep").alias("a"))
+    """Each class with the hub of most of its groups, if these are enough."""
+    votes = rows.where("h <> rep").groupBy("rep", "n", "h", "hn").agg(F.count("*").alias("votes"))
+    likely = votes.where(_enough("n", "hn", "votes"))
+    best = likely.groupBy("rep").agg(F.max_by("h", F.struct("votes", -F.col("h"))).alias("h"))
+    return best.select(F.col("rep").alias("a"), F.col("h").alias("b"))
 
 
 def _across(shared: DataFrame, joined: DataFrame) -> DataFrame:
     """The rows of groups that still hold several components."""
     label = F.coalesce("component", "rep").alias("component")
-    rows = shared.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("token", "rep", "n", "pos", label)
-    rows = written(rows, "groups")
-    several = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return written(rows.join(several.where("low < high").select("token"), "token"), "open")
+    rows = shared.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("token", "rep", "n", label)
+    token = Window.partitionBy("token")
+    rows = rows.withColumn("first", F.min("component").over(token)).withColumn("last", F.max("component").over(token))
+    rows = rows.where("first < last").drop("first", "last")
+    return written(_plausible(rows, "token", F.lit(True)), "open")
 
 
 def _with_hub(rows: DataFrame, turn: int) -> DataFrame:
     place = F.xxhash64("rep", F.lit(turn))
-    hubs = rows.groupBy("token").agg(F.min(F.struct(place.alias("at"), "rep", "n", "pos", "component")).alias("hub"))
-    hubs = hubs.select(
-        "token", F.col("hub.rep").alias("h"), F.col("hub.n").alias("hn"), F.col("hub.pos").alias("hpos"), F.col("hub.component").alias("hc")
-    )
+    hubs = rows.groupBy("token").agg(F.min(F.struct(place.alias("at"), "rep", "n", "component")).alias("hub"))
+    hubs = hubs.select("token", F.col("hub.rep").alias("h"), F.col("hub.n").alias("hn"), F.col("hub.component").alias("hc"))
     return rows.join(hubs, "token").where("component <> hc")
 
 
 def _all_pairs(rows: DataFrame) -> DataFrame:
-    """Every pair across components that can be similar, each once."""
-    x = rows.select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("component").alias("ca"))
-    y = rows.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("cb"))
-    pairs = x.join(y, "token").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _possible("na", "pa", "nb", "pb"))
-    return pairs.select("a", "b").distinct()
+    """Every pair across components that has enough common shingles in both prefixes.
+
+    A set whose partner needs m of its c open shingles shares one of the first c - m + 1 with it, in any
+    order that is the same for both sets; here those in the smallest groups come first. Only these make
+    pairs, and all open shingles are compared afterwards.
+    """
+    first = Window.partitionBy("rep").orderBy("k", "token")
+    telling = rows.withColumn("at", F.row_number().over(first)).where("at <= c - needed + 1")
+    x = telling.select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    y = telling.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    near = 100 * F.least("na", "nb") >= SHARE * F.greatest("na", "nb")
+    pairs = x.join(y, "token").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & near)
+    pairs = pairs.select("a", "na", "b", "nb").distinct()
+    own = rows.groupBy("rep").agg(F.collect_set("token").alias("tokens"))
+    pairs = pairs.join(own.select(F.col("rep").alias("a"), F.col("tokens").alias("ta")), "a")
+    pairs = pairs.join(own.select(F.col("rep").alias("b"), F.col("tokens").alias("tb")), "b")
+    counted = pairs.select("a", "na", "b", "nb", F.size(F.array_intersect("ta", "tb")).alias("common"))
+    return counted.where(_enough("na", "nb", "common")).select("a", "b")
