@@ -78,7 +78,7 @@ class WordEncoder:
             known.clear()
             known[""] = b""
         marked = [w for w in words if w[-1] in ",." and w[:-1].isalpha()]
-        plain = list({w for w in words if w.isalpha()} | {w[:-1] for w in marked if w[:-1] not in known})
+        plain = list({w for w in words if w.isalpha()}.union(w[:-1] for w in marked if w[:-1] not in known))
         for at in range(0, len(plain), 512):
             some = plain[at : at + 512]
             ids = self._encode([" ".join(some)])[0]
@@ -90,8 +90,9 @@ class WordEncoder:
                     begin = stop
             else:  # a letter that the vocabulary takes apart
                 known.update((w, x.tobytes()) for w, x in zip(some, self._encode(some)))
-        for mark in {w[-1] for w in marked} - known.keys():
-            known[mark] = self._encode([mark])[0].tobytes()
+        for mark in ",.":
+            if mark not in known:
+                known[mark] = self._encode([mark])[0].tobytes()
         for word in marked:
             known[word] = known[word[:-1]] + known[word[-1]]
         rest = [w for w in words if w not in known]
@@ -101,13 +102,26 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids, little-endian and four bytes each."""
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        self._learn(set().union(*split) - self.known.keys() if split else set())
-        known = self.known
-        return [
-            b"".join([known[w] for w in words]) if all(map(known.__contains__, words)) else self._encode([text])[0].tobytes()
-            for text, words in zip(texts, split)
-        ]
+        out: list[bytes | None] = []
+        missing: set[str] = set()
+        again: list[int] = []
+        get = self.known.get
+        for at, text in enumerate(texts):
+            words = text.replace("\n", " ").split(" ")
+            found = list(map(get, words))
+            if None in found:
+                missing.update(word for word, ids in zip(words, found) if ids is None)
+                again.append(at)
+                out.append(None)
+            else:
+                out.append(b"".join(found))
+        if missing:
+            self._learn(missing)
+        for at in again:
+            found = list(map(get, texts[at].replace("\n", " ").split(" ")))
+            # A word may be gone again if the table was emptied for this batch.
+            out[at] = self._encode([texts[at]])[0].tobytes() if None in found else b"".join(found)
+        return out
 
 
 class Levels:

@@ -217,13 +217,14 @@ class Codec:
             else:
                 parts = []
             words.append(parts)
-        self._learn(set().union(*words) - self.known.keys() if words else set())
         known, out = self.known, []
+        if new := {word for word in set().union(*words) if word not in known}:
+            self._learn(new)
         for parts in words:
             try:
                 out.append(b"".join([known[part] for part in parts]))
             except KeyError:
-                self._learn(set(parts) - known.keys())
+                self._learn({part for part in parts if part not in known})
                 out.append(b"".join([known[part] for part in parts]))
         return out
 
