@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -16,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offsetledger.functions.paths import sink_prefix
+from offsetledger.functions.paths import decode_path, normalize_path, sink_prefix
 from offsetledger.functions.timecols import bucket_columns, epoch_millis, hour_start
 from offsetledger.operators.offsets import (
     first_gaps,
@@ -39,6 +40,7 @@ from offsetledger.operators.selection import (
     select_paths,
     stale,
 )
+from offsetledger.plans.audit import Audit, audit_offsets
 from offsetledger.plans.views import coordinates_view, hourly_commit_log, log_view
 from offsetledger.schemas import ENRICHED, PARTITIONS
 from offsetledger.session import work_dir
@@ -181,10 +183,12 @@ def round_robin_orders(spark, sf_dir):
 
 
 def round_robin_unordered(spark, sf_dir):
-    """Each task counts its own rows, so only the counts are comparable, and they are whole."""
-    assigned = assign_round_robin(_table(spark, sf_dir, "lineitem").select("l_orderkey"), 10)
-    in_range = F.col("partition").between(0, 9)
-    return assigned.agg(F.count_if(in_range).alias("assigned"), F.countDistinct("partition").alias("partitions"))
+    """Each task goes round with its own rows: sizes differ by at most one for each task."""
+    rows = _table(spark, sf_dir, "lineitem").select("l_orderkey").withColumn("task", F.spark_partition_id())
+    sizes = assign_round_robin(rows, 10).groupBy("partition").agg(F.count("*").alias("n"), F.collect_set("task").alias("tasks"))
+    tasks = F.size(F.array_distinct(F.flatten(F.collect_list("tasks"))))
+    even = (F.max("n") - F.min("n") <= tasks).alias("even")
+    return sizes.agg(F.sum("n").alias("assigned"), F.count("*").alias("partitions"), even)
 
 
 # --- commit log ---------------------------------------------------------------------
@@ -356,6 +360,69 @@ def ingest_buckets(spark, sf_dir):
     return union_records(tables).groupBy("sink", "year", "month", "day", "hour").agg(F.count("*").alias("records"))
 
 
+def _committed(spark: SparkSession, sf_dir: str) -> IngestPaths:
+    """An ingest of the whole events table in three batches: a third of the ids each."""
+    base = work_dir(spark, "committed")
+    log = log_view(_table(spark, sf_dir, "events"), "events", "event_id", "ts", keep=("event_id",))
+    for third in range(3):
+        log.where(F.col("event_id") % 3 == third).drop("event_id").coalesce(1).write.parquet(f"{base}/log/part={third}")
+    paths = IngestPaths(f"{base}/output", f"{base}/dropped", f"{base}/commit-log")
+    stream = read_log_table(spark, f"{base}/log/part=*", max_files_per_trigger=1)
+    run_ingest(stream, paths, f"{base}/checkpoint", trigger={"availableNow": True}).awaitTermination()
+    return paths
+
+
+def _committed_audit(spark: SparkSession, sf_dir: str, **options) -> Audit:
+    now = datetime.now(timezone.utc)
+    days = {"start": f"{now - timedelta(1):%m-%d-%Y}", "end": f"{now + timedelta(1):%m-%d-%Y}"}
+    return audit_offsets(spark, _committed(spark, sf_dir).commit_log, **days, **options)
+
+
+def committed_log_entries(spark, sf_dir):
+    """The commit log after three batches: rows of the logged files per sink and checkpoint."""
+    log = read_commit_log(spark, _committed(spark, sf_dir).commit_log)
+    rows = read_committed(spark, log, ENRICHED, with_file=True)
+    file = normalize_path(decode_path(F.col("file_path"))).alias("file")
+    stored = rows.select(file, "kafka_offset").groupBy("file").agg(F.count("*").alias("rows"))
+    entries = log.select(normalize_path(F.col("s3_key")).alias("file"), "source", "checkpoint_id")
+    return entries.join(stored, "file").groupBy("source", "checkpoint_id").agg(F.sum("rows").alias("rows"))
+
+
+def committed_checkpoints(spark, sf_dir):
+    """Every record carries the checkpoint under which its file is logged."""
+    log = read_commit_log(spark, _committed(spark, sf_dir).commit_log)
+    rows = read_committed(spark, log, ENRICHED, with_file=True)
+    rows = rows.select(normalize_path(decode_path(F.col("file_path"))).alias("file"), "checkpoint_id")
+    logged = log.select(normalize_path(F.col("s3_key")).alias("file"), F.col("checkpoint_id").alias("logged_id"))
+    same = F.count_if(F.col("checkpoint_id") == F.col("logged_id"))
+    return rows.join(logged, "file").agg(F.count("*").alias("records"), same.alias("same_checkpoint"))
+
+
+def committed_audit(spark, sf_dir):
+    """Summary of an audit of the real commit log over whole days."""
+    return _committed_audit(spark, sf_dir).summary
+
+
+def committed_gaps_output(spark, sf_dir):
+    """Gaps when only the main sink's files are audited."""
+    return _committed_audit(spark, sf_dir, sources=("output",)).gaps()
+
+
+def committed_verdicts(spark, sf_dir):
+    """Verdicts on the real commit log: both sinks, the main one alone, and with every file lost."""
+    paths = _committed(spark, sf_dir)
+    log = read_commit_log(spark, paths.commit_log)
+    lost = log.withColumn("s3_key", F.concat("s3_key", F.lit(".lost")))
+    cases = {"both": log, "output": log.filter("source = 'output'"), "lost": lost}
+    verdicts = [
+        offset_verdict(offset_summary(read_committed(spark, entries)), entries).select(
+            F.lit(case).alias("case_name"), "status", "total_missing", "total_duplicates", "exit_code"
+        )
+        for case, entries in cases.items()
+    ]
+    return reduce(DataFrame.unionAll, verdicts)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Offset audit of the whole log: both sinks together miss nothing."""
     return offset_summary_all(spark, SMOKE_DIR)
@@ -403,6 +470,11 @@ _QUERIES = [
     ingest_then_audit,
     ingest_records,
     ingest_buckets,
+    committed_log_entries,
+    committed_checkpoints,
+    committed_audit,
+    committed_gaps_output,
+    committed_verdicts,
 ]
 
 
@@ -554,7 +626,7 @@ def oracle_sql() -> dict[str, str]:
             CAST((row_number() OVER (ORDER BY event_id) - 1) % 10 AS INTEGER) AS partition FROM events""",
         "round_robin_orders": """SELECT o_orderkey,
             CAST((row_number() OVER (ORDER BY o_orderkey) - 1) % 7 AS INTEGER) AS partition FROM orders""",
-        "round_robin_unordered": """SELECT count(*) AS assigned, least(count(*), CAST(10 AS BIGINT)) AS partitions
+        "round_robin_unordered": """SELECT count(*) AS assigned, least(count(*), CAST(10 AS BIGINT)) AS partitions, true AS even
             FROM lineitem""",
         "commit_log_entries": f"{_HOURLY} SELECT * FROM hourly",
         "commit_log_by_checkpoint": f"{_HOURLY} SELECT * FROM hourly WHERE checkpoint_id = 19732",
@@ -597,4 +669,12 @@ def oracle_sql() -> dict[str, str]:
         "ingest_records": f"""WITH {_RECORDS}
             SELECT uuid, timestamp, kafka_topic, kafka_partition, kafka_offset FROM records""",
         "ingest_buckets": _BUCKETS,
-    } | _optional()[1]
+        "committed_log_entries": """SELECT CASE WHEN (event_id // 10) % 10 = 0 THEN 'dropped' ELSE 'output' END AS source,
+            event_id % 3 AS checkpoint_id, count(*) AS rows FROM events GROUP BY ALL""",
+        "committed_checkpoints": "SELECT count(*) AS records, count(*) AS same_checkpoint FROM events",
+        "committed_audit": audit_all,
+        "committed_gaps_output": f"WITH {_RECORDS} {_gaps_sql(_OUTPUT, *_COORDINATES)}",
+        "committed_verdicts": f"""WITH {_RECORDS} SELECT CASE case_name WHEN 'all' THEN 'both' WHEN 'nothing' THEN 'lost'
+                ELSE case_name END AS case_name, status, total_missing, total_duplicates, exit_code
+            FROM ({cases}) WHERE case_name IN ('all', 'output', 'nothing')""",
+} | _optional()[1]

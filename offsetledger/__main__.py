@@ -16,7 +16,7 @@ from offsetledger.operators.selection import AUDITED, files_of_checkpoint
 from offsetledger.plans.audit import audit_offsets, render_report
 from offsetledger.session import AUDIT_SETTINGS, build_session
 from offsetledger.sources.commit_log import read_commit_log
-from offsetledger.sources.log import encode_messages, kafka_options, publish, read_log, read_log_table
+from offsetledger.sources.log import MAX_OFFSETS, MIN_PARTITIONS, encode_messages, kafka_options, publish, read_log, read_log_table
 from offsetledger.streaming.ingest import IngestPaths, run_ingest
 
 
@@ -33,14 +33,16 @@ def _parser() -> argparse.ArgumentParser:
     audit = jobs.add_parser("audit", help="check a range of the commit log for missing offsets")
     _setting(audit, "--commit-log", "WRITE_AHEAD_COMMIT_LOG_PATH")
     audit.add_argument("range", nargs="*", metavar="DATE", help="start and end: MM-DD-YYYY or 'MM-DD-YYYY HH:MM'")
-    audit.add_argument("--paths", nargs="+", help="folders below the commit log, such as 03-06-2026/15/40")
+    audit.add_argument("--paths", nargs="+", help="folders below the commit log, such as 11-02-2025/07/15")
     audit.add_argument("--keys", nargs="+", default=list(DEFAULT_KEYS))
     audit.add_argument("--sources", nargs="+", default=list(AUDITED))
+    audit.add_argument("--roots", nargs="+", help="tables to list whole instead of the logged directories")
     audit.add_argument("--tolerant", action="store_true", help="skip data files that cannot be read")
 
     files = jobs.add_parser("files", help="list the data files of one checkpoint")
     _setting(files, "--commit-log", "WRITE_AHEAD_COMMIT_LOG_PATH")
     files.add_argument("checkpoint_id", type=int)
+    files.add_argument("--run", help="only of this run; ids start again with each")
 
     publishing = jobs.add_parser("publish", help="send a Parquet table to a topic, evenly over its partitions")
     publishing.add_argument("--table", required=True)
@@ -56,8 +58,8 @@ def _parser() -> argparse.ArgumentParser:
         _setting(job, "--security-protocol", "KAFKA_SECURITY_PROTOCOL", "PLAINTEXT")
         job.add_argument("--format", choices=("json", "avro"), default="json")
     ingest.add_argument("--group-id", default=os.environ.get("KAFKA_GROUP_ID"))
-    ingest.add_argument("--min-partitions", type=int, help="tasks per batch; splits large log partitions")
-    ingest.add_argument("--max-offsets", type=int, help="most messages per batch")
+    ingest.add_argument("--min-partitions", type=int, default=MIN_PARTITIONS, help="tasks per batch; splits large log partitions")
+    ingest.add_argument("--max-offsets", type=int, default=MAX_OFFSETS, help="most messages per batch")
     ingest.add_argument("--log-table", help="read a Parquet copy of the log instead of a topic")
     _setting(ingest, "--output", "OUTPUT_PATH")
     _setting(ingest, "--dropped", "DROPPED_PATH")
@@ -75,8 +77,7 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
     if args.job == "audit" and (len(args.range) != 2) == (not args.paths):
         parser.error("audit: give a start and an end, or --paths")
-    on_cluster = not (args.master or "").startswith("local")
-    settings = AUDIT_SETTINGS if args.job == "audit" and on_cluster else {}
+    settings = AUDIT_SETTINGS if args.job == "audit" else {}
     spark = build_session(f"offsetledger-{args.job}", args.master, settings)
     if args.job == "publish":
         rows = encode_messages(spark.read.parquet(args.table), args.format, args.uuid, args.timestamp)
@@ -84,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
         publish(assigned, args.servers, args.topic, security_protocol=args.security_protocol)
         return 0
     if args.job == "files":
-        entries = files_of_checkpoint(read_commit_log(spark, args.commit_log), args.checkpoint_id)
+        entries = files_of_checkpoint(read_commit_log(spark, args.commit_log), args.checkpoint_id, args.run)
         for row in entries.select("s3_key").toLocalIterator():
             print(row.s3_key)
         return 0
@@ -95,6 +96,7 @@ def main(argv: list[str] | None = None) -> int:
             args.commit_log,
             keys=tuple(args.keys),
             sources=tuple(args.sources),
+            roots=args.roots,
             strict=not args.tolerant,
             **chosen,
         )

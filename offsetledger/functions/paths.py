@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 # A log file's sink: `<sink>-subtask-…` names the file, `<sink>-batch-…` names its folder.
 _SINK_IN_NAME = r"([^/]+?)-(?:subtask|batch)-[^/]*(?:/[^/]+)?$"
+_RUN_IN_NAME = r"/[^/]+?-batch-([^/]+)-[0-9]+/[^/]+$"
+# Fixed value: characters that Spark escapes in the names of partition directories.
+_ESCAPED = "\"#%'*/:=?\\{[]^"
 _LOG_FOLDER = r"^.*/([0-9]{2}-[0-9]{2}-[0-9]{4}/.*)$"
 _BUCKETS = r"^(.*?)/year=[^/]+/"
 
@@ -48,6 +51,17 @@ def source_of(log_path: Column) -> Column:
     return F.when(marked != "", marked).otherwise(F.split(base_name(log_path), "-")[0])
 
 
+def run_of(log_path: Column) -> Column:
+    """The run that wrote a commit-log file, by its folder's name; null for files named otherwise."""
+    run = F.regexp_extract(log_path, _RUN_IN_NAME, 1)
+    return F.when(run != "", F.url_decode(F.replace(run, F.lit("+"), F.lit("%2B"))))
+
+
+def partition_value(value: str) -> str:
+    """A value as Spark spells it in a partition directory's name."""
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 32 or ord(c) == 127 else c for c in value)
+
+
 def table_root(key: Column) -> Column:
     """The table directory of a data file: what precedes its buckets, else its folder."""
     root = F.regexp_extract(key, _BUCKETS, 1)

@@ -25,6 +25,15 @@ class AuditRange:
         count = (self.last_day - self.first_day).days + 1
         return [f"{self.first_day + timedelta(n):%m-%d-%Y}" for n in range(max(count, 0))]
 
+    @property
+    def folders(self) -> list[str]:
+        """Log folders of the range: hours for minutes, else days."""
+        if self.first_ms is None:
+            return self.days
+        first = self.first_ms // 3_600_000
+        hours = range(first, self.last_ms // 3_600_000 + 1)
+        return [f"{datetime.fromtimestamp(hour * 3600, timezone.utc):%m-%d-%Y/%H}" for hour in hours]
+
 
 def parse_range(start: str, end: str) -> AuditRange:
     """Both ends inclusive; an end minute counts whole."""

@@ -151,16 +151,17 @@ def offset_totals(summary: DataFrame) -> DataFrame:
 def offset_verdict(summary: DataFrame, log: DataFrame | None = None) -> DataFrame:
     """One row: `status`, totals, `entries` and the process `exit_code`.
 
-    ERROR when nothing was selected, FAIL when offsets are missing, WARN when some are
+    ERROR when nothing was selected or what was selected gave no offset (all its files are lost
+    or empty), FAIL when offsets are missing, WARN when some are
     duplicates only, else PASS. `entries` counts the log's entries or, without a log, the
     summarized keys.
     """
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     counted = one if log is None else zero
-    measured = summary.select("missing_offsets", "duplicate_offsets", counted.alias("entries"))
+    measured = summary.select("missing_offsets", "duplicate_offsets", counted.alias("entries"), one.alias("keys"))
     if log is not None:
         entries = log.select(
-            zero.alias("missing_offsets"), zero.alias("duplicate_offsets"), one.alias("entries")
+            zero.alias("missing_offsets"), zero.alias("duplicate_offsets"), one.alias("entries"), zero.alias("keys")
         )
         measured = measured.unionAll(entries)
     totals = measured.agg(
@@ -170,11 +171,12 @@ def offset_verdict(summary: DataFrame, log: DataFrame | None = None) -> DataFram
                 ("missing_offsets", "total_missing"),
                 ("duplicate_offsets", "total_duplicates"),
                 ("entries", "entries"),
+                ("keys", "keys"),
             )
         ]
     )
     status = (
-        F.when(F.col("entries") == 0, "ERROR")
+        F.when((F.col("keys") == 0) | (F.col("entries") == 0), "ERROR")
         .when(F.col("total_missing") > 0, "FAIL")
         .when(F.col("total_duplicates") > 0, "WARN")
         .otherwise("PASS")

@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 # monotonically_increasing_id keeps the row's position within its task in the low 33 bits.
 _POSITION_BITS = (1 << 33) - 1
 
-# Rows that one task numbers, as long as that takes no more than MAX_SLICES cuts.
+# Rows that one task numbers.
 ROWS_PER_SLICE = 2_000_000
-MAX_SLICES = 10_000
 
 
 def assign_round_robin(
@@ -21,12 +20,19 @@ def assign_round_robin(
 ) -> DataFrame:
     """Add `partition`, going round 0..partitions-1.
 
-    Without `order_by` every task counts its own rows from 0, so no row moves; sizes then
-    differ by at most one per task. With `order_by` (a unique number, date or timestamp)
+    Without `order_by` every task goes round with its own rows, from its own number on, so no
+    row moves and tasks of few rows do not all begin alike; sizes differ by at most one per
+    task. In a stream each micro-batch row goes where its hash says, evenly up to chance: a
+    stream has no place to count. With `order_by` (a unique number, date or timestamp)
     the count runs through the whole frame in that order and is the same on every run.
     """
+    if df.isStreaming:
+        if order_by is not None:
+            raise ValueError("a stream has no order to number; leave order_by out")
+        place = F.xxhash64(*df.columns, F.rand(), F.lit("place"))
+        return df.withColumn("partition", F.pmod(place, F.lit(partitions)).cast("int"))
     if order_by is None:
-        position = F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS))
+        position = F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS)) + F.spark_partition_id()
         return df.withColumn("partition", (position % partitions).cast("int"))
     numbered = dense_position(df, order_by, rows_per_slice)
     return numbered.withColumn("partition", (F.col("_position") % partitions).cast("int")).drop("_position")
@@ -41,7 +47,8 @@ def dense_position(df: DataFrame, order_by: str, rows_per_slice: int = ROWS_PER_
     """
     column = F.col(order_by).cast("timestamp") if _is_time(df, order_by) else F.col(order_by)
     numbered = df.withColumn("_number", column.cast("double"))
-    slices = min(MAX_SLICES, max(1, math.ceil(df.count() / rows_per_slice)))
+    least = df.sparkSession.sparkContext.defaultParallelism
+    slices = max(least, 2, math.ceil(df.count() / rows_per_slice))
     cuts = _cuts(numbered, slices)
     order = F.col(order_by).asc_nulls_last()
     if not cuts:
@@ -64,9 +71,7 @@ def dense_position(df: DataFrame, order_by: str, rows_per_slice: int = ROWS_PER_
 
 
 def _cuts(numbered: DataFrame, slices: int) -> list[float]:
-    """Values between the slices; none for a single slice."""
-    if slices == 1:
-        return []
+    """Values between the slices."""
     shares = [step / slices for step in range(1, slices)]
     accuracy = max(10_000, 10 * slices)
     cuts = numbered.agg(F.percentile_approx("_number", shares, accuracy).alias("cuts")).first().cuts

@@ -42,9 +42,10 @@ def select_paths(log: DataFrame, paths: list[str]) -> DataFrame:
     return log.filter(reduce(or_, tests))
 
 
-def files_of_checkpoint(log: DataFrame, checkpoint_id: int) -> DataFrame:
-    """Entries of one checkpoint."""
-    return log.filter(F.col("checkpoint_id") == checkpoint_id)
+def files_of_checkpoint(log: DataFrame, checkpoint_id: int, run_id: str | None = None) -> DataFrame:
+    """Entries of one checkpoint, of all runs or of one; ids start again with each run."""
+    entries = log.filter(F.col("checkpoint_id") == checkpoint_id)
+    return entries if run_id is None else entries.filter(F.col("run_id") == run_id)
 
 
 def distinct_keys(log: DataFrame) -> DataFrame:

@@ -21,9 +21,6 @@ from offsetledger.operators.selection import AUDITED, entry_counts, select_minut
 from offsetledger.sources.commit_log import read_commit_log
 from offsetledger.sources.data_files import Listing, find_files, read_committed, unread_entries
 
-# Rows of the per-key summary that a text report shows; the frame itself is whole.
-REPORTED_KEYS = 1_000
-
 
 @dataclass
 class Audit:
@@ -66,7 +63,7 @@ def select_log(
         log = read_commit_log(spark, base, parse_paths(paths))
     elif start is not None and end is not None:
         wanted = parse_range(start, end)
-        log = read_commit_log(spark, base, wanted.days)
+        log = read_commit_log(spark, base, wanted.folders)
         if wanted.first_ms is not None:
             log = select_minutes(log, start, end)
     else:
@@ -94,7 +91,7 @@ def audit_offsets(
     log = select_log(spark, base, start=start, end=end, paths=paths, sources=sources)
     log = log.persist(StorageLevel.MEMORY_AND_DISK)
     found = find_files(spark, log, roots)
-    listing = Listing(found.globs, found.files.persist(StorageLevel.MEMORY_AND_DISK))
+    listing = Listing(found.files.persist(StorageLevel.MEMORY_AND_DISK))
     words = offset_words(read_committed(spark, log, listing=listing, strict=strict), keys)
     words = words.persist(StorageLevel.MEMORY_AND_DISK)
     summary = summarize_words(words, keys)
@@ -115,7 +112,11 @@ def render_report(audit: Audit) -> tuple[str, int]:
     """The audit as text, and the exit code."""
     result = audit.verdict.first()
     if result.status == "ERROR":
-        return f"ERROR: no commit-log entries for {audit.title}", result.exit_code
+        if not result.entries:
+            return f"ERROR: no commit-log entries for {audit.title}", result.exit_code
+        gone = audit.stale.count()
+        said = f"ERROR: {result.entries} commit-log entries for {audit.title} gave no offset, {gone} name lost files"
+        return said, result.exit_code
     lines = [f"Offset audit ({audit.title})"]
     for row in entry_counts(audit.log).orderBy("source").collect():
         lines.append(f"{row.source}: {row.entries} log entries, {row.distinct_files} files")
@@ -125,10 +126,10 @@ def render_report(audit: Audit) -> tuple[str, int]:
     unread = 0 if audit.unread is None else audit.unread.count()
     if unread:
         lines.append(f"WARNING: {unread} log entries name files that gave no rows")
-    lines += ["", *_table(audit.summary.orderBy(*audit.keys), REPORTED_KEYS), ""]
+    lines += ["", *_table(audit.summary.orderBy(*audit.keys)), ""]
     if result.status == "FAIL":
         lines += [f"FAIL: {result.total_missing} missing offset(s)", ""]
-        lines += _table(audit.gaps(limit=50), 50)
+        lines += _table(audit.gaps(limit=50))
     elif result.status == "WARN":
         lines += [f"WARN: {result.total_duplicates} duplicate offset(s)", "PASS: no offset is missing"]
     else:
@@ -136,9 +137,8 @@ def render_report(audit: Audit) -> tuple[str, int]:
     return "\n".join(lines), result.exit_code
 
 
-def _table(df: DataFrame, most: int) -> list[str]:
-    rows = df.limit(most + 1).collect()
-    cells = [df.columns] + [[str(value) for value in row] for row in rows[:most]]
+def _table(df: DataFrame) -> list[str]:
+    """All rows, as columns of text; a summary has a row for each log partition."""
+    cells = [df.columns] + [[str(value) for value in row] for row in df.toLocalIterator()]
     widths = [max(map(len, column)) for column in zip(*cells)]
-    lines = ["  ".join(cell.rjust(width) for cell, width in zip(row, widths)) for row in cells]
-    return lines + ["(more keys in the summary table)"] if len(rows) > most else lines
+    return ["  ".join(cell.rjust(width) for cell, width in zip(row, widths)) for row in cells]

@@ -89,9 +89,10 @@ COMMIT_LOG = StructType(
     ]
 )
 
-# The commit log once read: which CSV file a row came from, and the sink it speaks for.
+# The commit log once read: which CSV file a row came from, the sink and the run it speaks for.
 COMMIT_LOG_READ = StructType(
-    COMMIT_LOG.fields + [StructField("log_path", StringType()), StructField("source", StringType())]
+    COMMIT_LOG.fields
+    + [StructField("log_path", StringType()), StructField("source", StringType()), StructField("run_id", StringType())]
 )
 
 # The log coordinates an audit looks at.

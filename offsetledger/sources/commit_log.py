@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offsetledger.functions.paths import below_base, decode_path, one_of, source_of
+from offsetledger.functions.paths import below_base, decode_path, glob_escape, one_of, partition_value, run_of, source_of
 from offsetledger.schemas import COMMIT_LOG, COMMIT_LOG_READ
 
 
@@ -20,7 +20,7 @@ def read_commit_log(spark: SparkSession, base: str, folders: list[str] | None =
     """
     if folders is not None and not folders:
         return spark.createDataFrame([], COMMIT_LOG_READ)
-    path = base if folders is None else one_of(base, folders)
+    path = glob_escape(base) if folders is None else one_of(base, folders)
     reader = spark.read.schema(COMMIT_LOG).option("header", True)
     reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
     try:
@@ -31,12 +31,13 @@ def read_commit_log(spark: SparkSession, base: str, folders: list[str] | None =
         return spark.createDataFrame([], COMMIT_LOG_READ)
     log_path = below_base(decode_path(F.col("_metadata.file_path")))
     entries = entries.select("*", log_path.alias("log_path"))
-    return entries.withColumn("source", source_of(F.col("log_path")))
+    return entries.withColumns({"source": source_of(F.col("log_path")), "run_id": run_of(F.col("log_path"))})
 
 
-def batch_entries(files: DataFrame, batch_id: int, commit_ms: int) -> DataFrame:
-    """Commit-log rows for the files one batch wrote (`files` as from `list_files`)."""
-    return files.select(
+def batch_entries(spark: SparkSession, files: list[str], batch_id: int, commit_ms: int) -> DataFrame:
+    """Commit-log rows for the files one batch wrote (as `file_paths` spells them)."""
+    names = spark.createDataFrame([(path,) for path in files], "file_path string")
+    return names.select(
         F.lit(batch_id).cast("long").alias("checkpoint_id"),
         decode_path(F.col("file_path")).alias("s3_key"),
         F.lit(commit_ms).cast("long").alias("commit_timestamp"),
@@ -46,12 +47,10 @@ def batch_entries(files: DataFrame, batch_id: int, commit_ms: int) -> DataFrame:
 def commit_folder(base: str, prefix: str, run_id: str, batch_id: int, commit_ms: int) -> str:
     """Folder of one sink's entries for one batch; the same again when a batch is replayed."""
     at = datetime.fromtimestamp(commit_ms // 1000, timezone.utc)
-    return f"{base.rstrip('/')}/{at:%m-%d-%Y/%H/%M}/{prefix}-batch-{run_id}-{batch_id}"
+    run = partition_value(run_id)
+    return f"{base.rstrip('/')}/{at:%m-%d-%Y/%H/%M}/{prefix}-batch-{run}-{batch_id}"
 
 
 def append_commit_log(entries: DataFrame, folder: str, files: int = 1) -> None:
-    """Write one sink's entries of one batch, replacing an earlier attempt's.
-
-    The names are listed in parallel and only then gathered, so no coalesce.
-    """
+    """Write one sink's entries of one batch, replacing an earlier attempt's."""
     entries.repartition(files).write.mode("overwrite").option("header", True).csv(folder)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
-from functools import reduce
+from urllib.parse import unquote
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from offsetledger.functions.paths import (
     bucket_prefix,
@@ -21,16 +21,8 @@ from offsetledger.functions.paths import (
 )
 from offsetledger.schemas import BUCKET_COLUMNS, COORDINATES, ENRICHED, PARTITIONS
 
-# More table roots than this in one log means the keys are no bucketed tables.
-MAX_ROOTS = 100
-# Directories looked up by name; beyond it a coarser bucket level, at last the whole root.
-MAX_DIRS = 128
-# Keys put into the plan as literals, so that files are pruned while planning.
-MAX_LITERAL_KEYS = 2_000
-# Bytes of key text that may be broadcast.
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-
-LISTING = StructType([StructField("file_path", StringType()), StructField("s3_key", StringType())])
+# Directory names put into one glob; more names make more globs.
+NAMES_PER_GLOB = 128
 
 
 def _existing(load, path: str | list[str]) -> DataFrame | None:
@@ -43,80 +35,73 @@ def _existing(load, path: str | list[str]) -> DataFrame | None:
 
 
 def data_globs(log: DataFrame, roots: list[str] | None = None) -> list[str]:
-    """Globs, one per table root, for the directories the log's keys lie in.
+    """Globs for the directories the log's keys lie in: of bucketed tables the bucket
+    directories, else the files' own folders.
 
-    The finest bucket level with few enough directories is used, so the listing follows
-    the audited range and not the table's age, and no more than `MAX_DIRS` names per root
-    reach the driver.
+    So the listing follows the audited range and not the table's age, however long either
+    is. The driver holds a name for each directory, as any listing of them does.
     """
     if roots is not None:
         return [glob_escape(root.rstrip("/")) for root in roots]
     key = F.col("s3_key")
     located = log.filter(key.isNotNull()).select(
-        key, table_root(normalize_path(key)).alias("table"), table_root(key).alias("root")
+        table_root(normalize_path(key)).alias("table"),
+        table_root(key).alias("root"),
+        bucket_prefix(key, BUCKET_COLUMNS).alias("dir"),
     )
     # A table logged under several spellings of its path is one table.
-    found = located.groupBy("table").agg(F.min("root").alias("root")).limit(MAX_ROOTS + 1).collect()
-    if len(found) > MAX_ROOTS:
-        raise ValueError(f"the log names files in over {MAX_ROOTS} tables; give roots=[...]")
-    outer: dict[str, str] = {}
-    whole: set[str] = set()
-    for table, root in sorted(map(tuple, found)):
-        holder = next((name for name in outer if table.startswith(f"{name}/")), None)
-        if holder is None:
-            outer[table] = root
-        else:
-            # A table inside another's folder: the outer one is listed whole and has it.
-            whole.add(holder)
+    found = located.groupBy("table", "dir").agg(F.min("root").alias("root")).collect()
+    folders: dict[str, set[str]] = {}
+    for row in found:
+        parent, name = (row.root, row.dir) if row.dir else row.root.rsplit("/", 1)
+        folders.setdefault(parent, set()).add(name)
     globs = []
-    for table, root in outer.items():
-        if table in whole:
-            globs.append(glob_escape(root))
-            continue
-        below = located.filter(F.col("table") == table)
-        names: list[str] = []
-        for depth in range(len(BUCKET_COLUMNS), 0, -1):
-            level = bucket_prefix(key, BUCKET_COLUMNS[:depth]).alias("dir")
-            names = [row.dir for row in below.select(level).distinct().limit(MAX_DIRS + 1).collect()]
-            if len(names) <= MAX_DIRS:
-                break
-        usable = names and len(names) <= MAX_DIRS and all(names)
-        globs.append(one_of(root, sorted(names)) if usable else glob_escape(root))
+    for parent, names in sorted(folders.items()):
+        ordered = sorted(names)
+        for at in range(0, len(ordered), NAMES_PER_GLOB):
+            globs.append(one_of(parent, ordered[at : at + NAMES_PER_GLOB]))
     return globs
 
 
-def list_files_at(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Parquet files below `paths`, listed in one go; all paths absent lists nothing.
+def file_paths(spark: SparkSession, globs: list[str], recursive: bool = True) -> list[str]:
+    """Parquet files below the globs, each once, spelled as scans report them.
 
-    `file_path` is spelled as scans report it, `s3_key` is normalized. Only names are read.
+    The names come from Spark's file index, which lists directories in parallel; no file is
+    opened and no task runs over its bytes. A glob that matches nothing lists nothing.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    found = _existing(reader.option("recursiveFileLookup", True).load, paths)
-    if found is None:
-        return spark.createDataFrame([], LISTING)
-    names = found.select(F.col("_metadata.file_path").alias("file_path"))
-    return names.withColumn("s3_key", normalize_path(decode_path(F.col("file_path"))))
+    reader = reader.option("recursiveFileLookup", recursive)
+    listed = [_existing(reader.load, glob) for glob in globs]
+    # A scan's own column has one slash after the scheme of a local file.
+    names = {path for frame in listed if frame is not None for path in frame.inputFiles()}
+    return sorted(re.sub("^file:/+", "file:/", name) for name in names)
 
 
 def list_files(spark: SparkSession, globs: list[str]) -> DataFrame:
-    """Parquet files below each of the globs; those that match nothing list nothing."""
-    if not globs:
-        return spark.createDataFrame([], LISTING)
-    return reduce(DataFrame.unionAll, [list_files_at(spark, [glob]) for glob in globs])
+    """The files of `file_paths` as rows; `s3_key` is normalized."""
+    return _listed(spark, file_paths(spark, globs))
+
+
+def list_files_at(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Parquet files below literal directories; absent ones list nothing."""
+    return list_files(spark, [glob_escape(path) for path in paths])
+
+
+def _listed(spark: SparkSession, paths: list[str]) -> DataFrame:
+    names = spark.createDataFrame([(path,) for path in paths], "file_path string")
+    return names.withColumn("s3_key", normalize_path(decode_path(F.col("file_path"))))
 
 
 @dataclass(frozen=True)
 class Listing:
-    """Where a log's files lie (`globs`), and the `files` found there."""
+    """The files found where a log's keys lie."""
 
-    globs: list[str]
     files: DataFrame
 
 
 def find_files(spark: SparkSession, log: DataFrame, roots: list[str] | None = None) -> Listing:
-    """List the directories the log's keys lie in; `roots` names tables without buckets."""
-    globs = data_globs(log, roots)
-    return Listing(globs, list_files(spark, globs))
+    """List the directories the log's keys lie in; `roots` names tables to list whole."""
+    return Listing(list_files(spark, data_globs(log, roots)))
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType = ENRICHED) -> DataFrame:
@@ -132,47 +117,28 @@ def read_committed(
     listing: Listing | None = None,
     strict: bool = True,
     with_file: bool = False,
-    max_literal_keys: int = MAX_LITERAL_KEYS,
-    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows of the existing files named in the log, each file once; columns of `schema`.
 
     `with_file` adds `file_path`.
 
-    The log is resolved against the listing first, so the row scan compares nothing but
-    `_metadata.file_path`. Few files become literals and prune the scan while planning; a
-    longer list is broadcast after its size was summed; beyond that it is a shuffled
-    left-semi join. `strict=False` skips files that cannot be read.
+    The log is resolved against the listing first, and the scan is given exactly the files
+    that are wanted, so it neither opens others nor compares names, for one file or for
+    millions. (A scan's file index holds its files' names on the driver in any case.)
+    `strict=False` skips files that cannot be read.
     """
     listing = listing or find_files(spark, log)
-    wanted = committed_files(log, listing.files).select("file_path")
-    reader = spark.read.schema(schema).option("recursiveFileLookup", True)
-    reader = reader.option("pathGlobFilter", "*.parquet")
-    if not strict:
-        reader = reader.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
-    scans = [frame for frame in (_existing(reader.parquet, glob) for glob in listing.globs) if frame is not None]
+    wanted = [row.file_path for row in committed_files(log, listing.files).select("file_path").distinct().collect()]
     file = F.col("_metadata.file_path").alias("file_path")
-    if not scans:
+    if not wanted:
         empty = spark.createDataFrame([], schema)
         return empty.withColumn("file_path", F.lit("")) if with_file else empty
-    columns = [F.col(name) for name in schema.names]
-
-    # Held only while it is measured; the plan below resolves it once more by itself.
-    wanted.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        few = wanted.limit(max_literal_keys + 1).collect()
-        if len(few) <= max_literal_keys:
-            names = [row.file_path for row in few]
-            shown = [*columns, file] if with_file else columns
-            picked = [frame.filter(F.col("_metadata.file_path").isin(names)).select(*shown) for frame in scans]
-            return reduce(DataFrame.unionAll, picked)
-        size = wanted.agg(F.sum(F.octet_length("file_path") + 64).alias("bytes")).first().bytes
-    finally:
-        wanted.unpersist()
-    rows = reduce(DataFrame.unionAll, [frame.select(*columns, file) for frame in scans])
-    names = F.broadcast(wanted) if size <= max_broadcast_bytes else wanted
-    kept = rows.join(names, "file_path", "left_semi")
-    return kept.select(*schema.names, *(["file_path"] if with_file else []))
+    # Each name is a literal path, without buckets as columns.
+    reader = spark.read.schema(schema).option("recursiveFileLookup", True)
+    if not strict:
+        reader = reader.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
+    rows = reader.parquet(*[glob_escape(unquote(path)) for path in wanted])
+    return rows.select(*schema.names, *([file] if with_file else []))
 
 
 def unread_entries(

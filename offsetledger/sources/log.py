@@ -10,6 +10,9 @@ from pyspark.sql.types import StructType
 from offsetledger.functions.payload import encode_payload
 from offsetledger.schemas import LOG
 
+# Messages that one batch of a topic takes, and the tasks it is read by: a first batch is no whole topic.
+MAX_OFFSETS = 50_000_000
+MIN_PARTITIONS = 64
 # Bytes of files that one batch of a Parquet log takes.
 MAX_BATCH_BYTES = 100 * 1024**3
 
@@ -20,8 +23,8 @@ def kafka_options(
     *,
     security_protocol: str = "PLAINTEXT",
     group_id: str | None = None,
-    min_partitions: int | None = None,
-    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = MIN_PARTITIONS,
+    max_offsets_per_trigger: int | None = MAX_OFFSETS,
     **extra: str,
 ) -> dict[str, str]:
     """Options for Spark's Kafka source, from the earliest offset on.

@@ -8,12 +8,14 @@ exactly its own files and log entries.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from offsetledger.functions.paths import glob_escape, one_of, partition_value
 from offsetledger.functions.timecols import bucket_columns
 from offsetledger.operators.records import (
     DROPPED,
@@ -26,21 +28,17 @@ from offsetledger.operators.records import (
 )
 from offsetledger.schemas import BATCH_COLUMNS, BUCKET_COLUMNS
 from offsetledger.sources.commit_log import append_commit_log, batch_entries, commit_folder
-from offsetledger.sources.data_files import list_files_at
+from offsetledger.sources.data_files import NAMES_PER_GLOB, file_paths
 
 SINKS = (OUTPUT, DROPPED, QUARANTINED)
 PARTITION_COLUMNS = (*BUCKET_COLUMNS, *BATCH_COLUMNS)
 # The last millisecond of the year 9999.
 LAST_BUCKET_MS = 253_402_300_799_999
-# A bucket with no more rows than this is written by one task.
-MAX_ROWS_PER_TASK = 1_000_000
-# Up to this many buckets of a batch are listed by name; with more, by one glob.
-MAX_NAMED_BUCKETS = 1_000
 
 
 @dataclass(frozen=True)
 class IngestPaths:
-    """Where an ingest writes. Without `quarantine` malformed messages are only counted out."""
+    """Where an ingest writes. Malformed messages go beside `output` unless `quarantine` says where."""
 
     output: str
     dropped: str
@@ -48,8 +46,8 @@ class IngestPaths:
     quarantine: str | None = None
 
     def tables(self) -> dict[str, str]:
-        named = {OUTPUT: self.output, DROPPED: self.dropped, QUARANTINED: self.quarantine}
-        return {sink: path for sink, path in named.items() if path}
+        quarantine = self.quarantine or f"{self.output.rstrip('/')}-quarantine"
+        return {OUTPUT: self.output, DROPPED: self.dropped, QUARANTINED: quarantine}
 
 
 def prepare(
@@ -81,17 +79,38 @@ def prepare(
 
 
 def write_bucketed(df: DataFrame, path: str) -> None:
-    """Write a batch below its bucket and batch directories, replacing only those."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*PARTITION_COLUMNS).parquet(path)
+    """Add a batch below its bucket and batch directories, which hold nothing before."""
+    df.write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
 
 
-def batch_paths(path: str, buckets: list[str] | None, run_id: str, batch_id: int) -> list[str]:
-    """Directories of one batch, by name or, with too many buckets, by one glob."""
-    leaf = f"run_id={run_id}/batch_id={batch_id}"
-    if buckets is None:
-        buckets = ["/".join(f"{name}=*" for name in BUCKET_COLUMNS)]
-    return [f"{path.rstrip('/')}/{bucket}/{leaf}" for bucket in buckets]
+def batch_folders(buckets: list[str], run_id: str, batch_id: int) -> list[str]:
+    """The directories below a table that one batch owns."""
+    leaf = f"run_id={partition_value(run_id)}/batch_id={batch_id}"
+    return [f"{bucket}/{leaf}" for bucket in buckets]
+
+
+def _clear(spark: SparkSession, path: str, folders: list[str]) -> None:
+    """Delete what an earlier attempt at a batch left in its own directories."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    files = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
+    for folder in folders:
+        files.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{folder}"), True)
+
+
+def _written_files(spark: SparkSession, path: str, folders: list[str], rows: int) -> list[str]:
+    """Names of a batch's files, after checking that every directory is there and that they hold all rows."""
+    globs = [one_of(path, folders[at : at + NAMES_PER_GLOB]) for at in range(0, len(folders), NAMES_PER_GLOB)]
+    files = file_paths(spark, globs, recursive=False)
+    depth = len(PARTITION_COLUMNS)
+    lost = set(folders) - {"/".join(unquote(name).split("/")[-1 - depth : -1]) for name in files}
+    if lost:
+        raise RuntimeError(f"no data file below {path}/{min(lost)}: the batch must not be logged as complete")
+    # Only the files' footers are read.
+    stored = spark.read.parquet(*[glob_escape(unquote(name)) for name in files]).count()
+    if stored != rows:
+        raise RuntimeError(f"{len(files)} files of a batch hold {stored} rows instead of {rows}")
+    return files
 
 
 def process_batch(
@@ -99,30 +118,31 @@ def process_batch(
 ) -> None:
     """Write one prepared batch and log its files.
 
-    Order: files, then log. A crash in between is healed by the replay; what a failed
-    attempt leaves in the log shows up as stale entries.
+    Order: files, then log. A crash in between is healed by the replay, which sees the same
+    rows and so clears the same directories; what a failed attempt leaves in the log shows
+    up as stale entries. A sink whose files do not hold its rows fails the batch.
     """
+    spark = batch.sparkSession
     batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        most = len(SINKS) * MAX_NAMED_BUCKETS
+        # A row for each sink and hour of the batch.
         counted = batch.groupBy("sink", *BUCKET_COLUMNS).agg(
             F.min("committed_ms").alias("committed_ms"), F.count("*").alias("rows")
         )
-        found = counted.limit(most + 1).collect()
-        complete = len(found) <= most
+        found = counted.collect()
         for sink, path in paths.tables().items():
             mine = [row for row in found if row.sink == sink]
-            if complete and not mine:
+            if not mine:
                 continue
-            table = _sink_table(batch, sink, run_id, batch_id)
-            largest = max((row.rows for row in mine), default=0) if complete else None
-            write_bucketed(_gathered(table, sink, bucket_by, len(mine), largest), path)
             names = ["/".join(f"{name}={row[name]}" for name in BUCKET_COLUMNS) for row in mine]
-            leaves = batch_paths(path, names if complete else None, run_id, batch_id)
-            files = list_files_at(batch.sparkSession, leaves)
+            folders = batch_folders(names, run_id, batch_id)
+            _clear(spark, path, folders)
+            table = _sink_table(batch, sink, run_id, batch_id)
+            write_bucketed(_gathered(table, sink, bucket_by), path)
+            files = _written_files(spark, path, folders, sum(row.rows for row in mine))
             commit_ms = found[0].committed_ms
             folder = commit_folder(paths.commit_log, sink, run_id, batch_id, commit_ms)
-            append_commit_log(batch_entries(files, batch_id, commit_ms), folder, 1 + len(leaves) // 100)
+            append_commit_log(batch_entries(spark, files, batch_id, commit_ms), folder, 1 + len(files) // 100_000)
     finally:
         batch.unpersist()
 
@@ -134,17 +154,14 @@ def _sink_table(batch: DataFrame, sink: str, run_id: str, batch_id: int) -> Data
     return table.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("long")})
 
 
-def _gathered(table: DataFrame, sink: str, bucket_by: str, buckets: int, largest: int | None) -> DataFrame:
+def _gathered(table: DataFrame, sink: str, bucket_by: str) -> DataFrame:
     """Bring rows that share a directory together, where that saves files.
 
     By processing time a batch has one bucket: its main rows stay where they were read,
-    the thin side tables are gathered. By event time rows meet by bucket; one task per
-    bucket while all are small, else rebalancing, which splits the hot ones.
+    the thin side tables are gathered. By event time rows meet by bucket, hot buckets being
+    split over several tasks and small ones sharing one.
     """
     if bucket_by == "event":
-        if largest is not None and largest <= MAX_ROWS_PER_TASK:
-            tasks = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            return table.repartition(max(1, min(buckets, tasks)), *BUCKET_COLUMNS)
         return table.hint("rebalance", *BUCKET_COLUMNS)
     return table if sink == OUTPUT else table.hint("rebalance")
 
@@ -162,16 +179,17 @@ def run_ingest(
 ) -> StreamingQuery:
     """Start the ingest; exactly once per offset as long as `checkpoint_path` is kept.
 
-    `trigger` defaults to one batch a minute. `run_id` defaults to the query's id, which
-    lives in the checkpoint: a restart keeps it, a new checkpoint gets its own, so batch
-    numbers that start again never touch earlier files.
+    `trigger` defaults to one batch a minute. A batch's run id ends with the query's id,
+    which lives in the checkpoint: a restart keeps it, a new checkpoint gets its own, so batch
+    numbers that start again never touch earlier files. `run_id` is put before it.
     """
     prepared = prepare(log, fmt=fmt, drop_predicate=drop_predicate, bucket_by=bucket_by)
     counts = [F.count_if(F.col("sink") == sink).alias(sink) for sink in SINKS]
     observed = prepared.observe("ingest", *counts)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        run = run_id or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        own = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        run = f"{run_id}-{own}" if run_id else own
         process_batch(batch, batch_id, paths, run, bucket_by)
 
     writer = observed.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_path)

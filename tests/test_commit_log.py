@@ -44,6 +44,7 @@ def test_read_all_with_source_and_types(spark, base):
         ("commit_timestamp", "bigint"),
         ("log_path", "string"),
         ("source", "string"),
+        ("run_id", "string"),
     ]
     assert {(row.log_path[:16], row.source) for row in log.collect()} == {
         ("03-03-2026/21/36", "output"),

@@ -28,8 +28,7 @@ def tables(spark, tmp_path):
 
 @pytest.fixture
 def log(spark, tables):
-    files = D.list_files_at(spark, [str(tables / "output"), str(tables / "dropped")])
-    return batch_entries(files, 1, 0)
+    return batch_entries(spark, D.file_paths(spark, [str(tables / "output"), str(tables / "dropped")]), 1, 0)
 
 
 def day_one(log):
@@ -46,26 +45,17 @@ def test_globs_follow_the_selected_buckets(spark, tables, log, monkeypatch):
     one_hour = log.filter(F.col("s3_key").contains("/output/") & F.col("s3_key").contains("/day=01/hour=03/"))
     (glob,) = D.data_globs(one_hour)
     assert glob.endswith("/output/{year=2026/month=03/day=01/hour=03}")
-    monkeypatch.setattr(D, "MAX_DIRS", 5)
-    assert [glob.rsplit("/output/", 1)[-1] for glob in D.data_globs(log)][1:] == [
-        "{year=2026/month=03/day=01,year=2026/month=03/day=02}"
-    ]
-    monkeypatch.setattr(D, "MAX_DIRS", 0)
-    assert sorted(glob.rsplit("/", 1)[-1] for glob in D.data_globs(log)) == ["dropped", "output"]
-    monkeypatch.setattr(D, "MAX_ROOTS", 1)
-    with pytest.raises(ValueError):
-        D.data_globs(log)
+    assert len(D.data_globs(log)) == 2
+    monkeypatch.setattr(D, "NAMES_PER_GLOB", 5)
+    assert len(D.data_globs(log)) == 10
+    assert D.read_committed(spark, log).count() == 480
     assert len(D.data_globs(log, [str(tables / "output")])) == 1
 
 
-WAYS = [{}, {"max_literal_keys": 3}, {"max_literal_keys": 3, "max_broadcast_bytes": 10}]
-
-
-@pytest.mark.parametrize("limits", WAYS)
-def test_every_way_reads_exactly_the_logged_files_once(spark, tables, log, limits):
+def test_exactly_the_logged_files_are_read_once(spark, tables, log):
     # Each file is logged twice and must still be read once.
     wanted = day_one(log).unionAll(day_one(log))
-    rows = D.read_committed(spark, wanted, **limits)
+    rows = D.read_committed(spark, wanted)
     assert rows.columns == ["kafka_topic", "kafka_partition", "kafka_offset"]
     counts = rows.groupBy("kafka_offset").count().collect()
     assert {(row.kafka_offset, row["count"]) for row in counts} == {(n, 2) for n in range(0, 240, 2)}
@@ -89,7 +79,6 @@ def test_tables_inside_another_folder_are_read_once(spark, tables, log):
     loose = spark.createDataFrame([(1, str(moved), 0)], log.schema)
     rows = D.read_committed(spark, log.unionAll(loose))
     assert rows.count() == 490
-    assert D.data_globs(log.unionAll(loose))[0].endswith("a b+c")
 
 
 def test_literal_keys_prune_files_and_columns(spark, tables, log):
@@ -102,11 +91,34 @@ def test_literal_keys_prune_files_and_columns(spark, tables, log):
     assert "Join" not in plan
 
 
-def test_broadcast_and_shuffle_are_chosen_by_size(spark, tables, log):
-    small = D.read_committed(spark, log, max_literal_keys=3)
-    large = D.read_committed(spark, log, max_literal_keys=3, max_broadcast_bytes=10)
-    assert "ResolvedHint (strategy=broadcast)" in small._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+@pytest.mark.parametrize("wanted", [1, 2_001, 10_000])
+def test_only_wanted_files_are_opened(spark, tmp_path, wanted):
+    """Hard links of one file stand for a large table; twice as many lie there as are logged."""
+    spark.range(1).select(F.lit(0).alias("kafka_partition"), F.col("id").alias("kafka_offset")).coalesce(1).write.parquet(str(tmp_path / "one"))
+    (file,) = (tmp_path / "one").glob("*.parquet")
+    folder = tmp_path / "t/year=2026/month=03/day=01/hour=00"
+    folder.mkdir(parents=True)
+    for number in range(2 * wanted):
+        (folder / f"part-{number}.parquet").hardlink_to(file)
+    names = spark.range(wanted).select(F.lit(1).alias("checkpoint_id"), F.format_string(f"{folder}/part-%d.parquet", F.col("id")).alias("s3_key"))
+    rows = D.read_committed(spark, names)
+    assert rows.count() == wanted
+    rows.select("kafka_offset").collect()
+    metrics = rows.select("kafka_offset")
+    assert len(metrics.inputFiles()) == wanted
+
+
+def test_a_missing_folder_does_not_hide_the_others(spark, tables, log):
+    gone = spark.createDataFrame([(1, f"{tables}/gone/day-1/x.parquet", 0)], log.schema)
+    assert D.read_committed(spark, log.unionAll(gone)).count() == 480
+    assert D.list_files_at(spark, [f"{tables}/gone", f"{tables}/output"]).count() == 24
+
+
+def test_a_folder_for_every_day_is_no_limit(spark, tmp_path):
+    rows = spark.range(150).select(F.lit(0).alias("kafka_partition"), F.col("id").alias("kafka_offset"), (F.col("id")).alias("day"))
+    rows.repartition(8, "day").write.partitionBy("day").parquet(str(tmp_path / "days"))
+    log = batch_entries(spark, D.file_paths(spark, [str(tmp_path / "days")]), 1, 0)
+    assert D.read_committed(spark, log).count() == 150
 
 
 def test_lost_files_are_stale_and_not_read(spark, tables, log):
@@ -146,9 +158,8 @@ def test_readable_files_are_not_reported(spark, log):
     assert D.unread_entries(spark, log.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("limits", WAYS)
-def test_rows_with_their_file(spark, log, limits):
-    rows = D.read_committed(spark, day_one(log), with_file=True, **limits)
+def test_rows_with_their_file(spark, log):
+    rows = D.read_committed(spark, day_one(log), with_file=True)
     assert rows.columns[-1] == "file_path"
     assert rows.select("file_path").distinct().count() == 24
 

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from offsetledger import schemas
 from offsetledger.__main__ import main
+from offsetledger.operators.selection import files_of_checkpoint
 from offsetledger.operators.offsets import offset_summary, offset_totals
 from offsetledger.plans.audit import audit_offsets, render_report
 from offsetledger.plans.views import log_view
 from offsetledger.sources.commit_log import read_commit_log
 from offsetledger.sources.data_files import list_files_at, read_committed
-from offsetledger.sources.log import encode_messages, kafka_options, publish, read_log_table
+from offsetledger.sources.log import MAX_OFFSETS, MIN_PARTITIONS, encode_messages, kafka_options, publish, read_log_table
 from offsetledger.streaming import ingest as I
 
 NOW = {"availableNow": True}
@@ -201,8 +202,7 @@ def test_malformed_messages_go_to_quarantine(job, spark):
     ]
 
 
-def test_event_time_buckets_and_own_predicate(job, spark, monkeypatch):
-    monkeypatch.setattr(I, "MAX_ROWS_PER_TASK", 3)
+def test_event_time_buckets_and_own_predicate(job, spark):
     job.run(bucket_by="event", drop_predicate=F.col("timestamp") < 3_600_000)
     table = spark.read.schema(schemas.PARTITIONS).parquet(job.paths.output)
     counts = table.groupBy("month", "day", "hour").count().collect()
@@ -212,12 +212,59 @@ def test_event_time_buckets_and_own_predicate(job, spark, monkeypatch):
     assert job.verdict()[0].status == "PASS"
 
 
-def test_too_many_buckets_to_name_are_listed_by_glob(job, monkeypatch):
-    monkeypatch.setattr(I, "MAX_NAMED_BUCKETS", 2)
-    job.run(bucket_by="event")
+@pytest.mark.parametrize("run_id", ["job:1", "a/b c", "50%=x", "{d}[1]*?^'q'"])
+def test_any_run_id_is_logged(job, run_id):
+    job.run(run_id=run_id)
+    assert job.verdict()[0].status == "PASS" and len(stored(job)) == BATCHES * PER_BATCH
+    (run,) = {row.run_id for row in job.logged().collect()}
+    assert run.startswith(f"{run_id}-")
+
+
+@pytest.mark.parametrize("name", ["out[1]", "o{a,b}", "o * b"])
+def test_any_table_path_is_logged(spark, tmp_path, name):
+    job = Job(spark, tmp_path)
+    job.paths = I.IngestPaths(str(tmp_path / name / "output"), str(tmp_path / name / "dropped"), str(tmp_path / name / "wal"))
+    job.run()
+    assert job.verdict()[0].status == "PASS" and len(stored(job)) == BATCHES * PER_BATCH
+
+
+def test_two_checkpoints_under_one_run_id_keep_all_rows(job, spark):
+    job.run("first", run_id="nightly")
+    job.run("second", run_id="nightly")
+    assert len(stored(job)) == 2 * BATCHES * PER_BATCH
+    runs = {row.run_id for row in job.logged().collect()}
+    assert len(runs) == 2
+    of_one = files_of_checkpoint(job.logged(), 0, min(runs))
+    assert of_one.count() and 2 * of_one.count() == files_of_checkpoint(job.logged(), 0).count()
+
+
+def test_a_batch_without_its_files_fails(job, monkeypatch):
+    monkeypatch.setattr(I, "write_bucketed", lambda df, path: None)
+    with pytest.raises(StreamingQueryException, match="no data file below"):
+        job.run()
+    assert not Path(job.paths.commit_log).exists()
+
+
+def test_malformed_messages_are_kept_by_default(job, spark):
+    job.paths = I.IngestPaths(job.paths.output, job.paths.dropped, job.paths.commit_log)
+    job.append(spark.createDataFrame([(None, bytearray(b"?"), "t", 0, 150, None, 0)], schemas.LOG))
+    job.run()
+    assert spark.read.parquet(f"{job.paths.output}-quarantine").count() == 1
+
+
+def test_lost_files(job):
+    job.run()
+    files = [Path(row.s3_key.removeprefix("file:")) for row in job.logged().filter("source = 'output'").collect()]
+    for file in files[1:]:
+        file.unlink()
     verdict, lost = job.verdict()
-    assert (verdict.status, lost) == ("PASS", 0)
-    assert len(stored(job)) == BATCHES * PER_BATCH
+    assert verdict.status != "ERROR" and lost == len(files) - 1
+    for row in job.logged().collect():
+        Path(row.s3_key.removeprefix("file:")).unlink(missing_ok=True)
+    audit = job.audit()
+    text, code = render_report(audit)
+    audit.close()
+    assert code == 1 and text.startswith("ERROR") and "gave no offset" in text
 
 
 def test_times_without_a_directory_use_the_clock(spark):
@@ -264,7 +311,8 @@ def test_cli_ingest_and_audit_by_path(job, spark, capsys):
 
 def test_kafka_options():
     plain = kafka_options("b:9092", "t")
-    assert plain == {"kafka.bootstrap.servers": "b:9092", "subscribe": "t", "startingOffsets": "earliest"}
+    bounds = {"maxOffsetsPerTrigger": str(MAX_OFFSETS), "minPartitions": str(MIN_PARTITIONS)}
+    assert plain == {"kafka.bootstrap.servers": "b:9092", "subscribe": "t", "startingOffsets": "earliest", **bounds}
     secured = kafka_options(
         "b:9094", "t", security_protocol="SSL", group_id="g", min_partitions=64, max_offsets_per_trigger=9
     )

@@ -67,6 +67,8 @@ def test_an_empty_log_is_an_error_and_a_full_one_counts_entries(spark):
     log = spark.createDataFrame([(1,), (2,), (3,)], "checkpoint_id long")
     assert O.offset_verdict(summary, log).first().entries == 3
     assert O.offset_verdict(summary, log.limit(0)).first().status == "ERROR"
+    nothing_read = O.offset_verdict(O.offset_summary(frame(spark, keyed([]))), log).first()
+    assert (nothing_read.status, nothing_read.entries, nothing_read.exit_code) == ("ERROR", 3, 1)
 
 
 def test_gaps_of_a_known_sequence(spark):

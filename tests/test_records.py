@@ -74,6 +74,21 @@ def test_unordered_round_robin_is_even_in_every_task(spark):
     assert sum(sizes) == 1003 and max(sizes) - min(sizes) <= 1
 
 
+def test_unordered_round_robin_is_even_over_many_small_tasks(spark):
+    df = assign_round_robin(spark.range(0, 1200, 1, 400), 10)
+    sizes = [row["count"] for row in df.groupBy("partition").count().collect()]
+    assert len(sizes) == 10 and max(sizes) - min(sizes) <= 4
+
+
+def test_round_robin_on_a_stream(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
+    query = assign_round_robin(stream, 4).writeStream.format("memory").queryName("placed").trigger(availableNow=True).start()
+    query.awaitTermination()
+    sizes = {row.partition: row["count"] for row in spark.table("placed").groupBy("partition").count().collect()}
+    assert set(sizes) == {0, 1, 2, 3} and min(sizes.values()) > 150
+
+
 def test_ordered_round_robin_equals_the_global_count(spark):
     # Uneven values, shuffled input, more slices than needed.
     values = sorted({n * n for n in range(500)} | set(range(100_000, 100_300)))
