@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offsetledger.llm.dom import Block, parse
+from offsetledger.llm.tables import drawn
 
 _GROUPS = (
     "#page body", "article", "main", "section", "div", "p", "h1 h2 h3 h4 h5 h6", "ul ol menu dl", "li dt dd", "nav", "aside",
@@ -306,9 +307,9 @@ _FALLBACK = ["Some words of a plain text, without any meaning, that fill a page
 
 def train(pages: DataFrame, sample_pages: int = 100, made_pages: int = 700, seed: int = 5) -> Extractor:
     """Trees for pages made with texts of at most `sample_pages` corpus pages, the same for the same table."""
-    drawn = pages.select("page_id", F.substring("html", 1, 20_000).alias("html")).where("html is not null")
-    drawn = drawn.orderBy(F.xxhash64("page_id", F.lit(seed)), "page_id", "html").limit(sample_pages).collect()
-    texts = [" ".join(t for b in parse(row.html) for _, t in b.parts) for row in drawn]
+    some = pages.where("html is not null").select("page_id", F.substring("html", 1, 20_000).alias("html"))
+    sample = drawn(some, sample_pages, seed, "page_id", "html").collect()
+    texts = [" ".join(t for b in parse(row.html) for _, t in b.parts) for row in sample]
     texts = [t for t in texts if t.count(" ") > 50] or _FALLBACK
     dice = random.Random(seed)
     made = [parse(_made_page(dice, texts)) for _ in range(made_pages)]

@@ -27,6 +27,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offsetledger.llm.tables import drawn
+
 FEATURES = 2048
 NONE, UNKNOWN = "none", "unknown"
 #: Share of a template's words that a paragraph must hold to confirm its family.
@@ -121,8 +123,8 @@ def train(docs: DataFrame, training: Training = Training()) -> Classifier:
     spark: SparkSession = docs.sparkSession
     made = F.array(*[F.struct(F.lit(text).alias("text"), F.lit(label).alias("label")) for text, label in _examples(training)])
     examples = spark.range(1).select(F.inline(made))
-    drawn = docs.select("doc_id", "text").where("text is not null").orderBy(F.xxhash64("doc_id", F.lit(training.seed)), "doc_id", "text")
-    lines = drawn.limit(training.corpus_lines).select(F.explode(F.slice(F.split("text", "\n"), 1, 50)).alias("text"))
+    texts = drawn(docs.where("text is not null").select("doc_id", "text"), training.corpus_lines, training.seed, "doc_id", "text")
+    lines = texts.select(F.explode(F.slice(F.split("text", "\n"), 1, 50)).alias("text"))
     # Lines with a licence's words are left to the templates.
     telling = r"(?i)licen[cs]e|copyright|rights reserved|creative commons|public domain|redistribut|permission is"
     lines = lines.where(~F.col("text").rlike(telling) & (F.length("text") > 0)).limit(training.corpus_lines)

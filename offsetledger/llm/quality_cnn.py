@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from offsetledger.llm.tables import drawn
+
 CHUNK, OVERLAP = 512, 64
 WIDTH, STRIDE, EMBED, FILTERS = 8, 4, 8, 48
 THRESHOLD = 0.3
@@ -158,9 +160,8 @@ def train(docs: DataFrame, labels: DataFrame, training: Training = Training()) -
     counts = {row.quality: row["count"] for row in usable.groupBy("quality").count().collect()}
     if len(counts) < 2:
         return None
-    place = F.xxhash64("doc_id", F.lit(training.seed))
-    drawn = [usable.where(F.col("quality") == q).orderBy(place, "doc_id").limit(training.docs_per_label) for q in (0, 1)]
-    sample = drawn[0].union(drawn[1]).distinct()  # at most twice docs_per_label short rows
+    bad, good = (drawn(usable.where(F.col("quality") == q), training.docs_per_label, training.seed, "doc_id") for q in (0, 1))
+    sample = bad.union(good).distinct()  # at most twice docs_per_label short rows
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from offsetledger.session import work_dir
 
@@ -23,3 +24,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = work_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drawn(df: DataFrame, limit: int, seed: int, *key: str) -> DataFrame:
+    """At most `limit` rows, the same for the same rows, by a hash of the columns `key`.
+
+    Only hashes below four times the share that is wanted are ordered, so that however many tasks there
+    are, they send few rows to the one that takes the first.
+    """
+    place = F.xxhash64(*key, F.lit(seed))
+    n, steps = df.count(), 1 << 40
+    if n > 4 * limit:
+        df = df.where(F.pmod(place, F.lit(steps)) < 4 * limit * steps // n)
+    return df.orderBy(place, *key).limit(limit)
