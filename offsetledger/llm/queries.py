@@ -162,4 +162,30 @@ WITH sound AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-ORACLE_SQL = {"op6_quality_rules": _OP6, "op7_url_filter": _OP7, "op9_topk": _OP9}
+_OP10 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(node, least) AS (
+  SELECT a, a FROM edges UNION SELECT e.b, r.least FROM reach r JOIN edges e ON e.a = r.node
+), components AS (
+  SELECT node, min(least) AS component_id FROM reach GROUP BY node
+)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, w.doc_id) AS component_id
+FROM words w LEFT JOIN sizes s ON s.doc_id = w.doc_id LEFT JOIN components c ON c.node = w.doc_id
+"""
+
+ORACLE_SQL = {"op6_quality_rules": _OP6, "op7_url_filter": _OP7, "op9_topk": _OP9, "op10_jaccard_join": _OP10}
