@@ -12,7 +12,8 @@ candidates. Only groups and the head, both of fixed size, are ever held whole.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part, nor do rows without an
 id; shorter vectors count as padded with zeros; an empty vector scores 0 with all; rows with the query's
-id are the query's own; rows that repeat id and vector count once; extra columns are not read.
+id are the query's own; rows that repeat id and vector count once; extra columns are not read. A score
+that does not fit a long is an error.
 """
 
 from __future__ import annotations
