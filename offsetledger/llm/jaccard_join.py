@@ -193,6 +193,17 @@ def _needed(na: Column, nb: Column) -> Column:
     return F.ceil(SHARE * (na + nb) / (100 + SHARE)) - F.greatest(_rest(na), _rest(nb))
 
 
+def _least_needed(n: Column, low: Column, high: Column) -> Column:
+    """The least of `_needed` over all partner sizes from `low` to `high`, `n` lying between them.
+
+    Up to n the longer set's rest stays, so the smallest partner needs least. Beyond n the unrounded number
+    falls by `slope` a size and three roundings move it by less than 3, so the least is near `high`.
+    """
+    slope = (SHARE - LONGER) / 100 - SHARE / (100 + SHARE)
+    beyond = [_needed(n, F.greatest(n, high - back)) for back in range(int(3 / slope) + 1)]
+    return F.least(_needed(low, n), _needed(n, n), *beyond)
+
+
 def _enough(na: str, nb: str, common: str) -> Column:
     """Whether sets of these sizes can be similar with so many common shingles in their prefixes."""
     sizes = 100 * F.least(na, nb) >= SHARE * F.greatest(na, nb)
@@ -202,8 +213,8 @@ def _enough(na: str, nb: str, common: str) -> Column:
 def _plausible(rows: DataFrame, group: str, whole: Column) -> DataFrame:
     """The rows of sets that share enough with any others of possible size in their groups.
 
-    `whole` marks groups that hold all sets with their shingle. Fewest shingles are needed with the
-    smallest or the largest partner, so these two are tried for all groups of a set together.
+    `whole` marks groups that hold all sets with their shingle. The least that any partner between the
+    smallest and the largest size needs is taken for all groups of a set together.
     """
     own, n = Window.partitionBy("rep"), F.col("n")
     for _ in range(2):
@@ -214,7 +225,7 @@ def _plausible(rows: DataFrame, group: str, whole: Column) -> DataFrame:
         rows = rows.withColumn("low", F.when(whole, F.col("low")).otherwise(0)).withColumn("high", F.when(whole, F.col("high")).otherwise(2 * n))
         low = F.greatest(F.min("low").over(own), F.ceil(SHARE * n / 100))
         high = F.least(F.max("high").over(own), F.floor(100 * n / SHARE))
-        rows = rows.withColumn("needed", F.least(_needed(low, n), _needed(n, high), _needed(n, n))).withColumn("c", F.count("*").over(own))
+        rows = rows.withColumn("needed", _least_needed(n, low, high)).withColumn("c", F.count("*").over(own))
         rows = rows.where("c >= needed").drop("low", "high")
     return rows
 

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from offsetledger.llm import jaccard_join as J
 from offsetledger.llm import suffix_dedup as S
@@ -120,6 +121,28 @@ def test_components_equal_brute_force(documents, monkeypatch, seed, frequent, gr
     assert [rows[at].component_id for at in range(len(texts))] == names
 
 
+def test_pairs_exactly_at_the_share_beside_a_larger_set(documents):
+    dice, texts = random.Random(7), []
+    for at in range(2500):
+        words = [f"t{at}w{n}" for n in range(60)]
+        begin = dice.randint(2, 17)
+        # 22 and 23 shingles, 20 in common (20 / 25); the third has 26, some of the common ones among them.
+        a, b = words[:26], words[2:26] + words[26:29]
+        c = words[begin : begin + dice.randint(5, 9)]
+        texts += [" ".join(x) for x in (a, b, c + words[30 : 60 - len(c)])]
+    assert brute_components(texts[:3]) == ([22, 23, 26], [0, 0, 2])
+    found = {row.doc_id: row.component_id for row in J.near_duplicates(documents(texts)).collect()}
+    lost = [at for at in range(0, len(texts), 3) if found[at + 1] != at]
+    assert not lost and all(found[at + k] == at + k for at in range(0, len(texts), 3) for k in (0, 2))
+
+
+def test_least_needed_is_the_least_of_all_partner_sizes(spark):
+    sizes = spark.sql(f"select n, h from (select explode(sequence(1, 260)) n) lateral view explode(sequence(n, 100 * n div {J.SHARE})) as h")
+    each = sizes.selectExpr("n", "explode(sequence(n, h)) as x", "h").withColumn("m", J._needed(F.col("n"), F.col("x")))
+    least = each.groupBy("n", "h").agg(F.min("m").alias("m")).withColumn("found", J._least_needed(F.col("n"), F.col("n"), F.col("h")))
+    assert least.where("found <> m").count() == 0 and least.count() > 8000
+
+
 def test_nulls_repeats_and_no_rows(documents):
     text = " ".join(WORDS[:40])
     docs = documents([text, text, None], [(0, text, "x", "y", 1), (None, text, None, None, None), (2, text, None, None, None)])
