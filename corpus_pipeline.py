@@ -20,8 +20,14 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the byte network predicts to be bad go."""
-    return quality_cnn.kept_documents(docs, table(spark, sf_dir, "labels"))
+    """Documents that the byte network predicts to be bad go.
+
+    It is trained on the whole table: among the documents that the rules keep, hardly any is labelled bad.
+    """
+    net = quality_cnn.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    if net is None:
+        raise ValueError(f"no network: {sf_dir} lacks labelled documents, not held out, of both labels")
+    return quality_cnn.kept_by(docs, net)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -234,7 +234,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, training: Training = Trai
 
 def kept_documents(docs: DataFrame, labels: DataFrame, training: Training = Training()) -> DataFrame:
     """The rows of `docs` that are predicted good, with their columns as they were."""
-    net = train(docs, labels, training)
+    return kept_by(docs, train(docs, labels, training))
+
+
+def kept_by(docs: DataFrame, net: ByteNet | None) -> DataFrame:
+    """The rows of `docs` that a network trained elsewhere predicts to be good."""
     packed = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,10 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline as pipeline
-from offsetledger.llm import jaccard_join, quality_rules, suffix_dedup
+from offsetledger.llm import jaccard_join, quality_cnn, quality_rules, suffix_dedup
 from tests.llm.test_dedup import brute_components, removed
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -41,3 +46,34 @@ def test_copies_of_rows_go(spark, documents):
     assert kept.columns == docs.columns
     assert sorted(str(row.doc_id) for row in kept.collect()) == ["0", "2", "None"]
     assert jaccard_join.near_duplicates(docs).count() == 5
+
+
+def test_classifier_is_trained_on_the_whole_table_and_rejects(spark, documents, tmp_path):
+    dice = random.Random(5)
+
+    def bad_line(end=""):
+        return " ".join("".join(dice.choice("qxzjvkw") for _ in range(dice.randint(3, 9))) + end for _ in range(60))
+
+    good = [row.text for row in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) > 1000").orderBy("doc_id").limit(150).collect()]
+    # Every bad document of the table has too many marks for the rules; those of the stage have none.
+    documents([f"{bad_line()}\n{bad_line('!!')}\n{bad_line('!!')}" for _ in range(150)] + good).write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(at, int(at >= 150)) for at in range(150 + len(good))]
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    kept = pipeline.rules(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path))
+    extra = [(1000 + n, f"{bad_line()}\n{bad_line()}", "en", "s", 1) for n in range(20)]
+    documents([], extra).write.parquet(str(tmp_path / "extra"))
+    passed = pipeline.rules(spark, spark.read.parquet(str(tmp_path / "extra")), str(tmp_path))
+    kept.union(passed).write.parquet(str(tmp_path / "kept"))
+    frame = spark.read.parquet(str(tmp_path / "kept"))
+    before = {row.doc_id for row in frame.collect()}
+    assert not any(n < 150 for n in before) and sum(n >= 1000 for n in before) == 20
+    after = {row.doc_id for row in pipeline.classifier(spark, frame, str(tmp_path)).collect()}
+    assert not any(n >= 1000 for n in after) and len(after) > 0.97 * (len(before) - 20)
+
+
+def test_classifier_without_bad_labels_fails(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{SF_DIR}/labels.parquet").where("quality = 1").write.parquet(str(tmp_path / "labels.parquet"))
+    with pytest.raises(ValueError, match="both labels"):
+        pipeline.classifier(spark, docs, str(tmp_path))
