@@ -182,3 +182,29 @@ def test_licences_of_documents(spark, documents):
     hits = rows.where("families <> ''").count()
     assert hits == corpus.where("text rlike '(?i)licen[cs]e|rights reserved'").count()
     assert L.scan(corpus.limit(0)).count() == 0
+
+
+def test_licences_inside_long_lines(spark, documents):
+    corpus = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    lines = [line for row in corpus.orderBy("doc_id").collect() for line in row.text.split("\n")]
+    prose = [w for line in lines if "icen" not in line and "rights" not in line for w in line.split()]
+    notices = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+        "apache": "Licensed under the Apache License, Version 2.0",
+        "gpl": "This work is licensed under the GNU General Public License, version 3",
+        "cc-by": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    }
+    dice, texts, wanted = random.Random(4), [], []
+    for family, notice in notices.items():
+        for size in (20, 50, 500, 5000):
+            for _ in range(4 if size < 5000 else 1):
+                begin = dice.randrange(len(prose) - size)
+                words, at = prose[begin : begin + size], dice.randint(0, size)
+                texts.append(" ".join(words[:at] + [notice] + words[at:]))
+                wanted.append((size, [family]))
+    # Two of them in one line.
+    texts.append(" ".join([*prose[:100], notices["mit"], *prose[100:300], notices["gpl"], *prose[300:400]]))
+    wanted.append((400, ["gpl", "mit"]))
+    rows = L.findings(documents(texts), L.train(corpus)).collect()
+    found = {row.doc_id: sorted(hit.found.family for hit in row.hits) for row in rows}
+    assert [(size, found[n]) for n, (size, _) in enumerate(wanted)] == wanted
