@@ -9,6 +9,7 @@ from offsetledger.llm import (
     jaccard_join,
     license_scan,
     packing,
+    periodic_runs,
     quality_cnn,
     quality_rules,
     sentencepiece_codec,
@@ -65,6 +66,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.with_planted_loops(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -78,6 +83,7 @@ QUERIES = {
         op8_license_scan,
         op9_topk,
         op10_jaccard_join,
+        op13_periodic_runs,
     )
 }
 
