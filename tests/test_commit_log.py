@@ -122,11 +122,11 @@ def test_finalized_and_stale_split_the_log(spark, base):
 def test_written_entries_are_read_back_and_a_second_write_replaces_them(spark, tmp_path):
     base = str(tmp_path / "log")
     at = ms("2026-03-03T07:05:09.123")
-    files = spark.createDataFrame([("file:/t/a%20b,c.parquet",), ("file:/t/d.parquet",)], "file_path string")
+    files = ["file:/t/a%20b,c.parquet", "file:/t/d.parquet"]
     folder = C.commit_folder(base, "output", "run1", 3, at)
     assert folder == f"{base}/03-03-2026/07/05/output-batch-run1-3"
     for _ in range(2):
-        C.append_commit_log(C.batch_entries(files, 3, at), folder)
+        C.append_commit_log(C.batch_entries(spark, files, 3, at), folder)
     log = C.read_commit_log(spark, base)
     rows = log.select("checkpoint_id", "s3_key", "commit_timestamp", "source").collect()
     assert sorted(map(tuple, rows)) == [

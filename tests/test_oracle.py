@@ -28,6 +28,7 @@ SAME_TYPE = {
     "int": "INTEGER",
     "string": "VARCHAR",
     "double": "DOUBLE",
+    "boolean": "BOOLEAN",
 }
 
 
