@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from offsetledger.llm import (
+    fingerprints,
     html_extract,
     jaccard_join,
     license_scan,
@@ -66,6 +67,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.digests(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.with_planted_loops(table(spark, sf_dir, "documents")))
 
@@ -83,6 +88,7 @@ QUERIES = {
         op8_license_scan,
         op9_topk,
         op10_jaccard_join,
+        op11_fingerprints,
         op13_periodic_runs,
     )
 }
