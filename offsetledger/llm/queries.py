@@ -15,6 +15,7 @@ from offsetledger.llm import (
     quality_rules,
     sentencepiece_codec,
     suffix_dedup,
+    token_alignment,
     topk,
     url_filter,
 )
@@ -71,6 +72,11 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment.digests(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.with_planted_loops(table(spark, sf_dir, "documents")))
 
@@ -89,6 +95,7 @@ QUERIES = {
         op9_topk,
         op10_jaccard_join,
         op11_fingerprints,
+        op12_token_alignment,
         op13_periodic_runs,
     )
 }
