@@ -31,10 +31,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import DoubleType, StringType, StructType
 
 from offsetledger.llm.shingles import mix
 from offsetledger.llm.tables import written
@@ -48,10 +48,13 @@ LEAST_ENTROPY = 100
 FILTER_BITS, HASHES, FILTER_FEATURES = 2048, 5, 160
 #: Share of what two filters can have in common beyond chance that still counts as nothing.
 CUT = 0.3
-#: Bytes taken at once.
-PIECE = 1 << 20
-#: Ids with the length that their neighbours need, sent to all tasks; beyond that, both sides are shuffled.
-MAX_BROADCAST_IDS = 500_000
+#: Bytes taken at once; a task's arrays take about 150 times as much memory.
+PIECE = 1 << 18
+#: Rows of one id that are brought together with its neighbour's beginning.
+ROWS_PER_PART = 10_000
+HEADS = "array<struct<key: long, part: int, kind: int, doc_id: long, n_chars: long, text: string, fingerprint: string>>"
+#: Ids with what their neighbours need, sent to all tasks (about 100 bytes each); beyond that, both sides are shuffled.
+MAX_BROADCAST_IDS = 300_000
 
 #: Ids that agree above these bits are one group when neighbours are sought.
 GROUP_BITS = (14, 30, 46, None)
@@ -283,52 +286,80 @@ def following(ids: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionAll, found)
 
 
-def with_neighbours(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, id, next_id, text, edited): the last quarter replaced by the beginning of the next document.
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """doc_id and fingerprint of every row, under the entropies of this very table."""
+    fingerprint = fingerprint_udf(rarity(entropy_counts(docs)))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint("text").alias("fingerprint"))
+
+
+def neighbourhoods(rows: DataFrame) -> DataFrame:
+    """Per id of `rows` (id, text): its predecessor `before`, the code points that one `need`s of it, and the hash of
+    the text that it gives (the least); into how many parts rows are dealt (`parts`, `before_parts`)."""
+    need = F.max(F.expr("length(text) div 4")).cast("int").alias("need")
+    parts = F.ceil(F.count("*") / ROWS_PER_PART).cast("int").alias("parts")
+    of_id = written(rows.groupBy("id").agg(need, parts, F.min(F.xxhash64("text")).alias("least")), "ids")
+    before = following(of_id).join(of_id, "id")
+    before = before.select(F.col("next_id").alias("id"), F.col("id").alias("before"), "need", F.col("parts").alias("before_parts"))
+    return written(before.join(of_id.drop("need"), "id"), "neighbourhoods")
 
-    Where rows share an id, the text with the least hash is the one that their predecessor meets. Only
-    beginnings of that length travel to the predecessor, and each text once.
+
+def with_next(docs: DataFrame, fingerprint) -> DataFrame:
+    """Rows with their fingerprint and the next document's, and the edited text: its last quarter replaced by
+    the beginning of the next document.
+
+    A text is read once, fingerprinted where it is read, and sent on as the part that is kept (by its own id) and as
+    the beginning that its predecessor needs (by that one's id).
     """
     id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_.alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    quarter = F.expr("length(text) div 4")
-    needs = rows.groupBy("id").agg(F.max(quarter).cast("int").alias("need"))
-    needs = written(needs, "needs")
-    pairs = written(following(needs).join(needs, "id"), "pairs")
-    wanted = pairs.select(F.col("next_id").alias("id"), F.col("id").alias("before"), "need")
-    if wanted.count() <= MAX_BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    head = F.struct(F.xxhash64("text").alias("hash"), F.substring(F.col("text"), F.lit(1), F.col("need")).alias("head"))
-    heads = rows.join(wanted, "id").groupBy(F.col("before").alias("id")).agg(F.min(head)["head"].alias("head"))
-    heads = heads.join(pairs.select("id", "next_id"), "id")
-    edited = F.concat(
-        F.substring(F.col("text"), F.lit(1), F.length("text") - quarter), F.substring(F.col("head"), F.lit(1), quarter)
-    )
-    return rows.join(heads, "id").select("doc_id", "id", "next_id", "text", edited.alias("edited"))
+    near = neighbourhoods(rows)
+    if near.count() <= MAX_BROADCAST_IDS:
+        near = F.broadcast(near)
+    n = F.length("text")
+    placed = rows.join(near, "id").withColumns({"fingerprint": fingerprint("text"), "at": F.monotonically_increasing_id()})
+
+    def sent(key: str, part: Column, kind: int, doc_id: Column, n_chars: Column, text: Column) -> Column:
+        fields = {"key": F.col(key), "part": part, "kind": F.lit(kind), "doc_id": doc_id, "n_chars": n_chars, "text": text}
+        return F.struct(*[value.alias(name) for name, value in fields.items()], F.col("fingerprint").alias("fingerprint"))
+
+    none = F.lit(None).cast("long")
+    kept = F.substring(F.col("text"), F.lit(1), n - F.expr("length(text) div 4"))
+    own = sent("id", F.pmod("at", "parts").cast("int"), 1, F.col("doc_id"), n.cast("long"), kept)
+    head = F.substring(F.col("text"), F.lit(1), F.col("need"))
+    heads = F.transform(F.sequence(F.lit(0), F.col("before_parts") - 1), lambda part: sent("before", part, 0, none, none, head))
+    given = F.when(F.xxhash64("text") == F.col("least"), heads).otherwise(F.array().cast(HEADS))
+    rows = placed.select(F.inline(F.concat(F.array(own), given)))
+    # Beginnings come first; a part has at most ROWS_PER_PART rows besides, whatever shares an id.
+    first = Window.partitionBy("key", "part").orderBy("kind")
+    rows = rows.withColumns({"head": F.first("text").over(first), "next_fingerprint": F.first("fingerprint").over(first)})
+    edited = F.concat("text", F.substring(F.col("head"), F.lit(1), F.expr("cast(n_chars div 4 as int)")))
+    return rows.where("kind = 1").select("doc_id", "n_chars", edited.alias("edited"), "fingerprint", "next_fingerprint")
+
+
+def compare_udf(rank: np.ndarray):
+    """From a text and two fingerprints: the text's fingerprint and its likeness to the first, and theirs to each other."""
+
+    @pandas_udf(StructType().add("fingerprint", StringType()).add("near_own", DoubleType()).add("near_other", DoubleType()))
+    def compare(texts: pd.Series, own: pd.Series, other: pd.Series) -> pd.DataFrame:
+        found = fingerprints_of([_bytes(text) for text in texts.tolist()], rank)
+        near_own = [likeness_of(x, y) for x, y in zip(own.tolist(), found)]
+        near_other = [likeness_of(x, y) for x, y in zip(own.tolist(), other.tolist())]
+        return pd.DataFrame({"fingerprint": found, "near_own": near_own, "near_other": near_other})
+
+    return compare
 
 
 def digests(docs: DataFrame) -> DataFrame:
     """One row per document: its fingerprint and its edited text's, and how alike they and its neighbour's are."""
-    fingerprint = fingerprint_udf(rarity(entropy_counts(docs)))
-    prints = with_neighbours(docs).select(
-        "doc_id",
-        "id",
-        "next_id",
-        F.xxhash64("text").alias("hash"),
-        F.length("text").cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint("text").alias("fingerprint"),
-        fingerprint("edited").alias("edited_fingerprint"),
-    )
-    prints = written(prints, "prints")
-    following_print = F.min(F.struct("hash", "fingerprint"))["fingerprint"].alias("next_fingerprint")
-    nexts = prints.groupBy(F.col("id").alias("next_id")).agg(following_print)
-    return prints.join(nexts, "next_id").select(
+    rank = rarity(entropy_counts(docs))
+    rows = with_next(docs, fingerprint_udf(rank))
+    rows = rows.withColumn("compared", compare_udf(rank)("edited", "fingerprint", "next_fingerprint"))
+    return rows.select(
         "doc_id",
         "n_chars",
-        "edited_sha256",
+        F.sha2("edited", 256).alias("edited_sha256"),
         "fingerprint",
-        "edited_fingerprint",
-        likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
-        likeness("fingerprint", "next_fingerprint").alias("near_next"),
+        F.col("compared.fingerprint").alias("edited_fingerprint"),
+        F.col("compared.near_own").alias("near_edited"),
+        F.col("compared.near_other").alias("near_next"),
     )

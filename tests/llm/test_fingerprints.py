@@ -170,10 +170,11 @@ def test_whole_table(spark):
 def test_defined_cases(spark, documents, monkeypatch):
     texts = [None, "", "kurz", "añb" * 40, "word and other " * 30]
     frame = documents(texts, [(None, "no id " * 40, "en", "s", 1), (4, "word and other " * 30, "en", "s", 1)])
-    frame = frame.selectExpr("*", "1 as id", "2 as next_id", "3 as head", "4 as need", "5 as hash")
+    frame = frame.selectExpr("*", "1 as id", "2 as part", "3 as head", "4 as need", "5 as key")
     rows = [(row.doc_id, row.text) for row in frame.collect()]
     assert rounded(fp.digests(frame).collect()) == brute_query(rows)
     monkeypatch.setattr(fp, "MAX_BROADCAST_IDS", 0)
+    monkeypatch.setattr(fp, "ROWS_PER_PART", 1)
     assert rounded(fp.digests(frame).collect()) == brute_query(rows)
     assert fp.digests(frame.limit(0)).count() == 0
     one = fp.digests(documents(["alone " * 100])).first()
