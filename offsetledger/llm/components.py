@@ -5,17 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offsetledger.llm.tables import written
+from offsetledger.llm.tables import Scratch
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(node, component) for every node of `edges` (a, b); a component is named by its least node.
 
-    Each round every node points to whichever of itself and its neighbours comes first in that
+    By contraction: each round every node points to whichever of itself and its neighbours comes first in that
     round's random order, then to where that one points; the edges are renamed so and loops dropped,
     until none is left. The number of rounds grows with the logarithm of the number of nodes. Each
-    round's tables are written to the shared folder, and the names are put together at the end.
+    round's tables are written to the shared folder and deleted when the names are put together at the
+    end; a caller's `scratch` keeps the result only as long as its own tables.
     """
+    with Scratch(edges.sparkSession) as own:
+        keep = own.result if scratch is None else scratch.written
+        return keep(_contracted(edges, own.written), "components")
+
+
+def _contracted(edges: DataFrame, written) -> DataFrame:
     edges = written(edges.select("a", "b").where("a <> b").distinct(), "edges")
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     rounds: list[DataFrame] = []
@@ -41,4 +48,4 @@ def components(edges: DataFrame) -> DataFrame:
         labels = labels.join(step, "component", "left").select("node", F.coalesce("p", "component").alias("component"))
     labels = written(labels, "labels")
     names = labels.groupBy("component").agg(F.min("node").alias("name"))
-    return written(labels.join(names, "component").select("node", F.col("name").alias("component")), "components")
+    return labels.join(names, "component").select("node", F.col("name").alias("component"))

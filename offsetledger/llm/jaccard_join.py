@@ -1,28 +1,33 @@
 """Near duplicates by Jaccard similarity of word shingles, exact, with vertical partitioning.
 
-The global order of shingles puts rare ones first. Two sets that are similar enough share a shingle
-among the first fifth of each, and one more for each shingle that this prefix is made longer by; so only
-prefixes are grouped. The order is cut into fragments, the prefix being the first: shingles shared
-there are counted, per set and then per pair, which rules out most by the number they still need; then
-common shingles are counted in each fragment by itself, and the partial overlaps are summed per pair.
+The global order of shingles puts rare ones first: those that are not frequent by hash, then frequent ones by count. It
+is cut into fragments, and every set with it. Overlaps are counted in each fragment by itself and summed per
+pair: that sum decides on every link.
 
 What is asked for is the component of every document, so a group of g documents that share a
 shingle need not become g^2 pairs:
 
-* documents with equal sets are one class, and only its least id goes on;
-* each class is first compared with one hub, the least class of most of its groups;
-* pairs that are joined already, by whatever chain, need no look; further hubs are tried as long as they
-  join many; then every pair across components is counted.
+* documents with equal sets are one class, and only classes go on;
+* stars: of each class the least values of a few hash functions over its set are kept. Classes that share most of these
+  are probably similar, and each is counted against a hub or two of those that it shares them with, round by round
+  with other hubs, among what is not joined yet, as long as that joins many;
+* the rest, exactly: two sets that are similar enough share a shingle among the first fifth of each, and one more for
+  each shingle that this prefix is made longer by. Prefixes are grouped by shingle, groups inside one component
+  fall out, then sets that share less than any partner of possible size would need; of what is left every pair across
+  components that shares enough of its prefixes is counted, first the best pair between two components.
 
 So no link between components is missed, and a large group of copies costs a few pairs a member.
 
 Frequent shingles are found by exact counts within blocks of texts, summed over all of them. They only
-arrange the order: any order gives the same links. Groups of very frequent shingles are split by salt;
-their parts meet in the later rounds.
+arrange the order: any order gives the same links. A shingle's group is never one task's: very frequent ones are
+split by salt, what is known of a group is pre-aggregated and joined back, and pairs are dealt by shingle and size.
+
+Every table on the way is deleted when the result is written.
 
 Defined cases: a null or empty text, or one without words, has no shingles, is linked with nothing and
-is its own component; rows that share a doc_id are one node, linked where any of its texts is; a null
-doc_id gives a null component; tables without rows give none; extra columns are not read.
+is its own component; rows that share a doc_id are one node, linked where any of its texts is; a row with a null
+doc_id takes part like others and names no component (one of such rows only has a null name); very long texts are
+taken whole; tables without rows give none; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -36,12 +41,13 @@ from pyspark.sql import functions as F
 
 from offsetledger.llm.components import components
 from offsetledger.llm.shingles import blocks, distinct, mix, shingles
-from offsetledger.llm.tables import written
+from offsetledger.llm.tables import Scratch
 
 #: Similarity is at least SHARE / 100.
 SHARE = 80
 #: Per cent of a set by which its prefix is longer than it must be.
 LONGER = 8
+#: Fragments of the global order: so many of shingles that are not frequent (a power of two), and one of frequent ones.
 FRAGMENTS = 4
 #: A shingle is frequent from so many texts on, and from so many per million texts.
 FREQUENT, FREQUENT_PER_MILLION = 32, 100
@@ -49,16 +55,19 @@ FREQUENT, FREQUENT_PER_MILLION = 32, 100
 COUNTED, REPORTED = 8_000_000, 3
 #: Members that a part of a split group is meant to have.
 GROUP = 50_000
-#: Further hubs are tried while one joins at least one of so many members.
-WORTHWHILE = 100
-MAX_HUB_ROUNDS = 4
-#: Ids of texts to verify that are sent to all tasks; beyond that, both sides are shuffled.
+#: Hash functions whose least values are kept, and how many must agree for a pair to be counted in a star.
+LEAST_VALUES, VOTES = 12, 6
+#: Stars are tried while a round joins at least one of so many pairs.
+WORTHWHILE = 50
+MAX_STAR_ROUNDS = 5
+#: Classes whose texts are wanted that are sent to all tasks; beyond that, both sides are shuffled.
 MAX_BROADCAST_IDS = 200_000
 
 _SALT_BITS = 16
-_ROWS = "doc_id long, n long, sig1 long, sig2 long, token long"
-_TOKENS = "bucket long, doc_id long"
-_SETS = "rep long, n long, fragment int, tokens array<long>"
+_ROWS = "doc_id long, n long, sig1 long, sig2 long, least array<long>, token long"
+_TOKENS = "bucket long, sig1 long"
+_SETS = "class_id long, n long, fragment int, tokens array<long>"
+_ODD = np.random.Generator(np.random.PCG64(10)).integers(1, 1 << 63, LEAST_VALUES, dtype=np.uint64) | np.uint64(1)
 
 
 class Order:
@@ -90,6 +99,19 @@ def _signatures(owner: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarra
     return counts, *out
 
 
+def _least_values(value: np.ndarray, n: np.ndarray) -> list:
+    """Of each text with shingles the least value of each hash function; texts in order."""
+    some = np.flatnonzero(n)
+    out: list = [None] * len(n)
+    if len(some):
+        begins = (np.cumsum(n) - n)[some]
+        with np.errstate(over="ignore"):
+            least = np.stack([np.minimum.reduceat(value * odd, begins) for odd in _ODD], axis=1).view(np.int64)
+        for at, row in zip(some.tolist(), least):
+            out[at] = row
+    return out
+
+
 def _summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A row per document, and for each block of texts one per shingle that several of them have."""
     held: list[np.ndarray] = []
@@ -99,7 +121,7 @@ def _summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         token, n = np.unique(np.concatenate(held), return_counts=True)
         often = n >= REPORTED
         empty = pd.array([pd.NA] * int(often.sum()), dtype="Int64")
-        return pd.DataFrame({"doc_id": empty, "n": n[often], "sig1": empty, "sig2": empty, "token": token[often].view(np.int64)})
+        return pd.DataFrame({"doc_id": empty, "n": n[often], "sig1": empty, "sig2": empty, "least": None, "token": token[often].view(np.int64)})
 
     for batch in batches:
         texts = batch["text"].tolist()
@@ -107,7 +129,7 @@ def _summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             owner, value = distinct(*shingles(texts[part]))
             n, sig1, sig2 = _signatures(owner, value, len(texts[part]))
             ids = batch["doc_id"].iloc[part].astype("Int64").reset_index(drop=True)
-            rows = pd.DataFrame({"doc_id": ids, "n": n, "sig1": sig1, "sig2": sig2})
+            rows = pd.DataFrame({"doc_id": ids, "n": n, "sig1": sig1, "sig2": sig2, "least": _least_values(value, n)})
             yield rows.assign(token=pd.array([pd.NA] * len(rows), dtype="Int64"))
             held.append(value)
             size += len(value)
@@ -128,53 +150,63 @@ def _prefixes(batches: Iterator[pd.DataFrame], order: Order) -> Iterator[pd.Data
             owner, value = distinct(*shingles(texts[part]))
             n, sig1, sig2 = _signatures(owner, value, len(texts[part]))
             owner, value = distinct(owner, value, order.of(value)[0])
-            ids = batch["doc_id"].iloc[part]
             begins = np.cumsum(n) - n
-            new = ids.notna().to_numpy()
-            for at, key in enumerate(zip(ids.tolist(), sig1.tolist(), sig2.tolist())):
-                # One text under several ids is one class, whichever of them stands for it.
-                if key[1:] in seen:
-                    new[at] = False
-                elif new[at]:
-                    seen.add(key[1:])
+            new = np.zeros(len(n), dtype=bool)
+            for at, key in enumerate(zip(sig1.tolist(), sig2.tolist())):
+                if key not in seen:
+                    seen.add(key)
+                    new[at] = True
             pos = np.arange(len(value)) - begins[owner]
             size = n - (SHARE * n + 99) // 100 + 1 + (LONGER * n + 99) // 100
             take = new[owner] & (pos < size[owner])
             owner, value = owner[take], value[take]
-            numbers = ids.fillna(0).to_numpy(dtype=np.int64)[owner]
+            sig = sig1[owner]
             split = order.of(value)[1]
-            salt = np.where(split > 0, 1 + (mix(numbers.view(np.uint64)) >> np.uint64(1)).astype(np.int64) % np.maximum(split, 1), 0)
+            salt = np.where(split > 0, 1 + (mix(sig.view(np.uint64)) >> np.uint64(1)).astype(np.int64) % np.maximum(split, 1), 0)
             bucket = (value & ~np.uint64((1 << _SALT_BITS) - 1)).view(np.int64) | salt
-            yield pd.DataFrame({"bucket": bucket, "doc_id": numbers})
+            yield pd.DataFrame({"bucket": bucket, "sig1": sig})
 
 
-def _fragments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each document's set, cut at fixed points of the hash order."""
+def _fragments(batches: Iterator[pd.DataFrame], order: Order) -> Iterator[pd.DataFrame]:
+    """The sets of the wanted classes, cut along the global order."""
     for batch in batches:
         texts = batch["text"].tolist()
         for part in blocks(texts):
             owner, value = distinct(*shingles(texts[part]))
-            fragment = (value >> np.uint64(62)).astype(np.int64) % FRAGMENTS
-            key = owner * FRAGMENTS + fragment
-            cuts = np.flatnonzero(np.diff(np.r_[-1, key]))
-            sets = np.split(value.view(np.int64), cuts[1:])
-            reps = batch["doc_id"].iloc[part].to_numpy()
-            n = np.bincount(owner, minlength=len(reps))
-            at = owner[cuts]
-            if not len(at):
+            n, sig1, sig2 = _signatures(owner, value, len(texts[part]))
+            rows = batch.iloc[part]
+            # Of the texts under one id only the one with the class's set is meant.
+            mine = (rows["sig1"].to_numpy() == sig1) & (rows["sig2"].to_numpy() == sig2)
+            owner, value = owner[mine[owner]], value[mine[owner]]
+            # Not frequent ones lie in the order by their hash, frequent ones come after them.
+            fragment = np.where(order.of(value)[0] > 0, FRAGMENTS, (value >> np.uint64(32)).astype(np.int64) * FRAGMENTS >> 32)
+            at = np.lexsort((value, fragment, owner))
+            owner, value, fragment = owner[at], value[at], fragment[at]
+            cuts = np.flatnonzero(np.diff(np.r_[-1, owner * (FRAGMENTS + 1) + fragment]))
+            if not len(cuts):
                 continue
-            yield pd.DataFrame({"rep": reps[at], "n": n[at], "fragment": fragment[cuts].astype(np.int32), "tokens": sets[: len(cuts)]})
+            sets, own = np.split(value.view(np.int64), cuts[1:]), owner[cuts]
+            ids = rows["class_id"].to_numpy()
+            yield pd.DataFrame({"class_id": ids[own], "n": n[own], "fragment": fragment[cuts].astype(np.int32), "tokens": sets})
+
 
+def _sets_of(texts: DataFrame, classes: DataFrame, order: Order) -> DataFrame:
+    """The cut sets of `classes`, each text read where it lies."""
+    key = F.lit(-(1 << 63)).cast("long")
+    wanted = classes.select(F.coalesce("doc_id", key).alias("key"), "sig1", "sig2", "class_id")
+    if wanted.count() <= MAX_BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    rows = texts.select(F.coalesce("doc_id", key).alias("key"), "text").join(wanted, "key").drop("key")
+    sets = rows.mapInPandas(lambda batches: _fragments(batches, order), _SETS)
+    return sets.dropDuplicates(["class_id", "fragment"])  # rows may repeat each other
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that are similar enough: overlaps per fragment, summed."""
-    reps = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "reps")
-    wanted = F.broadcast(reps) if reps.count() <= MAX_BROADCAST_IDS else reps
-    sets = written(texts.join(wanted, "doc_id", "left_semi").mapInPandas(_fragments, _SETS), "sets").distinct()
-    a = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), "fragment", F.col("tokens").alias("ta"))
-    b = sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), "fragment", F.col("tokens").alias("tb"))
+    a = sets.select(F.col("class_id").alias("a"), F.col("n").alias("na"), "fragment", F.col("tokens").alias("ta"))
+    b = sets.select(F.col("class_id").alias("b"), F.col("n").alias("nb"), "fragment", F.col("tokens").alias("tb"))
     # A pair has a row for each fragment that both sets have.
-    partial = pairs.join(a, "a").join(b, ["b", "fragment"])
+    partial = pairs.select("a", "b").join(a, "a").join(b, ["b", "fragment"])
     partial = partial.select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("common"))
     total = partial.groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("o"))
     return total.where(100 * F.col("o") >= SHARE * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
@@ -210,28 +242,98 @@ def _enough(na: str, nb: str, common: str) -> Column:
     return sizes & (F.col(common) >= _needed(F.col(na), F.col(nb)))
 
 
-def _plausible(rows: DataFrame, group: str, whole: Column) -> DataFrame:
-    """The rows of sets that share enough with any others of possible size in their groups.
+def _near_size(na: str, nb: str) -> Column:
+    return 100 * F.least(na, nb) >= SHARE * F.greatest(na, nb)
+
 
-    `whole` marks groups that hold all sets with their shingle. The least that any partner between the
-    smallest and the largest size needs is taken for all groups of a set together.
+def _enough(na: str, nb: str, common: str) -> Column:
+    """Whether sets of these sizes can be similar with so many common shingles in their prefixes."""
+    return _near_size(na, nb) & (F.col(common) >= _needed(F.col(na), F.col(nb)))
+
+
+def _labelled(rows: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """`rows` with the component of their class."""
+    if joined is None:
+        return rows.withColumn("component", F.col("class_id"))
+    names = joined.select(F.col("node").alias("class_id"), "component")
+    return rows.join(names, "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
+
+
+def _star_pairs(rows: DataFrame, turn: int) -> DataFrame:
+    """Each class with the hubs of most of the values it shares with them; a turn has two hubs for a value."""
+    pairs = []
+    for seed in (2 * turn, 2 * turn + 1):
+        place = F.struct(F.xxhash64("class_id", F.lit(seed)).alias("at"), "class_id", "n", "component")
+        hubs = rows.groupBy("at", "value").agg(F.min(place).alias("hub"), F.min("component").alias("low"), F.max("component").alias("high"))
+        hubs = hubs.where("low < high").drop("low", "high")
+        votes = rows.join(hubs, ["at", "value"]).where("component <> hub.component")
+        votes = votes.groupBy("class_id", "n", F.col("hub.class_id").alias("h"), F.col("hub.n").alias("hn")).agg(F.count("*").alias("votes"))
+        likely = votes.where((F.col("votes") >= VOTES) & _near_size("n", "hn"))
+        best = likely.groupBy("class_id").agg(F.max_by("h", F.struct("votes", F.xxhash64("h", F.lit(seed)))).alias("h"))
+        pairs.append(best.select(F.least("class_id", "h").alias("a"), F.greatest("class_id", "h").alias("b")))
+    return pairs[0].union(pairs[1]).distinct()
+
+
+def _across(rows: DataFrame) -> DataFrame:
+    """Of `rows` (token, class_id, n, component) those of sets that share enough with any others of possible
+    size, in groups that hold several components, with the size `k` of their group.
+
+    The least that any partner between the smallest and the largest size needs is taken for all groups of a set
+    together. Sizes and components of a group are pre-aggregated and joined back, so that no task holds a group.
     """
-    own, n = Window.partitionBy("rep"), F.col("n")
+    own, n = Window.partitionBy("class_id"), F.col("n")
     for _ in range(2):
-        rows = rows.drop("k", "needed", "c")
-        groups = Window.partitionBy(group)
-        rows = rows.withColumn("k", F.count("*").over(groups)).withColumn("low", F.min("n").over(groups)).withColumn("high", F.max("n").over(groups))
-        rows = rows.where((F.col("k") > 1) | ~whole)
-        rows = rows.withColumn("low", F.when(whole, F.col("low")).otherwise(0)).withColumn("high", F.when(whole, F.col("high")).otherwise(2 * n))
+        known = rows.groupBy("token").agg(
+            F.count("*").alias("k"), F.min("n").alias("low"), F.max("n").alias("high"), F.min("component").alias("first"), F.max("component").alias("last")
+        )
+        rows = rows.select("token", "class_id", "n", "component").join(known.where("first < last").drop("first", "last"), "token")
         low = F.greatest(F.min("low").over(own), F.ceil(SHARE * n / 100))
         high = F.least(F.max("high").over(own), F.floor(100 * n / SHARE))
-        rows = rows.withColumn("needed", _least_needed(n, low, high)).withColumn("c", F.count("*").over(own))
-        rows = rows.where("c >= needed").drop("low", "high")
+        rows = rows.withColumns({"least": low, "most": high, "c": F.count("*").over(own)})
+        rows = rows.withColumn("needed", _least_needed(n, F.col("least"), F.col("most"))).where("c >= needed").drop("low", "high", "least", "most")
     return rows
 
 
+def _all_pairs(rows: DataFrame) -> DataFrame:
+    """Every pair across components that has enough common shingles in both prefixes, with their number.
+
+    A set whose partner needs m of its c open shingles shares one of the first c - m + 1 with it, in any
+    order that is the same for both sets; here those in the smallest groups come first. Only these make
+    pairs, of sets in one or in neighbouring bands of size, and all open shingles are compared afterwards.
+    """
+    first = Window.partitionBy("class_id").orderBy("k", "token")
+    telling = rows.withColumn("place", F.row_number().over(first)).where("place <= c - needed + 1")
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / SHARE))).cast("int")
+    x = telling.select("token", F.col("class_id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), band.alias("band"))
+    y = telling.select("token", F.col("class_id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), band.alias("own"))
+    # Sizes up to a band apart lie in the same or a neighbouring band; the smaller set looks upwards.
+    y = y.select("token", "b", "nb", "cb", F.explode(F.array(F.col("own"), F.col("own") - 1)).alias("band"))
+    smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    pairs = x.join(y, ["token", "band"]).where(smaller & (F.col("ca") != F.col("cb")) & _near_size("na", "nb"))
+    pairs = pairs.select("a", "na", "ca", "b", "nb", "cb").distinct()
+    own = rows.groupBy("class_id").agg(F.collect_set("token").alias("tokens"))
+    pairs = pairs.join(own.select(F.col("class_id").alias("a"), F.col("tokens").alias("ta")), "a")
+    pairs = pairs.join(own.select(F.col("class_id").alias("b"), F.col("tokens").alias("tb")), "b")
+    counted = pairs.select("a", "na", "ca", "b", "nb", "cb", F.size(F.array_intersect("ta", "tb")).alias("common"))
+    return counted.where(_enough("na", "nb", "common")).select("a", "ca", "b", "cb", "common")
+
+
+def _relabelled(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs that still lie across components."""
+    for side, label in (("a", "ca"), ("b", "cb")):
+        names = joined.select(F.col("node").alias(side), F.col("component").alias("name"))
+        pairs = pairs.join(names, side, "left").withColumn(label, F.coalesce("name", label)).drop("name")
+    return pairs.where("ca <> cb")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
+    with Scratch(docs.sparkSession) as scratch:
+        return scratch.result(_near_duplicates(docs, scratch), "near-duplicates")
+
+
+def _near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    written = scratch.written
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     summary = written(texts.mapInPandas(_summarise, _ROWS), "summary")
     rows = summary.where("token is null").drop("token")
@@ -241,87 +343,64 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     frequent = counted.toPandas()
     order = Order(frequent["token"].to_numpy(dtype=np.int64).view(np.uint64), frequent["n"].to_numpy(dtype=np.int64))
 
-    classes = rows.where("n > 0").groupBy("sig1", "sig2").agg(F.min("doc_id").alias("rep"))
-    members = written(rows.join(classes, ["sig1", "sig2"], "left"), "members")
+    alike = rows.where("n > 0").groupBy("sig1", "sig2").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("least").alias("least"))
+    classes = written(alike.withColumn("class_id", F.monotonically_increasing_id()), "classes")
+    members = rows.where("n > 0").join(classes.select("sig1", "sig2", "class_id"), ["sig1", "sig2"]).select("doc_id", "n", "class_id")
+    empty = rows.where("n = 0").select("doc_id", "n", F.lit(None).cast("long").alias("class_id"))
+    members = written(members.unionAll(empty), "members")
+    # Texts under one id are one node.
+    named = members.where("doc_id is not null and class_id is not null")
+    several = named.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("z")).where("a < z")
+    links = written(named.join(several, "doc_id").where("class_id <> a").select("a", F.col("class_id").alias("b")).distinct(), "links")
+    joined = None if links.isEmpty() else components(links, scratch)
+
+    # Stars among the classes that share most of their least values with others.
+    values = classes.select("class_id", "n", F.posexplode("least").alias("at", "value"))
+    shared = values.groupBy("at", "value").agg(F.count("*").alias("k")).where("k > 1").drop("k")
+    open_ = values.join(shared, ["at", "value"]).withColumn("c", F.count("*").over(Window.partitionBy("class_id")))
+    open_ = written(open_.where(F.col("c") >= VOTES).drop("c"), "open")
+    sets = _sets_of(texts, classes.join(open_.select("class_id").distinct(), "class_id", "left_semi"), order)
+    sets = written(sets, "sets")
+    for turn in range(MAX_STAR_ROUNDS):
+        pairs = written(_star_pairs(_labelled(open_, joined), turn), "pairs")
+        tried = pairs.count()
+        found = written(_verified(pairs, sets), "found") if tried else pairs
+        joins = found.count() if tried else 0
+        if joins:
+            links = links.unionAll(found)
+            joined = components(links, scratch)
+        if joins * WORTHWHILE <= tried:
+            break
 
+    # The rest, exactly.
     tokens = texts.mapInPandas(lambda batches: _prefixes(batches, order), _TOKENS)
     salted = F.col("bucket").bitwiseAND((1 << _SALT_BITS) - 1) != 0
-    shared = tokens.withColumn("k", F.count("*").over(Window.partitionBy("bucket"))).where((F.col("k") > 1) | salted)
-    by_class = members.where("rep is not null").select("doc_id", "rep", "n").distinct()
-    shared = shared.join(by_class, "doc_id").groupBy("bucket", "rep").agg(F.max("n").alias("n"))  # copies are one
-    shared = _plausible(shared, "bucket", ~salted).drop("k", "needed", "c")
-    group = Window.partitionBy("bucket")
-    shared = shared.withColumn("hub", F.min(F.struct("rep", "n")).over(group)).withColumn("k", F.count("*").over(group))
+    tokens = tokens.withColumn("k", F.count("*").over(Window.partitionBy("bucket"))).where((F.col("k") > 1) | salted)
     base = F.col("bucket").bitwiseAND(~((1 << _SALT_BITS) - 1)).alias("token")
-    shared = shared.where((F.col("k") > 1) | salted)
-    shared = written(shared.select(base, "rep", "n", F.col("hub.rep").alias("h"), F.col("hub.n").alias("hn")), "shared")
-
-    # Rows under one id with different texts are one node.
-    several = rows.where("n > 0").groupBy("doc_id").agg(F.countDistinct("sig1", "sig2").alias("k")).where("k > 1")
-    own = members.join(several, "doc_id", "left_semi").where("rep is not null")
-    links = own.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    links = written(_verified(_hub_pairs(shared), texts).union(links), "links")
-    joined = components(links)
-    for turn in range(MAX_HUB_ROUNDS):
-        left = _across(shared, joined)
-        pairs = written(_hub_pairs(_with_hub(left, turn)), "pairs")
-        if pairs.isEmpty():
-            break
-        found = written(_verified(pairs, texts), "found")
-        links = links.union(found)
-        if found.count() * WORTHWHILE < pairs.count():
-            break
-        joined = components(links)
-    found = written(_verified(written(_all_pairs(_across(shared, joined)), "pairs"), texts), "found")
-    if not found.isEmpty():
-        joined = components(links.union(found))
-
-    label = F.coalesce("component", "rep", "doc_id").cast("long")
-    result = members.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-    return result.select("doc_id", F.col("n").alias("n_shingles"), label.alias("component_id"))
-
-
-def _hub_pairs(rows: DataFrame) -> DataFrame:
-    """Each class with the hub of most of its groups, if these are enough."""
-    votes = rows.where("h <> rep").groupBy("rep", "n", "h", "hn").agg(F.count("*").alias("votes"))
-    likely = votes.where(_enough("n", "hn", "votes"))
-    best = likely.groupBy("rep").agg(F.max_by("h", F.struct("votes", -F.col("h"))).alias("h"))
-    return best.select(F.col("rep").alias("a"), F.col("h").alias("b"))
-
-
-def _across(shared: DataFrame, joined: DataFrame) -> DataFrame:
-    """The rows of groups that still hold several components."""
-    label = F.coalesce("component", "rep").alias("component")
-    rows = shared.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("token", "rep", "n", label)
-    token = Window.partitionBy("token")
-    rows = rows.withColumn("first", F.min("component").over(token)).withColumn("last", F.max("component").over(token))
-    rows = rows.where("first < last").drop("first", "last")
-    return written(_plausible(rows, "token", F.lit(True)), "open")
-
-
-def _with_hub(rows: DataFrame, turn: int) -> DataFrame:
-    place = F.xxhash64("rep", F.lit(turn))
-    hubs = rows.groupBy("token").agg(F.min(F.struct(place.alias("at"), "rep", "n", "component")).alias("hub"))
-    hubs = hubs.select("token", F.col("hub.rep").alias("h"), F.col("hub.n").alias("hn"), F.col("hub.component").alias("hc"))
-    return rows.join(hubs, "token").where("component <> hc")
-
-
-def _all_pairs(rows: DataFrame) -> DataFrame:
-    """Every pair across components that has enough common shingles in both prefixes.
-
-    A set whose partner needs m of its c open shingles shares one of the first c - m + 1 with it, in any
-    order that is the same for both sets; here those in the smallest groups come first. Only these make
-    pairs, and all open shingles are compared afterwards.
-    """
-    first = Window.partitionBy("rep").orderBy("k", "token")
-    telling = rows.withColumn("at", F.row_number().over(first)).where("at <= c - needed + 1")
-    x = telling.select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = telling.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    near = 100 * F.least("na", "nb") >= SHARE * F.greatest("na", "nb")
-    pairs = x.join(y, "token").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & near)
-    pairs = pairs.select("a", "na", "b", "nb").distinct()
-    own = rows.groupBy("rep").agg(F.collect_set("token").alias("tokens"))
-    pairs = pairs.join(own.select(F.col("rep").alias("a"), F.col("tokens").alias("ta")), "a")
-    pairs = pairs.join(own.select(F.col("rep").alias("b"), F.col("tokens").alias("tb")), "b")
-    counted = pairs.select("a", "na", "b", "nb", F.size(F.array_intersect("ta", "tb")).alias("common"))
-    return counted.where(_enough("na", "nb", "common")).select("a", "b")
+    tokens = _labelled(tokens.select(base, "sig1").join(classes.select("sig1", "class_id", "n"), "sig1").drop("sig1"), joined)
+    rest = written(_across(written(tokens.distinct(), "tokens")), "rest")  # copies in several tasks are one
+    pairs = written(_all_pairs(rest), "pairs")
+    if not pairs.isEmpty():
+        lacking = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct().join(sets, "class_id", "left_anti")
+        sets = sets.unionAll(written(_sets_of(texts, classes.join(lacking, "class_id", "left_semi"), order), "sets"))
+        best = pairs.groupBy(F.least("ca", "cb").alias("x"), F.greatest("ca", "cb").alias("y"))
+        best = best.agg(F.max_by(F.struct("a", "b"), F.struct("common", "a", "b")).alias("pair")).select("pair.*")
+        found = written(_verified(best, sets), "found")
+        if not found.isEmpty():
+            links = links.unionAll(found)
+            joined = components(links, scratch)
+            pairs = _relabelled(pairs, joined)
+        found = written(_verified(pairs.join(best, ["a", "b"], "left_anti"), sets), "found")
+        if not found.isEmpty():
+            joined = components(links.unionAll(found), scratch)
+
+    # A component is named by the least id of its rows.
+    rows = _labelled(members, joined)
+    names = rows.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("name"))
+    rows = rows.join(names, "component", "left")
+    # An empty text under an id that has others belongs with them.
+    ids = rows.where("class_id is not null").join(members.where("class_id is null").select("doc_id").distinct(), "doc_id", "left_semi")
+    ids = ids.groupBy("doc_id").agg(F.min("name").alias("other"))
+    rows = rows.join(ids, "doc_id", "left")
+    label = F.when(F.col("class_id").isNotNull(), F.col("name")).otherwise(F.coalesce("other", "doc_id"))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), label.cast("long").alias("component_id"))

@@ -2,10 +2,10 @@
 
 Texts are UTF-8 bytes. A byte goes if a string of `window` bytes that covers it starts anywhere else too.
 
-1. Each window of a text has an anchor: the place of the least hash of its `GRAM`-byte strings. Equal
+1. Each window of a text has an anchor: the place of the least hash of its strings of `gram` bytes. Equal
    windows have equal anchors at equal places, so the text falls into segments (runs of windows with one
    anchor), and a window can only repeat in segments with its anchor.
-2. Segments are counted by anchor and content. A segment that occurs twice is repeated as a whole. One
+2. Segments whose anchor occurs once fall out. The others are counted by anchor and content. A segment that occurs twice is repeated as a whole. One
    that shares its anchor with different segments is sorted with them, one row per different content.
 3. The sort is column-wise, as for the Burrows-Wheeler transform of a collection: all segments of a
    block are aligned at their anchors, and each round inserts one symbol of every segment, from the last
@@ -38,11 +38,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from offsetledger.llm.shingles import mix
-from offsetledger.llm.tables import written
+from offsetledger.llm.tables import Scratch
 
 WINDOW = 400
-#: Length of the strings whose least hash is an anchor; a power of two below the window.
-GRAM = 128
 #: Bytes of a text taken at once; longer texts go on from there, overlapping by a window.
 PIECE = 1 << 22
 #: Different segments of one anchor that are sorted in one block.
@@ -54,16 +52,25 @@ _random = np.random.Generator(np.random.PCG64(7))
 _BYTES = _random.integers(1, 1 << 63, 256, dtype=np.uint64)
 _POS_BITS = np.uint64(23)
 
-_SEGMENTS = "key long, doc_id long, anchor long, content long, low long, high long, at long"
+#: Bits of `place`: a segment's first window, then its last one and its anchor counted from there.
+_PLACE_BITS = 12
+_SEGMENTS = "key long, doc_id long, anchor long, content long, place long"
 _CUT = "anchor long, key long, doc_id long, low long, at long, alone boolean, bytes binary"
 _RANGES = "key long, doc_id long, low long, high long"
 _HASHED = "anchor long, start int, hash long, key long, doc_id long, low long, alone boolean"
 
 
-def _gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of each GRAM-byte string, by doubling the length."""
+def gram_of(window: int) -> int:
+    """Length of the strings whose least hash is an anchor: a power of two, up to a quarter of the window."""
+    if not 4 <= window < 1 << _PLACE_BITS:
+        raise ValueError(f"window={window}: use 4 to {(1 << _PLACE_BITS) - 1} bytes")
+    return 1 << (window // 4).bit_length() - 1
+
+
+def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of each string of `gram` bytes, by doubling the length."""
     value, length = _BYTES[data], 1
-    while length < GRAM:
+    while length < gram:
         value = mix(value[: len(value) - length] * np.uint64(0x9E3779B97F4A7C15) + (value[length:] ^ np.uint64(length)))
         length *= 2
     return value
@@ -82,14 +89,14 @@ def _window_least(value: np.ndarray, width: int) -> np.ndarray:
 
 def segments_of(raw: bytes, window: int) -> list[tuple[int, int, int, int, int]]:
     """(anchor, content, low, high, at): windows starting from low to high have their anchor at `at`."""
-    found = []
+    found, gram = [], gram_of(window)
     for begin in range(0, max(len(raw) - window + 1, 0), PIECE):
         part = raw[begin : begin + PIECE + window - 1]
-        hashes = _gram_hashes(np.frombuffer(part, dtype=np.uint8))
+        hashes = _gram_hashes(np.frombuffer(part, dtype=np.uint8), gram)
         places = np.arange(len(hashes), dtype=np.uint64)
         # The hash above, the place below: of equal hashes the leftmost is least.
         ranked = (hashes >> _POS_BITS << _POS_BITS) | places
-        at = (_window_least(ranked, window - GRAM + 1) & ((np.uint64(1) << _POS_BITS) - np.uint64(1))).astype(np.int64)
+        at = (_window_least(ranked, window - gram + 1) & ((np.uint64(1) << _POS_BITS) - np.uint64(1))).astype(np.int64)
         lows = np.flatnonzero(np.diff(np.r_[-1, at]))
         highs = np.r_[lows[1:] - 1, len(at) - 1]
         anchors = hashes[at[lows]].view(np.int64)
@@ -110,7 +117,10 @@ def _to_segments(window: int) -> Callable:
         for batch in batches:
             rows: list[tuple] = []
             for key, doc, text in zip(batch["key"].tolist(), batch["doc_id"].tolist(), batch["text"].tolist()):
-                rows += [(key, doc, anchor, content, low, high, at) for anchor, content, low, high, at in segments_of(_bytes(text), window)]
+                rows += [
+                    (key, doc, anchor, content, (low << _PLACE_BITS | high - low) << _PLACE_BITS | at - low)
+                    for anchor, content, low, high, at in segments_of(_bytes(text), window)
+                ]
                 if len(rows) > 50_000:
                     yield pd.DataFrame(rows, columns=names)
                     rows = []
@@ -280,19 +290,32 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, max_segments: int = MAX_SEGMENTS) -> DataFrame:
-    """Bytes to remove as runs [low, high) per (id, key) of `_keyed`; runs may overlap."""
+    """Bytes to remove as runs [low, high) per (id, key) of `_keyed`; runs may overlap.
+
+    Only these runs stay on disk; the tables on the way to them are deleted.
+    """
+    with Scratch(docs.sparkSession) as scratch:
+        return scratch.result(_repeated_ranges(docs, window, max_segments, scratch.written), "ranges")
+
+
+def _repeated_ranges(docs: DataFrame, window: int, max_segments: int, written) -> DataFrame:
     keyed = _keyed(docs)
     texts = keyed.select("key", F.col("id").alias("doc_id"), F.col("row.text").alias("text"))
     segments = texts.where(F.octet_length("text") >= window).mapInPandas(_to_segments(window), _SEGMENTS)
     segments = written(segments, "segments")
-    first = F.min(F.struct("doc_id", "key", "low")).alias("first")
+    # Most anchors occur once; the others' segments are few.
+    again = segments.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    segments = written(segments.join(again, "anchor", "left_semi"), "again")
+    first = F.min(F.struct("doc_id", "key", "place")).alias("first")
     contents = segments.groupBy("anchor", "content").agg(F.count("*").alias("copies"), first)
-    anchors = contents.groupBy("anchor").agg(F.count("*").alias("kinds"), F.max("copies").alias("most"))
-    contents = contents.join(anchors.where("kinds > 1 or most > 1"), "anchor")
+    contents = contents.join(contents.groupBy("anchor").agg(F.count("*").alias("kinds")), "anchor")
     # Of a content that occurs several times, one occurrence takes part in the sort, for the others' sake.
-    chosen = (F.struct("doc_id", "key", "low") == F.col("first")) & (F.col("kinds") > 1)
-    marked = segments.join(contents, ["anchor", "content"]).withColumn("sorted", chosen)
-    marked = written(marked.select("key", "doc_id", "anchor", "low", "high", "at", "copies", "kinds", "sorted"), "marked")
+    chosen = (F.struct("doc_id", "key", "place") == F.col("first")) & (F.col("kinds") > 1)
+    marked = segments.join(contents, ["anchor", "content"])
+    low, mask = F.shiftright("place", 2 * _PLACE_BITS), (1 << _PLACE_BITS) - 1
+    high, at = low + F.shiftright("place", _PLACE_BITS).bitwiseAND(mask), low + F.col("place").bitwiseAND(mask)
+    marked = marked.select("key", "doc_id", "anchor", low.alias("low"), high.alias("high"), at.alias("at"), "copies", "kinds", chosen.alias("sorted"))
+    marked = written(marked.where("sorted or copies > 1"), "marked")
 
     ranges = marked.where("copies > 1").select("key", "doc_id", "low", (F.col("high") + window).alias("high"))
     sortable = marked.where("sorted").withColumn("x", F.struct("anchor", "low", "high", "at", (F.col("copies") == 1).alias("alone")))
@@ -341,7 +364,7 @@ def _with_runs(docs: DataFrame, window: int, max_segments: int) -> DataFrame:
 
 
 def digests(docs: DataFrame, window: int = WINDOW, max_segments: int = MAX_SEGMENTS) -> DataFrame:
-    """One row per document: sizes and the hash of what is left."""
+    """One row per document: sizes, and the hash and the text of what is left (whole characters of it)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,12 +373,13 @@ def digests(docs: DataFrame, window: int = WINDOW, max_segments: int = MAX_SEGME
             for row in batch.to_pylist():
                 raw, runs = _bytes(row["row"]["text"]), _merged(row["runs"] or [])
                 kept = _kept(raw, runs)
-                out.append((row["row"]["doc_id"], len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest()))
-            columns = list(zip(*out)) or [[]] * 5
-            arrays = [pa.array(c, pa.int64()) for c in columns[:4]] + [pa.array(columns[4], pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                sizes = (row["row"]["doc_id"], len(raw), len(raw) - len(kept), len(runs))
+                out.append((*sizes, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
+            columns = list(zip(*out)) or [[]] * 6
+            arrays = [pa.array(c, pa.int64()) for c in columns[:4]] + [pa.array(c, pa.string()) for c in columns[4:]]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"])
 
-    fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string"
     return _with_runs(docs, window, max_segments).mapInArrow(run, fields)
 
 

@@ -26,6 +26,40 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables written on the way to a result, deleted when the block ends.
+
+    What the block returns must not read them any more: write it with `written` outside, or with `result`.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def written(self, df: DataFrame, purpose: str) -> DataFrame:
+        path = work_dir(self.spark, purpose)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def result(self, df: DataFrame, purpose: str) -> DataFrame:
+        """`df` written to stay."""
+        return written(df, purpose)
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            delete(self.spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system Spark knows; one that is gone is no error."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def drawn(df: DataFrame, limit: int, seed: int, *key: str) -> DataFrame:
     """At most `limit` rows, the same for the same rows, by a hash of the columns `key`.
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import uuid
 from collections import Counter
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from offsetledger.llm import jaccard_join as J
 from offsetledger.llm import suffix_dedup as S
+from offsetledger.llm import tables
 from offsetledger.llm.components import components
 
 WORDS = [f"w{n}" for n in range(400)]
@@ -59,6 +61,36 @@ def test_repeated_bytes_equal_brute_force(documents, seed, most):
         assert row.kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
+@pytest.mark.parametrize("window", [4, 33, 256])
+def test_other_windows(documents, window):
+    texts = corpus(window, 20)
+    flags = removed([(text or "").encode() for text in texts], window)
+    rows = {row.doc_id: row for row in S.digests(documents(texts), window).collect()}
+    for at, (text, mine) in enumerate(zip(texts, flags)):
+        kept = bytes(byte for byte, gone in zip((text or "").encode(), mine) if not gone)
+        assert rows[at].n_removed == sum(mine) and rows[at].text == kept.decode("utf-8", "ignore")
+    with pytest.raises(ValueError, match="window"):
+        S.gram_of(5000)
+
+
+def test_texts_longer_than_a_piece(documents, monkeypatch):
+    """Texts are taken in pieces; passages lie across their borders."""
+    monkeypatch.setattr(S, "PIECE", 1 << 10)
+    texts = corpus(9, 20)
+    texts += [texts[5] + texts[20] + texts[5][:3000]]
+    flags = removed([(text or "").encode() for text in texts], 400)
+    rows = {row.doc_id: row for row in S.digests(documents(texts)).collect()}
+    assert [rows[at].n_removed for at in range(len(texts))] == [sum(mine) for mine in flags]
+
+
+def test_a_text_of_over_four_megabytes(documents):
+    dice = random.Random(12)
+    text = "".join(dice.choices("abcdefgh ", k=S.PIECE + 100_000))
+    part = text[S.PIECE - 500 : S.PIECE + 300]
+    rows = {row.doc_id: row for row in S.digests(documents([text, "x" + part + "y"])).collect()}
+    assert (rows[0].n_bytes, rows[0].n_removed, rows[1].n_removed, rows[1].text) == (len(text), 800, 800, "xy")
+
+
 def test_cut_texts_and_other_columns(documents):
     passage = "é" * 300
     docs = documents(["a" + passage, "b" + passage, None], [(0, "a" + passage, "x", "y", 1), (None, "z" * 10, None, None, None)])
@@ -143,6 +175,27 @@ def test_least_needed_is_the_least_of_all_partner_sizes(spark):
     assert least.where("found <> m").count() == 0 and least.count() > 8000
 
 
+def test_a_hot_group_without_similar_texts(documents, monkeypatch):
+    """Every text has one line of its words in common with all others, and most of its shingles are frequent."""
+    monkeypatch.setattr(J, "FREQUENT", 4)
+    monkeypatch.setattr(J, "GROUP", 16)
+    dice = random.Random(8)
+    line = " ".join(WORDS[:12])
+    texts = [f"{line} {' '.join(dice.choice(WORDS) for _ in range(8))}" for _ in range(300)] + [f"{line} x{n}" for n in range(40)]
+    sizes, names = brute_components(texts)
+    rows = {row.doc_id: row for row in J.near_duplicates(documents(texts)).collect()}
+    assert [rows[at].component_id for at in range(len(texts))] == names and len(set(names)) > 300
+
+
+def test_rows_under_one_id_are_one_node_and_tables_on_the_way_go(documents, monkeypatch, tmp_path):
+    a, b, c = (" ".join(WORDS[at : at + 40]) for at in (0, 50, 100))
+    docs = documents([a, b, c], [(5, a, "x", "y", 1), (5, b, "x", "y", 1), (7, c, "x", "y", 1), (7, "", "x", "y", 1), (None, "alone " * 9, "x", "y", 1)])
+    monkeypatch.setattr(tables, "work_dir", lambda spark, purpose: str(tmp_path / f"{purpose}-{uuid.uuid4().hex}"))
+    rows = sorted((str(row.doc_id), row.n_shingles, row.component_id) for row in J.near_duplicates(docs).collect())
+    assert rows == [("0", 36, 0), ("1", 36, 0), ("2", 36, 2), ("5", 36, 0), ("5", 36, 0), ("7", 0, 2), ("7", 36, 2), ("None", 1, None)]
+    assert [path.name.rpartition("-")[0] for path in tmp_path.iterdir()] == ["near-duplicates"]
+
+
 def test_nulls_repeats_and_no_rows(documents):
     text = " ".join(WORDS[:40])
     docs = documents([text, text, None], [(0, text, "x", "y", 1), (None, text, None, None, None), (2, text, None, None, None)])
