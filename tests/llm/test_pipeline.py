@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from offsetledger.llm import jaccard_join, quality_cnn, quality_rules, suffix_dedup
+from offsetledger.llm import jaccard_join, quality_rules
 from tests.llm.test_dedup import brute_components, removed
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -31,7 +31,7 @@ def test_stages_against_brute_force(spark, tmp_path):
             assert set(after) == {before[n].doc_id for n in set(names)}
         elif at == 3:
             raws = [row.text.encode() for row in before]
-            for row, raw, gone in zip(before, raws, removed(raws, suffix_dedup.WINDOW)):
+            for row, raw, gone in zip(before, raws, removed(raws, pipeline.PASSAGE)):
                 kept = bytes(b for b, g in zip(raw, gone) if not g).decode("utf-8", "ignore")
                 assert after[row.doc_id].text == kept and after[row.doc_id].n_chars == len(kept)
         else:
@@ -48,6 +48,16 @@ def test_copies_of_rows_go(spark, documents):
     assert jaccard_join.near_duplicates(docs).count() == 5
 
 
+def test_clean_documents_that_share_an_id_stay(spark, documents):
+    texts = [" ".join(f"{at}w{n}" for n in range(80)) for at in range(3)]
+    docs = documents([], [(0, texts[0], "en", "s", 1), (0, texts[1], "en", "s", 2), (None, texts[2], "en", "s", 3), (None, texts[2], "en", "s", 4), (7, None, "en", "s", 5)])
+    docs = docs.selectExpr("*", "1 as row", "2 as number", "3 as component", "4 as `a.b`")
+    kept = pipeline.near_duplicates(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, (row.text for row in kept.collect()))) == sorted([*texts, "None"])
+    assert pipeline.near_duplicates(spark, docs.limit(0), SF_DIR).count() == 0
+
+
 def test_classifier_is_trained_on_the_whole_table_and_rejects(spark, documents, tmp_path):
     dice = random.Random(5)
 
