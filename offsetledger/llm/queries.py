@@ -102,6 +102,7 @@ QUERIES = {
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _MARKS = "[#*$%&<>!]"
+_END_MARK = quality_rules.END_MARK.replace("'", "''")
 
 _OP6 = rf"""
 WITH docs AS (
@@ -114,6 +115,10 @@ WITH docs AS (
   SELECT *, list_filter(lines, lambda x: NOT (
       len(regexp_extract_all(x, '{_MARKS}')) * 4 > len(regexp_extract_all(x, '{_WORD}'))
       OR len(regexp_extract_all(x, '[|]')) * 3 > len(regexp_extract_all(x, '{_WORD}'))
+      OR ((len(regexp_extract_all(x, '{_WORD}')) < 4 AND length(x) < 30
+           OR len(regexp_extract_all(x, '{_WORD}')) < 6 AND regexp_matches(x, '{quality_rules.BULLET}'))
+          AND NOT regexp_matches(x, '{_END_MARK}'))
+      OR regexp_matches(x, '{quality_rules.BROKEN_OR_LINKS}')
       OR regexp_matches(lower(x), '{quality_rules.BOILERPLATE}'))) AS good
   FROM lines
 ), windows AS (
