@@ -30,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from offsetledger.llm.sentencepiece_codec import Model
 from offsetledger.llm.tables import written
 
-#: Texts given to the tokenizers at once.
-CHUNK = 128
+#: Texts taken at once, and chunks of text kept with their ids in a Python worker, about 300 bytes each.
+CHUNK, MAX_CHUNKS = 128, 600_000
 #: Pairs sent to all tasks, about 50 bytes each; beyond that both sides are shuffled.
 MAX_BROADCAST_PAIRS = 1_000_000
 
@@ -61,6 +62,12 @@ class Pair:
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        model = Model.read(b_path)
+        pieces = [piece for piece, _, _ in model.pieces]
+        # Whether spaces part the second tokenizer's pieces: no normalisation, no piece that goes on over one or has a line feed.
+        plain = not model.charsmap and not model.squeeze and model.dummy_prefix and model.escape
+        self.apart = plain and not any(_MARK in piece.lstrip(_MARK) or "\n" in piece for piece in pieces)
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
         byte_of, vocabulary = _byte_level(), self.a.get_vocab()
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, at in vocabulary.items():
@@ -82,13 +89,48 @@ class Pair:
         piece = self.b.id_to_piece(at)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(at) else piece.replace(_MARK, " ").encode()
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of a space and the text in both; none where the tokens' bytes are not those."""
-        found = self.a.encode_batch_fast([f" {text}" for text in texts], add_special_tokens=False)
-        for text, encoding, b in zip(texts, found, self.b.encode(texts, num_threads=1)):
-            a, raw = encoding.ids, f" {text}".encode()
+    def _learn(self, chunks: set[str]) -> None:
+        """Ids of chunks in both tokenizers; none where a chunk can't be told apart from its neighbours."""
+        known = self.known
+        if len(known) + len(chunks) > MAX_CHUNKS:
+            known.clear()
+        sound, apart = [], []
+        for chunk in chunks:
+            body = chunk.removeprefix("\n")
+            (sound if body and not body[0].isspace() and not body[-1].isspace() else apart).append(chunk)
+        known.update((chunk, None) for chunk in apart)
+        for at in range(0, len(sound), 4096):
+            some = sound[at : at + 4096]
+            # A chunk of a line's begin stands without a space.
+            found = self.a.encode_batch_fast([chunk if chunk[0] == "\n" else f" {chunk}" for chunk in some], add_special_tokens=False)
+            for chunk, encoding, b in zip(some, found, self.b.encode(some, num_threads=1)):
+                a, raw = encoding.ids, f" {chunk}".encode()
+                if chunk[0] == "\n":  # the second tokenizer has put a space before it
+                    raw = raw[1:]
+                    b = b[1:] if self.b_bytes[b[0]] == b" " else []
+                same = b"".join([self.a_bytes[x] for x in a]) == raw == b"".join([self.b_bytes[x] for x in b])
+                known[chunk] = (np.array(a, dtype="<u4").tobytes(), np.array(b, dtype="<u4").tobytes()) if same else None
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of a space and the text in both; none where the tokens' bytes are not those.
+
+        No token of either reaches over a space or line feed between two other characters, so chunks between those are
+        encoded once and put together. A text with other white space at a chunk's edge, or whose chunks do not
+        keep their bytes, is encoded as a whole.
+        """
+        none, known = np.zeros(0, dtype="<u4"), self.known
+        split = [text.replace("\n", " \n").split(" ") if text and self.apart else None for text in texts]
+        if new := {chunk for chunks in split if chunks for chunk in chunks if chunk not in known}:
+            self._learn(new)
+        for text, chunks in zip(texts, split):
+            found = [known.get(chunk) for chunk in chunks] if chunks else [None]
+            if text and None not in found and chunks[0][0] != "\n":
+                yield tuple(np.frombuffer(b"".join(side), dtype="<u4") for side in zip(*found))
+                continue
+            a, b = (self.a.encode(f" {text}", add_special_tokens=False).ids, self.b.encode(text)) if text else ([], [])
+            raw = f" {text}".encode()
             whole = text and b"".join([self.a_bytes[x] for x in a]) == raw and b"".join([self.b_bytes[x] for x in b]) == raw
-            yield (a, b) if whole else ([], [])
+            yield (np.array(a, dtype="<u4"), np.array(b, dtype="<u4")) if whole else (none, none)
 
     def group_text(self, a: np.ndarray, b: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndarray) -> str:
         """`a1,a2|b1;a3|b2,b3`: the ids of each group."""
@@ -171,7 +213,7 @@ def alignments(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 texts = [text or "" for text in some.column("text").to_pylist()]
                 sizes, groups, pairs, times = [], [], [], []
                 for ids in pair.encode(texts):
-                    a, b = (np.array(x, dtype=np.int64) for x in ids)
+                    a, b = (x.astype(np.int64) for x in ids)
                     a_cuts, b_cuts, a_links, b_links = align(pair.a_sizes[a].cumsum(), pair.b_sizes[b].cumsum())
                     sizes.append((len(a), len(b), len(a_cuts), len(a_links)))
                     groups.append(pair.group_text(a, b, np.array(a_cuts, dtype=np.int64), np.array(b_cuts, dtype=np.int64)))

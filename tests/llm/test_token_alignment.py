@@ -107,6 +107,21 @@ def test_token_bytes(pair):
     assert none == also_none == [] and 50_256 not in a
 
 
+def test_chunks_are_put_together_as_the_whole_text_is_encoded(pair, monkeypatch):
+    texts = ["a\nb", "a\n\nb", " a", "a ", "a  b", "a\tb c", "\na b", "a \nb", "a\u00a0 b", "x\u3000y z", "é\nü ", "<|endoftext|> a", "a▁b c"]
+    texts += ["don't 'll x's\n's", "1 23\n45 6", "\x1c a", "a \x1cb", "ﬁ ｘ a", "a\r\nb c\x0b d", "a\u2028 b\n\u0085c", "", "\n", "x" * 5000]
+    dice = random.Random(3)
+    texts += ["".join(dice.choices("ab1.,' \n\té✓", k=60)) for _ in range(300)]
+    monkeypatch.setattr(ta, "MAX_CHUNKS", 50)
+    for at in range(0, len(texts), 7):
+        some = texts[at : at + 7]
+        for text, (a, b) in zip(some, pair.encode(some)):
+            whole = (pair.a.encode(" " + text, add_special_tokens=False).ids, pair.b.encode(text))
+            raw = [b"".join(side[x] for x in ids) for side, ids in zip((pair.a_bytes, pair.b_bytes), whole)]
+            sound = text and raw[0] == raw[1] == (" " + text).encode()
+            assert (a.tolist(), b.tolist()) == (whole if sound else ([], [])), text
+
+
 def test_query_against_brute_force(spark, pair, tmp_path):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("length(text) < 1500").orderBy("doc_id").limit(60)
     docs.write.parquet(str(tmp_path / "documents.parquet"))
