@@ -74,6 +74,18 @@ def bucket_prefix(key: Column, levels: tuple[str, ...]) -> Column:
     return F.regexp_extract(key, pattern, 1)
 
 
+def level_names(key: Column) -> Column:
+    """Names of a key's partition directories, from `year` on, joined by slashes; empty where it has none."""
+    below = F.regexp_extract(key, r"/(year=[^/]+/(?:[^/=]+=[^/]+/)*)[^/]+$", 1)
+    return F.rtrim(F.regexp_replace(below, r"=[^/]+/", "/"), F.lit("/"))
+
+
+def level_values(key: Column, level: str) -> Column:
+    """The value of one partition directory, without the escapes of its name."""
+    value = F.regexp_extract(key, f"/{level}=([^/]+)/", 1)
+    return F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
+
+
 def glob_escape(path: str) -> str:
     """A literal path inside a Hadoop glob."""
     return re.sub(r"([\\*?\[\]{},])", r"\\\1", path)

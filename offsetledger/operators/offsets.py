@@ -40,6 +40,11 @@ def offset_words(df: DataFrame, keys: tuple[str, ...] = DEFAULT_KEYS, offset: st
     return df.groupBy(*keys, word.alias("word")).agg(F.bit_or(bit).alias("mask"), F.count("*").alias("rows"))
 
 
+def merge_words(words: DataFrame, keys: tuple[str, ...] = DEFAULT_KEYS) -> DataFrame:
+    """Words folded from several parts of the rows (files, hours, batches) as the words of all rows."""
+    return words.groupBy(*keys, "word").agg(F.bit_or("mask").alias("mask"), F.sum("rows").alias("rows"))
+
+
 def summarize_words(words: DataFrame, keys: tuple[str, ...] = DEFAULT_KEYS) -> DataFrame:
     """The summary of already folded offsets."""
     seen = F.coalesce(F.bit_count("mask").cast("long"), F.lit(0))

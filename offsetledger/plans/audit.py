@@ -13,24 +13,27 @@ from offsetledger.operators.offsets import (
     DEFAULT_KEYS,
     first_gaps,
     gaps_of_words,
+    merge_words,
     offset_verdict,
     offset_words,
     summarize_words,
 )
 from offsetledger.operators.selection import AUDITED, entry_counts, select_minutes, stale
 from offsetledger.sources.commit_log import read_commit_log
-from offsetledger.sources.data_files import Listing, find_files, read_committed, unread_entries
+from offsetledger.sources.data_files import Listing, find_files, of_logged_files, read_logged_batches, unread_entries
 
 
 @dataclass
 class Audit:
-    """An audit's frames. `log`, `files` and `words` are cached; `close()` lets them go."""
+    """An audit's frames. `log`, `files` and `file_words` are cached; `close()` lets them go."""
 
     title: str
     keys: tuple[str, ...]
     log: DataFrame
     files: DataFrame
     stale: DataFrame
+    # Offset words of each file, and of all files together.
+    file_words: DataFrame
     words: DataFrame
     summary: DataFrame
     verdict: DataFrame
@@ -42,7 +45,7 @@ class Audit:
         return gaps if limit is None else first_gaps(gaps, self.keys, limit)
 
     def close(self) -> None:
-        for cached in (self.words, self.files, self.log):
+        for cached in (self.file_words, self.files, self.log):
             cached.unpersist()
 
 
@@ -85,15 +88,16 @@ def audit_offsets(
 ) -> Audit:
     """Prove that the files logged in a range hold every offset between their outer ones.
 
-    The data is scanned once, two columns wide, into offset words; summary, verdict and
-    gaps are all computed from those.
+    The data is scanned once, two columns wide, into offset words of each file; files that the log does not name
+    fall out then. Summary, verdict and gaps, and in a tolerant audit (`strict=False`) what each file gave, are all
+    computed from those words.
     """
     log = select_log(spark, base, start=start, end=end, paths=paths, sources=sources)
     log = log.persist(StorageLevel.MEMORY_AND_DISK)
     found = find_files(spark, log, roots)
     listing = Listing(found.files.persist(StorageLevel.MEMORY_AND_DISK))
-    words = offset_words(read_committed(spark, log, listing=listing, strict=strict), keys)
-    words = words.persist(StorageLevel.MEMORY_AND_DISK)
+    file_words = words_by_file(spark, log, keys, roots=roots, strict=strict).persist(StorageLevel.MEMORY_AND_DISK)
+    words = merge_words(file_words, keys)
     summary = summarize_words(words, keys)
     return Audit(
         title=f"paths: {' '.join(paths)}" if paths is not None else f"{start} to {end}",
@@ -101,13 +105,27 @@ def audit_offsets(
         log=log,
         files=listing.files,
         stale=stale(log, listing.files),
+        file_words=file_words,
         words=words,
         summary=summary,
         verdict=offset_verdict(summary, log),
-        unread=None if strict else unread_entries(spark, log, listing=listing),
+        unread=None if strict else unread_entries(spark, log, listing=listing, read=rows_by_file(file_words)),
     )
 
 
+def words_by_file(
+    spark: SparkSession, log: DataFrame, keys: tuple[str, ...] = DEFAULT_KEYS, *, roots: list[str] | None = None, strict: bool = True
+) -> DataFrame:
+    """Offset words of each file that the log names, with its `file_path`, in one scan."""
+    rows = read_logged_batches(spark, log, roots=roots, strict=strict)
+    return of_logged_files(offset_words(rows, ("file_path", *keys)), log)
+
+
+def rows_by_file(file_words: DataFrame) -> DataFrame:
+    """How many rows with an offset each file gave; one that gave none has no row here."""
+    return file_words.filter("word is not null").groupBy("file_path").agg(F.sum("rows").alias("rows"))
+
+
 def render_report(audit: Audit) -> tuple[str, int]:
     """The audit as text, and the exit code."""
     result = audit.verdict.first()

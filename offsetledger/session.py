@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # For an audit on a cluster. Two narrow columns make little of each file, so scan tasks take
@@ -49,3 +49,10 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return os.path.join(tempfile.mkdtemp(prefix=f"{purpose}-"), "work")
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` written to a new folder of the shared one and read again: later jobs see the same rows in the same tasks' order."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -34,10 +34,9 @@ def read_commit_log(spark: SparkSession, base: str, folders: list[str] | None =
     return entries.withColumns({"source": source_of(F.col("log_path")), "run_id": run_of(F.col("log_path"))})
 
 
-def batch_entries(spark: SparkSession, files: list[str], batch_id: int, commit_ms: int) -> DataFrame:
-    """Commit-log rows for the files one batch wrote (as `file_paths` spells them)."""
-    names = spark.createDataFrame([(path,) for path in files], "file_path string")
-    return names.select(
+def batch_entries(files: DataFrame, batch_id: int, commit_ms: int) -> DataFrame:
+    """Commit-log rows for the files one batch wrote (a frame with their `file_path`)."""
+    return files.select(
         F.lit(batch_id).cast("long").alias("checkpoint_id"),
         decode_path(F.col("file_path")).alias("s3_key"),
         F.lit(commit_ms).cast("long").alias("commit_timestamp"),

@@ -8,14 +8,13 @@ exactly its own files and log entries.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from offsetledger.functions.paths import glob_escape, one_of, partition_value
+from offsetledger.functions.paths import decode_path, glob_escape, one_of, partition_value
 from offsetledger.functions.timecols import bucket_columns
 from offsetledger.operators.records import (
     DROPPED,
@@ -28,10 +27,12 @@ from offsetledger.operators.records import (
 )
 from offsetledger.schemas import BATCH_COLUMNS, BUCKET_COLUMNS
 from offsetledger.sources.commit_log import append_commit_log, batch_entries, commit_folder
-from offsetledger.sources.data_files import NAMES_PER_GLOB, file_paths
+from offsetledger.sources.data_files import NAMES_PER_GLOB, list_files
 
 SINKS = (OUTPUT, DROPPED, QUARANTINED)
 PARTITION_COLUMNS = (*BUCKET_COLUMNS, *BATCH_COLUMNS)
+# Rows that one file of an event-time bucket is meant to hold at most.
+ROWS_PER_FILE = 5_000_000
 # The last millisecond of the year 9999.
 LAST_BUCKET_MS = 253_402_300_799_999
 
@@ -98,19 +99,23 @@ def _clear(spark: SparkSession, path: str, folders: list[str]) -> None:
         files.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{folder}"), True)
 
 
-def _written_files(spark: SparkSession, path: str, folders: list[str], rows: int) -> list[str]:
-    """Names of a batch's files, after checking that every directory is there and that they hold all rows."""
+def _written_files(spark: SparkSession, path: str, folders: list[str], rows: int) -> tuple[DataFrame, int]:
+    """A batch's files and their number, after checking that every directory is there and that they hold all rows."""
     globs = [one_of(path, folders[at : at + NAMES_PER_GLOB]) for at in range(0, len(folders), NAMES_PER_GLOB)]
-    files = file_paths(spark, globs, recursive=False)
+    files = list_files(spark, globs, recursive=False)
     depth = len(PARTITION_COLUMNS)
-    lost = set(folders) - {"/".join(unquote(name).split("/")[-1 - depth : -1]) for name in files}
+    # A row for each directory of the batch, of which there is one an hour.
+    below = F.slice(F.split(decode_path(F.col("file_path")), "/"), -1 - depth, depth)
+    found = files.groupBy(F.array_join(below, "/").alias("folder")).agg(F.count("*").alias("files")).collect()
+    lost = set(folders) - {row.folder for row in found}
     if lost:
         raise RuntimeError(f"no data file below {path}/{min(lost)}: the batch must not be logged as complete")
+    number = sum(row.files for row in found)
     # Only the files' footers are read.
-    stored = spark.read.parquet(*[glob_escape(unquote(name)) for name in files]).count()
+    stored = spark.read.option("basePath", glob_escape(path.rstrip("/"))).parquet(*globs).count()
     if stored != rows:
-        raise RuntimeError(f"{len(files)} files of a batch hold {stored} rows instead of {rows}")
-    return files
+        raise RuntimeError(f"{number} files of a batch hold {stored} rows instead of {rows}")
+    return files, number
 
 
 def process_batch(
@@ -138,11 +143,12 @@ def process_batch(
             folders = batch_folders(names, run_id, batch_id)
             _clear(spark, path, folders)
             table = _sink_table(batch, sink, run_id, batch_id)
-            write_bucketed(_gathered(table, sink, bucket_by), path)
-            files = _written_files(spark, path, folders, sum(row.rows for row in mine))
+            buckets = counted.filter(F.col("sink") == sink).drop("sink", "committed_ms")
+            write_bucketed(_gathered(table, sink, bucket_by, buckets, [row.rows for row in mine]), path)
+            files, number = _written_files(spark, path, folders, sum(row.rows for row in mine))
             commit_ms = found[0].committed_ms
             folder = commit_folder(paths.commit_log, sink, run_id, batch_id, commit_ms)
-            append_commit_log(batch_entries(spark, files, batch_id, commit_ms), folder, 1 + len(files) // 100_000)
+            append_commit_log(batch_entries(files, batch_id, commit_ms), folder, 1 + number // 100_000)
     finally:
         batch.unpersist()
 
@@ -154,16 +160,24 @@ def _sink_table(batch: DataFrame, sink: str, run_id: str, batch_id: int) -> Data
     return table.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("long")})
 
 
-def _gathered(table: DataFrame, sink: str, bucket_by: str) -> DataFrame:
+def _gathered(table: DataFrame, sink: str, bucket_by: str, buckets: DataFrame, rows: list[int]) -> DataFrame:
     """Bring rows that share a directory together, where that saves files.
 
     By processing time a batch has one bucket: its main rows stay where they were read,
-    the thin side tables are gathered. By event time rows meet by bucket, hot buckets being
-    split over several tasks and small ones sharing one.
+    the thin side tables are gathered. By event time each bucket becomes one file, or as many as its measured
+    rows are worth, and buckets are dealt over the tasks, which write one file after the other.
     """
-    if bucket_by == "event":
-        return table.hint("rebalance", *BUCKET_COLUMNS)
-    return table if sink == OUTPUT else table.hint("rebalance")
+    if bucket_by != "event":
+        return table if sink == OUTPUT else table.hint("rebalance")
+    tasks = max(table.sparkSession.sparkContext.defaultParallelism, sum(rows) // ROWS_PER_FILE)
+    files = sum(-(-n // ROWS_PER_FILE) for n in rows)
+    if files > len(rows):
+        # Hot buckets: a row for each bucket of the batch says into how many parts.
+        parts = buckets.select(*BUCKET_COLUMNS, F.ceil(F.col("rows") / ROWS_PER_FILE).alias("_parts"))
+        place = F.pmod(F.xxhash64("kafka_partition", "kafka_offset"), F.col("_parts")).alias("_part")
+        table = table.join(F.broadcast(parts), list(BUCKET_COLUMNS)).select(*table.columns, place)
+        return table.repartition(min(tasks, files), *BUCKET_COLUMNS, "_part").drop("_part")
+    return table.repartition(min(tasks, files), *BUCKET_COLUMNS)
 
 
 def run_ingest(

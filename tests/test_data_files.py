@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ def tables(spark, tmp_path):
 
 @pytest.fixture
 def log(spark, tables):
-    return batch_entries(spark, D.file_paths(spark, [str(tables / "output"), str(tables / "dropped")]), 1, 0)
+    return batch_entries(D.list_files(spark, [str(tables / "output"), str(tables / "dropped")]), 1, 0)
 
 
 def day_one(log):
@@ -81,19 +83,61 @@ def test_tables_inside_another_folder_are_read_once(spark, tables, log):
     assert rows.count() == 490
 
 
-def test_literal_keys_prune_files_and_columns(spark, tables, log):
-    one = log.filter(F.col("s3_key").contains("/output/") & F.col("s3_key").contains("/day=01/hour=03/"))
-    rows = D.read_committed(spark, one.unionAll(one)).select("kafka_partition", "kafka_offset")
-    assert rows.count() == 10
-    rows.collect()
-    plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<kafka_partition:int,kafka_offset:bigint>" in plan
-    assert "Join" not in plan
+def damage(base, but):
+    """Make every data file below a folder unreadable, except those whose path holds one of the given parts."""
+    for file in Path(base).rglob("*.parquet"):
+        if not any(part in str(file) for part in but):
+            file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+            file.write_bytes(b"not parquet")
 
 
-@pytest.mark.parametrize("wanted", [1, 2_001, 10_000])
-def test_only_wanted_files_are_opened(spark, tmp_path, wanted):
-    """Hard links of one file stand for a large table; twice as many lie there as are logged."""
+@pytest.fixture
+def batches(spark, tmp_path):
+    """A table of three runs of ten batches, each in its own directory of one hour."""
+    rows = spark.range(300).select(
+        F.lit("t").alias("kafka_topic"),
+        F.lit(0).alias("kafka_partition"),
+        F.col("id").alias("kafka_offset"),
+        *[F.lit(value).alias(name) for name, value in (("year", "2026"), ("month", "03"), ("day", "01"), ("hour", "05"))],
+        F.format_string("run %d:x", F.col("id") % 3).alias("run_id"),
+        F.floor(F.col("id") / 30).alias("batch_id"),
+    )
+    path = str(tmp_path / "batches")
+    rows.coalesce(1).write.partitionBy("year", "month", "day", "hour", "run_id", "batch_id").parquet(path)
+    return path
+
+
+def test_the_log_prunes_directories_while_the_query_runs(spark, batches):
+    whole = batch_entries(D.list_files(spark, [batches]), 1, 0)
+    log = whole.filter(F.col("s3_key").contains("run 1") & F.col("s3_key").contains("batch_id=4/"))
+    for roots in (None, [batches]):
+        rows = D.read_committed(spark, log.unionAll(log), roots=roots).select("kafka_partition", "kafka_offset")
+        assert sorted(row.kafka_offset for row in rows.collect()) == list(range(121, 150, 3))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "dynamicpruning" in plan and "ReadSchema: struct<kafka_partition:int,kafka_offset:bigint>" in plan
+        assert D.read_committed(spark, whole, roots=roots).count() == 300
+    # No file of another batch or run is opened.
+    damage(batches, ["run 1%3Ax/batch_id=4/"])
+    for roots in (None, [batches]):
+        assert D.read_committed(spark, log, roots=roots).count() == 10
+    with pytest.raises(Exception, match="parquet|Parquet"):
+        D.read_committed(spark, whole).agg(F.sum("kafka_offset")).collect()
+
+
+def test_batches_prune_where_files_are_many(spark, batches, monkeypatch):
+    monkeypatch.setattr(D, "MAX_BROADCAST_FILES", 3)
+    whole = batch_entries(D.list_files(spark, [batches]), 1, 0)
+    log = whole.filter(F.col("s3_key").contains("batch_id=4/") | F.col("s3_key").contains("run 0"))
+    assert sorted(row.kafka_offset for row in D.read_committed(spark, log).collect()) == sorted({*range(120, 150), *range(0, 300, 3)})
+    few = log.filter(F.col("s3_key").contains("batch_id=4/"))
+    damage(batches, ["batch_id=4/"])
+    assert D.read_logged_batches(spark, few).agg(F.count("kafka_offset")).first()[0] == 30
+    assert D.read_committed(spark, few).agg(F.count("kafka_offset")).first()[0] == 30
+
+
+@pytest.mark.parametrize("wanted", [1, 2_001])
+def test_only_wanted_files_give_rows(spark, tmp_path, wanted):
+    """Hard links of one file stand for a large table; twice as many lie in the folder as are logged."""
     spark.range(1).select(F.lit(0).alias("kafka_partition"), F.col("id").alias("kafka_offset")).coalesce(1).write.parquet(str(tmp_path / "one"))
     (file,) = (tmp_path / "one").glob("*.parquet")
     folder = tmp_path / "t/year=2026/month=03/day=01/hour=00"
@@ -101,11 +145,9 @@ def test_only_wanted_files_are_opened(spark, tmp_path, wanted):
     for number in range(2 * wanted):
         (folder / f"part-{number}.parquet").hardlink_to(file)
     names = spark.range(wanted).select(F.lit(1).alias("checkpoint_id"), F.format_string(f"{folder}/part-%d.parquet", F.col("id")).alias("s3_key"))
-    rows = D.read_committed(spark, names)
-    assert rows.count() == wanted
-    rows.select("kafka_offset").collect()
-    metrics = rows.select("kafka_offset")
-    assert len(metrics.inputFiles()) == wanted
+    assert D.read_committed(spark, names).count() == wanted
+    folded = D.read_logged_batches(spark, names).groupBy("file_path").agg(F.count("*").alias("rows"))
+    assert D.of_logged_files(folded, names).agg(F.sum("rows")).first()[0] == wanted
 
 
 def test_a_missing_folder_does_not_hide_the_others(spark, tables, log):
@@ -117,7 +159,7 @@ def test_a_missing_folder_does_not_hide_the_others(spark, tables, log):
 def test_a_folder_for_every_day_is_no_limit(spark, tmp_path):
     rows = spark.range(150).select(F.lit(0).alias("kafka_partition"), F.col("id").alias("kafka_offset"), (F.col("id")).alias("day"))
     rows.repartition(8, "day").write.partitionBy("day").parquet(str(tmp_path / "days"))
-    log = batch_entries(spark, D.file_paths(spark, [str(tmp_path / "days")]), 1, 0)
+    log = batch_entries(D.list_files(spark, [str(tmp_path / "days")]), 1, 0)
     assert D.read_committed(spark, log).count() == 150
 
 
