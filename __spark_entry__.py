@@ -14,10 +14,11 @@ from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offsetledger.functions.paths import decode_path, normalize_path, sink_prefix
+from offsetledger.functions.paths import decode_path, dir_name, normalize_path, sink_prefix
 from offsetledger.functions.timecols import bucket_columns, epoch_millis, hour_start
 from offsetledger.operators.offsets import (
     first_gaps,
@@ -27,7 +28,7 @@ from offsetledger.operators.offsets import (
     offset_verdict,
 )
 from offsetledger.operators.records import decode, enrich, quarantine, route, split_malformed, union_records
-from offsetledger.operators.round_robin import assign_round_robin
+from offsetledger.operators.round_robin import assign_round_robin, round_robin_batches
 from offsetledger.operators.selection import (
     audited_counts,
     classify_source,
@@ -40,14 +41,16 @@ from offsetledger.operators.selection import (
     select_paths,
     stale,
 )
-from offsetledger.plans.audit import Audit, audit_offsets
+from offsetledger.plans.audit import Audit, audit_offsets, report_lines
+from offsetledger.plans.folded import fold_hours, folded_summary
 from offsetledger.plans.views import coordinates_view, hourly_commit_log, log_view
 from offsetledger.schemas import ENRICHED, PARTITIONS
 from offsetledger.session import work_dir
-from offsetledger.sources.commit_log import read_commit_log
-from offsetledger.sources.data_files import read_committed
+from offsetledger.sources.commit_log import append_commit_log, batch_entries, commit_folder, read_commit_log
+from offsetledger.sources.data_files import list_files_at, read_committed
 from offsetledger.sources.log import read_log_table
 from offsetledger.streaming.ingest import IngestPaths, run_ingest
+from offsetledger.streaming.observed import ObservedCounts, reconcile, stored_counts
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 TOPIC_KEYS = ("kafka_topic", "kafka_partition")
@@ -360,22 +363,57 @@ def ingest_buckets(spark, sf_dir):
     return union_records(tables).groupBy("sink", "year", "month", "day", "hour").agg(F.count("*").alias("records"))
 
 
-def _committed(spark: SparkSession, sf_dir: str) -> IngestPaths:
-    """An ingest of the whole events table in three batches: a third of the ids each."""
+THIRDS = 3
+FIRST_HOUR_MS = 1_704_067_200_000  # 2024-01-01 00:00 UTC
+
+
+def _third(spark: SparkSession, sf_dir: str, third: int, damaged: bool = False) -> DataFrame:
+    """A third of the events as log messages; damaged, those of type `error` are cut off."""
+    keep = ("event_id", "event_type")
+    log = log_view(_table(spark, sf_dir, "events"), "events", "event_id", "ts", keep=keep).where(F.col("event_id") % THIRDS == third)
+    if damaged:
+        cut = F.substring(F.col("value").cast("string"), 1, 20).cast("binary")
+        log = log.withColumn("value", F.when(F.col("event_type") == "error", cut).otherwise(F.col("value")))
+    return log.drop(*keep)
+
+
+def _paths(base: str) -> IngestPaths:
+    return IngestPaths(f"{base}/output", f"{base}/dropped", f"{base}/commit-log", f"{base}/quarantine")
+
+
+def _committed(spark: SparkSession, sf_dir: str, damaged: tuple[int, ...] = (), started=lambda query: None) -> IngestPaths:
+    """An ingest of the whole events table in three batches, a third of the ids each: the stream is started anew on
+    its checkpoint whenever a third has been added to the log."""
     base = work_dir(spark, "committed")
-    log = log_view(_table(spark, sf_dir, "events"), "events", "event_id", "ts", keep=("event_id",))
-    for third in range(3):
-        log.where(F.col("event_id") % 3 == third).drop("event_id").coalesce(1).write.parquet(f"{base}/log/part={third}")
-    paths = IngestPaths(f"{base}/output", f"{base}/dropped", f"{base}/commit-log")
-    stream = read_log_table(spark, f"{base}/log/part=*", max_files_per_trigger=1)
-    run_ingest(stream, paths, f"{base}/checkpoint", trigger={"availableNow": True}).awaitTermination()
+    paths = _paths(base)
+    for third in range(THIRDS):
+        _third(spark, sf_dir, third, third in damaged).write.parquet(f"{base}/log/part={third}")
+        stream = read_log_table(spark, f"{base}/log/part=*")
+        query = run_ingest(stream, paths, f"{base}/checkpoint", trigger={"availableNow": True})
+        query.awaitTermination()
+        started(query)
     return paths
 
 
-def _committed_audit(spark: SparkSession, sf_dir: str, **options) -> Audit:
+def _days() -> dict[str, str]:
     now = datetime.now(timezone.utc)
-    days = {"start": f"{now - timedelta(1):%m-%d-%Y}", "end": f"{now + timedelta(1):%m-%d-%Y}"}
-    return audit_offsets(spark, _committed(spark, sf_dir).commit_log, **days, **options)
+    return {"start": f"{now - timedelta(1):%m-%d-%Y}", "end": f"{now + timedelta(1):%m-%d-%Y}"}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _log_attempt(spark: SparkSession, paths: IngestPaths, files: list[str], batch_id: int) -> None:
+    """Commit-log entries such as a failed attempt leaves them."""
+    now = int(datetime.now(timezone.utc).timestamp() * 1000)
+    names = spark.createDataFrame([(file,) for file in files], "file_path string")
+    append_commit_log(batch_entries(names, batch_id, now), commit_folder(paths.commit_log, "output", "failed", batch_id, now))
+
+
+def _committed_audit(spark: SparkSession, sf_dir: str, **options) -> Audit:
+    return audit_offsets(spark, _committed(spark, sf_dir).commit_log, **_days(), **options)
 
 
 def committed_log_entries(spark, sf_dir):
@@ -423,6 +461,149 @@ def committed_verdicts(spark, sf_dir):
     return reduce(DataFrame.unionAll, verdicts)
 
 
+def committed_pruned(spark, sf_dir):
+    """The records of one checkpoint: of the tables only its batch's directories are opened."""
+    paths = _committed(spark, sf_dir)
+    log = files_of_checkpoint(read_commit_log(spark, paths.commit_log), 1)
+    return read_committed(spark, log, ENRICHED, roots=[paths.output, paths.dropped])
+
+
+def committed_stale(spark, sf_dir):
+    """Entries per sink and checkpoint, and whether their files are gone, after one sink has lost those of a batch."""
+    paths = _committed(spark, sf_dir)
+    log = read_commit_log(spark, paths.commit_log)
+    lost = log.where("source = 'dropped' and checkpoint_id = 1").select(dir_name(F.col("s3_key")).alias("folder")).distinct()
+    for row in lost.collect():  # a batch has one directory an hour
+        _delete(spark, row.folder)
+    files = list_files_at(spark, [paths.output, paths.dropped])
+    known = finalized(log, files).withColumn("stale", F.lit(False))
+    gone = stale(log, files).withColumn("stale", F.lit(True))
+    return known.unionByName(gone).select("source", "checkpoint_id", "stale").distinct()
+
+
+def committed_unread(spark, sf_dir):
+    """A tolerant audit in which a failed attempt has left a broken, an empty and a lost file: one scan of the data."""
+    paths = _committed(spark, sf_dir)
+    folder = f"{paths.output}/year=2024/month=01/day=01/hour=00/run_id=failed/batch_id=7"
+    spark.createDataFrame([], ENRICHED).coalesce(1).write.parquet(folder)
+    spark.createDataFrame([("not parquet",)], "value string").coalesce(1).write.mode("append").text(folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.globStatus(path(f"{folder}/*.txt")):
+        files.rename(status.getPath(), path(f"{folder}/part-broken.parquet"))
+    names = [row.file_path for row in list_files_at(spark, [folder]).collect()]
+    _log_attempt(spark, paths, [*names, f"{folder}/part-lost.parquet"], 7)
+    audit = audit_offsets(spark, paths.commit_log, **_days(), strict=False)
+    counts = {
+        "entries without rows": audit.unread.agg(F.count("*").alias("n")),
+        "entries without file": audit.stale.agg(F.count("*").alias("n")),
+        "rows": audit.summary.agg(F.sum("record_count").alias("n")),
+        "missing offsets": audit.summary.agg(F.sum("missing_offsets").alias("n")),
+    }
+    return reduce(DataFrame.unionAll, [frame.select(F.lit(name).alias("counted"), "n") for name, frame in counts.items()])
+
+
+def audit_report(spark, sf_dir):
+    """The report's lines of an audit of the main sink alone, which misses every tenth offset."""
+    lines = report_lines(_committed_audit(spark, sf_dir, sources=("output",)))
+    return lines.where(F.col("section").isin("summary", "verdict", "gaps"))
+
+
+def folded_audit(spark, sf_dir):
+    """Each batch in a log hour of its own, two hours folded one by one, the third read: the whole audit's summary."""
+    base = work_dir(spark, "folded")
+    log = read_commit_log(spark, _committed(spark, sf_dir).commit_log).persist()
+    for third in range(THIRDS):
+        at = FIRST_HOUR_MS + 3_600_000 * third
+        for source in ("output", "dropped"):
+            entries = log.where((F.col("checkpoint_id") == third) & (F.col("source") == source))
+            entries = entries.select("checkpoint_id", "s3_key", F.lit(at).alias("commit_timestamp"))
+            append_commit_log(entries, commit_folder(f"{base}/log", source, "run", third, at))
+    log.unpersist()
+    day = {"start": "01-01-2024", "end": "01-01-2024"}
+    for before in ("2024-01-01-01", "2024-01-01-02"):
+        fold_hours(spark, f"{base}/log", f"{base}/store", before=before, **day)
+    return folded_summary(spark, f"{base}/log", f"{base}/store", **day)
+
+
+def ingest_reconciled(spark, sf_dir):
+    """Rows that each batch reported per sink beside those stored, one batch having damaged messages."""
+    seen = ObservedCounts()
+    spark.streams.addListener(seen)
+    try:
+        paths = _committed(spark, sf_dir, damaged=(1,), started=lambda query: seen.wait_for(query.runId))
+    finally:
+        spark.streams.removeListener(seen)
+    log = read_commit_log(spark, paths.commit_log)
+    return reconcile(seen.table(spark), stored_counts(spark, log))
+
+
+def _suspended(spark: SparkSession, sf_dir: str) -> IngestPaths:
+    """An ingest that is stopped after its first batch, finds the entry of a failed attempt, and goes on."""
+    base = work_dir(spark, "suspended")
+    paths = _paths(base)
+    for third in range(THIRDS):
+        _third(spark, sf_dir, third).write.parquet(f"{base}/log/part={third}")
+        if third == 1:
+            continue  # suspended: the log grows while nothing reads it
+        stream = read_log_table(spark, f"{base}/log/part=*")
+        query = run_ingest(stream, paths, f"{base}/checkpoint", trigger={"processingTime": "0 seconds"})
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        if third == 0:
+            folder = f"{paths.output}/year=2024/month=01/day=01/hour=00/run_id=failed/batch_id=1"
+            _log_attempt(spark, paths, [f"{folder}/part-0.parquet"], 1)
+    return paths
+
+
+def suspended_audit(spark, sf_dir):
+    """The summary after a suspension equals that of an ingest without one."""
+    return audit_offsets(spark, _suspended(spark, sf_dir).commit_log, **_days()).summary
+
+
+def suspended_stale(spark, sf_dir):
+    """Of all entries after a suspension only the failed attempt's is stale, beside the rows that are stored."""
+    audit = audit_offsets(spark, _suspended(spark, sf_dir).commit_log, **_days())
+    stored = audit.summary.select(F.lit("stored").alias("what"), F.lit(None).cast("long").alias("checkpoint_id"), "record_count")
+    stored = stored.groupBy("what", "checkpoint_id").agg(F.sum("record_count").alias("n"))
+    return stored.unionAll(audit.stale.groupBy(F.lit("stale"), "checkpoint_id").agg(F.count("*")))
+
+
+def round_robin_ties(spark, sf_dir):
+    """In the order of a column with many equal values."""
+    return assign_round_robin(_table(spark, sf_dir, "lineitem").select("l_suppkey"), 10, order_by="l_suppkey")
+
+
+def round_robin_stream(spark, sf_dir):
+    """Rows per partition of a stream of several batches, one of which fails after its sink and is replayed."""
+    base = work_dir(spark, "round-robin")
+    failed: list[int] = []
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("the batch is not committed")
+
+    def run() -> None:
+        stream = read_log_table(spark, f"{base}/log/part=*").select(F.col("partition").alias("own"), "offset")
+        writer = stream.writeStream.foreachBatch(round_robin_batches(sink, 10, f"{base}/starts"))
+        writer.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+
+    for third in range(THIRDS):
+        _third(spark, sf_dir, third).write.parquet(f"{base}/log/part={third}")
+        tried = len(failed)
+        try:
+            run()
+        except StreamingQueryException:
+            if len(failed) == tried:
+                raise
+            run()
+    return spark.read.parquet(f"{base}/out").groupBy("partition").agg(F.count("*").alias("rows"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Offset audit of the whole log: both sinks together miss nothing."""
     return offset_summary_all(spark, SMOKE_DIR)
@@ -475,6 +656,16 @@ _QUERIES = [
     committed_audit,
     committed_gaps_output,
     committed_verdicts,
+    committed_pruned,
+    committed_stale,
+    committed_unread,
+    audit_report,
+    folded_audit,
+    ingest_reconciled,
+    suspended_audit,
+    suspended_stale,
+    round_robin_ties,
+    round_robin_stream,
 ]
 
 
@@ -602,6 +793,28 @@ SELECT sink, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(t
 FROM records GROUP BY ALL"""
 
 
+def _lines_sql(section: str, rows: str, columns: tuple[str, ...], order: str) -> str:
+    """Rows as right-aligned text below a header."""
+    widths = ", ".join(f"greatest(max(length(CAST({c} AS VARCHAR))), {len(c)}) AS w_{c}" for c in columns)
+    padded = " || '  ' || ".join(f"lpad(CAST({c} AS VARCHAR), CAST(w_{c} AS INTEGER), ' ')" for c in columns)
+    header = " || '  ' || ".join(f"lpad('{c}', CAST(w_{c} AS INTEGER), ' ')" for c in columns)
+    return f"""
+SELECT '{section}' AS section, 1 + row_number() OVER (ORDER BY {order}) AS line, {padded} AS text
+FROM ({rows}), (SELECT {widths} FROM ({rows}))
+UNION ALL SELECT '{section}', 1, {header} FROM (SELECT {widths} FROM ({rows}))"""
+
+
+def _report_sql() -> str:
+    columns = ("kafka_partition", "min_offset", "max_offset", "record_count", "distinct_offsets", "expected_count")
+    columns = (*columns, "missing_offsets", "duplicate_offsets")
+    gap_columns = ("kafka_partition", "gap_after", "resumes_at", "missing_count")
+    return f"""WITH {_RECORDS}, summary AS ({_summary_sql(_OUTPUT, *_COORDINATES)}),
+all_gaps AS ({_gaps_sql(_OUTPUT, *_COORDINATES)}), gaps AS (SELECT * FROM all_gaps ORDER BY kafka_partition, gap_after LIMIT 50)
+{_lines_sql("summary", "SELECT * FROM summary", columns, "kafka_partition")}
+UNION ALL {_lines_sql("gaps", "SELECT * FROM gaps", gap_columns, "kafka_partition, gap_after")}
+UNION ALL SELECT 'verdict', 1, 'FAIL: ' || CAST(sum(missing_offsets) AS VARCHAR) || ' missing offset(s)' FROM summary"""
+
+
 def oracle_sql() -> dict[str, str]:
     audit_all = f"WITH {_RECORDS} {_summary_sql('records', *_COORDINATES)}"
     output_summary = _summary_sql(_OUTPUT, *_COORDINATES)
@@ -677,4 +890,22 @@ def oracle_sql() -> dict[str, str]:
         "committed_verdicts": f"""WITH {_RECORDS} SELECT CASE case_name WHEN 'all' THEN 'both' WHEN 'nothing' THEN 'lost'
                 ELSE case_name END AS case_name, status, total_missing, total_duplicates, exit_code
             FROM ({cases}) WHERE case_name IN ('all', 'output', 'nothing')""",
+        "committed_pruned": f"""WITH {_RECORDS} SELECT uuid, timestamp, kafka_topic, kafka_partition, kafka_offset,
+            CAST(1 AS BIGINT) AS checkpoint_id FROM records WHERE (kafka_offset * 10 + kafka_partition) % 3 = 1""",
+        "committed_stale": """SELECT DISTINCT CASE WHEN (event_id // 10) % 10 = 0 THEN 'dropped' ELSE 'output' END AS source,
+            event_id % 3 AS checkpoint_id, event_id % 3 = 1 AND (event_id // 10) % 10 = 0 AS stale FROM events""",
+        "committed_unread": """SELECT 'rows' AS counted, count(*) AS n FROM events UNION ALL
+            SELECT * FROM (VALUES ('entries without rows', CAST(2 AS BIGINT)), ('entries without file', 1), ('missing offsets', 0))""",
+        "audit_report": _report_sql(),
+        "folded_audit": audit_all,
+        "ingest_reconciled": """SELECT event_id % 3 AS batch_id, CASE WHEN event_type = 'error' AND event_id % 3 = 1 THEN 'quarantine'
+                WHEN (event_id // 10) % 10 = 0 THEN 'dropped' ELSE 'output' END AS sink, count(*) AS observed, count(*) AS stored,
+            CAST(0 AS BIGINT) AS difference FROM events GROUP BY ALL""",
+        "suspended_audit": audit_all,
+        "suspended_stale": """SELECT 'stored' AS what, CAST(NULL AS BIGINT) AS checkpoint_id, count(*) AS n FROM events
+            UNION ALL SELECT 'stale', 1, 1""",
+        "round_robin_ties": """SELECT l_suppkey,
+            CAST((row_number() OVER (ORDER BY l_suppkey) - 1) % 10 AS INTEGER) AS partition FROM lineitem""",
+        "round_robin_stream": """SELECT partition, count(*) AS rows FROM (
+            SELECT CAST((row_number() OVER (ORDER BY event_id) - 1) % 10 AS INTEGER) AS partition FROM events) GROUP BY partition""",
 } | _optional()[1]

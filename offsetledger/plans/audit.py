@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from offsetledger.functions.ranges import parse_paths, parse_range
 from offsetledger.operators.offsets import (
     DEFAULT_KEYS,
+    REPORTED_GAPS,
     first_gaps,
     gaps_of_words,
     merge_words,
@@ -126,8 +128,63 @@ def rows_by_file(file_words: DataFrame) -> DataFrame:
     return file_words.filter("word is not null").groupBy("file_path").agg(F.sum("rows").alias("rows"))
 
 
+def report_lines(audit: Audit, limit: int = REPORTED_GAPS) -> DataFrame:
+    """The report as rows: `section`, `line` (from 1 in its section) and `text`.
+
+    Sections: entries, warnings, summary, verdict, gaps. A summary has a line for each log partition; of the gaps
+    there are the first `limit`, and only where offsets are missing.
+    """
+    one = F.lit(1).cast("long")
+    counts = entry_counts(audit.log).select(
+        F.row_number().over(Window.orderBy("source")).cast("long").alias("line"),
+        F.format_string("%s: %d log entries, %d files", "source", "entries", "distinct_files").alias("text"),
+    )
+    warnings = _warning(audit.stale, one, "%d log entries name files that do not exist")
+    if audit.unread is not None:
+        warnings = warnings.unionAll(_warning(audit.unread, one + 1, "%d log entries name files that gave no rows"))
+    verdict = audit.verdict.select(
+        one.alias("line"),
+        F.when(F.col("status") == "ERROR", F.format_string("ERROR: %d commit-log entries gave no offset", "entries"))
+        .when(F.col("status") == "FAIL", F.format_string("FAIL: %d missing offset(s)", "total_missing"))
+        .when(F.col("status") == "WARN", F.format_string("WARN: %d duplicate offset(s)", "total_duplicates"))
+        .otherwise("PASS: no offset is missing, none is duplicate")
+        .alias("text"),
+    )
+    sections = {
+        "entries": counts,
+        "warnings": warnings,
+        "summary": _table_lines(audit.summary, audit.keys),
+        "verdict": verdict,
+        "gaps": _table_lines(audit.gaps(limit), (*audit.keys, "gap_after")),
+    }
+    return reduce(DataFrame.unionAll, [rows.select(F.lit(name).alias("section"), "line", "text") for name, rows in sections.items()])
+
+
+def _warning(entries: DataFrame, line: Column, text: str) -> DataFrame:
+    """One line if there are entries, else none."""
+    counted = entries.agg(F.count("*").alias("n")).filter("n > 0")
+    return counted.select(line.alias("line"), F.concat(F.lit("WARNING: "), F.format_string(text, "n")).alias("text"))
+
+
+def _table_lines(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """The rows of a small frame as aligned columns of text below a header line."""
+    every = Window.partitionBy(F.lit(0))
+    cells = {name: F.coalesce(F.col(name).cast("string"), F.lit("None")) for name in df.columns}
+    widths = {f"_{name}": F.greatest(F.max(F.length(cells[name])).over(every), F.lit(len(name))) for name in df.columns}
+    placed = df.withColumns({**widths, "_at": F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))})
+    rows = placed.select(
+        (F.col("_at") + 1).cast("long").alias("line"),
+        F.concat_ws("  ", *[F.lpad(cells[name], F.col(f"_{name}"), " ") for name in df.columns]).alias("text"),
+    )
+    header = placed.filter("_at = 1").select(
+        F.lit(1).cast("long").alias("line"),
+        F.concat_ws("  ", *[F.lpad(F.lit(name), F.col(f"_{name}"), " ") for name in df.columns]).alias("text"),
+    )
+    return header.unionAll(rows)
+
+
 def render_report(audit: Audit) -> tuple[str, int]:
-    """The audit as text, and the exit code."""
+    """The audit's report lines as one text, and the exit code."""
     result = audit.verdict.first()
     if result.status == "ERROR":
         if not result.entries:
@@ -135,28 +192,14 @@ def render_report(audit: Audit) -> tuple[str, int]:
         gone = audit.stale.count()
         said = f"ERROR: {result.entries} commit-log entries for {audit.title} gave no offset, {gone} name lost files"
         return said, result.exit_code
-    lines = [f"Offset audit ({audit.title})"]
-    for row in entry_counts(audit.log).orderBy("source").collect():
-        lines.append(f"{row.source}: {row.entries} log entries, {row.distinct_files} files")
-    lost = audit.stale.count()
-    if lost:
-        lines.append(f"WARNING: {lost} log entries name files that do not exist")
-    unread = 0 if audit.unread is None else audit.unread.count()
-    if unread:
-        lines.append(f"WARNING: {unread} log entries name files that gave no rows")
-    lines += ["", *_table(audit.summary.orderBy(*audit.keys)), ""]
+    found: dict[str, list[tuple[int, str]]] = {}
+    for row in report_lines(audit).collect():
+        found.setdefault(row.section, []).append((row.line, row.text))
+    text = {name: [line for _, line in sorted(lines)] for name, lines in found.items()}
+    lines = [f"Offset audit ({audit.title})", *text.get("entries", []), *text.get("warnings", [])]
+    lines += ["", *text.get("summary", []), "", *text["verdict"]]
     if result.status == "FAIL":
-        lines += [f"FAIL: {result.total_missing} missing offset(s)", ""]
-        lines += _table(audit.gaps(limit=50))
+        lines += ["", *text.get("gaps", [])]
     elif result.status == "WARN":
-        lines += [f"WARN: {result.total_duplicates} duplicate offset(s)", "PASS: no offset is missing"]
-    else:
-        lines.append("PASS: no offset is missing, none is duplicate")
+        lines.append("PASS: no offset is missing")
     return "\n".join(lines), result.exit_code
-
-
-def _table(df: DataFrame) -> list[str]:
-    """All rows, as columns of text; a summary has a row for each log partition."""
-    cells = [df.columns] + [[str(value) for value in row] for row in df.toLocalIterator()]
-    widths = [max(map(len, column)) for column in zip(*cells)]
-    return ["  ".join(cell.rjust(width) for cell, width in zip(row, widths)) for row in cells]

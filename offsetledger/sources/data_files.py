@@ -33,7 +33,7 @@ NAMES_PER_GLOB = 128
 MAX_BROADCAST_FILES = 300_000
 
 
-def _existing(load, path: str | list[str]) -> DataFrame | None:
+def existing(load, path: str | list[str]) -> DataFrame | None:
     try:
         return load(path)
     except AnalysisException as error:
@@ -94,8 +94,8 @@ def list_files(spark: SparkSession, globs: list[str], recursive: bool = True) ->
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
     reader = reader.option("recursiveFileLookup", recursive)
-    whole = _existing(reader.load, globs) if globs else None
-    frames = [whole] if whole is not None else [_existing(reader.load, glob) for glob in globs]
+    whole = existing(reader.load, globs) if globs else None
+    frames = [whole] if whole is not None else [existing(reader.load, glob) for glob in globs]
     found = [frame.select(F.col("_metadata.file_path")) for frame in frames if frame is not None]
     if not found:
         return spark.createDataFrame([], "file_path string, s3_key string")
@@ -136,7 +136,7 @@ def _scan(spark: SparkSession, globs: list[str], root: str, levels: list[str], s
         globs = [f"{glob}/*.parquet" for glob in globs]
     if not strict:
         reader = reader.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
-    frames = [frame for glob in globs if (frame := _existing(reader.parquet, glob)) is not None]
+    frames = [frame for glob in globs if (frame := existing(reader.parquet, glob)) is not None]
     # Partition columns of a glob without any file are read as data.
     file = (F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"))
     frames = [frame.select(*schema.names, *levels, *file) for frame in frames]

@@ -216,4 +216,4 @@ def test_other_errors_are_not_swallowed(spark):
         raise AnalysisException("boom")
 
     with pytest.raises(AnalysisException):
-        D._existing(load, "x")
+        D.existing(load, "x")
