@@ -7,10 +7,10 @@ sum of squares of the numbers of windows at each fill level, full ones left out,
 Only that array of counts is searched, never the windows.
 
 Each task packs the rows of its own input split, in their order, so nothing is shuffled and a
-repeated task gives the same windows. What is still partly filled when a task ends is laid out once
-more end to end and cut at window borders; the last, short one is cut into lengths that are powers
-of two, which need no padding. So there is no padding at all, and at most one document is cut for
-each window left over.
+repeated task gives the same windows. Of what is still partly filled when a task ends, the fullest windows
+stay, as many as all of it will fill; what the others hold is cut to fill the room in these, and the last, short
+rest is cut into lengths that are powers of two, which need no padding. So there is no padding at all, and
+at most one document is cut for each window left over.
 
 Defined cases: a null or empty text is its closing id alone; repeated rows are packed each for
 itself; a table without rows gives none; extra columns are not read.
@@ -61,6 +61,9 @@ class WordEncoder:
         for token, at in vocabulary.items():
             self.ends[at] = token.endswith("</w>")
         self.known: dict[str, bytes] = {"": b""}
+        capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+        normalizer = self.tokenizer.normalizer
+        self.folds = normalizer is not None and normalizer.normalize_str(capitals) == capitals.lower()
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -78,7 +81,10 @@ class WordEncoder:
             known.clear()
             known[""] = b""
         marked = [w for w in words if w[-1] in ",." and w[:-1].isalpha()]
-        plain = list({w for w in words if w.isalpha()}.union(w[:-1] for w in marked if w[:-1] not in known))
+        bodies = {w for w in words if w.isalpha()}.union(w[:-1] for w in marked if w[:-1] not in known)
+        # Where the vocabulary has no capitals, a word with some is encoded as the one without.
+        lower = {w: w.lower() for w in bodies if w.isascii()} if self.folds else {}
+        plain = list({lower.get(w, w) for w in bodies}.difference(known))
         for at in range(0, len(plain), 512):
             some = plain[at : at + 512]
             ids = self._encode([" ".join(some)])[0]
@@ -90,6 +96,7 @@ class WordEncoder:
                     begin = stop
             else:  # a letter that the vocabulary takes apart
                 known.update((w, x.tobytes()) for w, x in zip(some, self._encode(some)))
+        known.update((w, known[low]) for w, low in lower.items())
         for mark in ",.":
             if mark not in known:
                 known[mark] = self._encode([mark])[0].tobytes()
@@ -158,10 +165,9 @@ class Levels:
         self.counts[level + size] += 1
         return None
 
-    def left(self) -> Iterator:
-        for level in sorted(self.open, reverse=True):
-            for pieces in self.open[level]:
-                yield from pieces
+    def left(self) -> list[tuple[int, list]]:
+        """Fill level and pieces of every open window, the fullest first."""
+        return [(level, pieces) for level in sorted(self.open, reverse=True) for pieces in self.open[level]]
 
 
 def _pack_split(batches: Iterator[pd.DataFrame], path: str, window: int, split: int) -> Iterator[pd.DataFrame]:
@@ -202,23 +208,39 @@ def _pack_split(batches: Iterator[pd.DataFrame], path: str, window: int, split:
         if rows:
             yield drain()
 
-    left = list(levels.left())
-    remaining = sum(len(piece[2]) // 4 for piece in left)
-    room = min(window, remaining) if remaining >= window else _power(remaining)
-    pieces: list = []
-    for doc, start, ids, tokens in left:
-        while ids:
-            take = min(len(ids) // 4, room)
-            pieces.append((doc, start, ids[: 4 * take], tokens))
-            start, ids, room, remaining = start + take, ids[4 * take :], room - take, remaining - take
-            if room == 0:
-                emit(pieces)
-                pieces = []
-                room = window if remaining >= window else _power(remaining)
+    # The fullest open windows stay as they are, as many as all that is left will fill; the others fill their room.
+    left = levels.left()
+    remaining = sum(fill for fill, _ in left)
+    kept, others = left[: remaining // window], left[remaining // window :]
+    donated = _Cutter([piece for _, pieces in others for piece in pieces])
+    for fill, pieces in kept:
+        emit(pieces + donated.take(window - fill))
+    remaining %= window
+    while remaining:
+        emit(donated.take(_power(remaining)))
+        remaining -= _power(remaining)
     if rows:
         yield drain()
 
 
+class _Cutter:
+    """Pieces laid end to end, to be taken off in any lengths."""
+
+    def __init__(self, pieces: list) -> None:
+        self.pieces = pieces[::-1]
+
+    def take(self, length: int) -> list:
+        out = []
+        while length:
+            doc, start, ids, tokens = self.pieces.pop()
+            n = min(len(ids) // 4, length)
+            out.append((doc, start, ids[: 4 * n], tokens))
+            if 4 * n < len(ids):
+                self.pieces.append((doc, start + n, ids[4 * n :], tokens))
+            length -= n
+        return out
+
+
 def _power(n: int) -> int:
     """The largest power of two up to n."""
     return 1 << (n.bit_length() - 1) if n else 0
