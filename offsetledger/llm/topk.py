@@ -33,6 +33,10 @@ SCALE = 256
 HEAD = 4096
 #: Queries of a group, and candidates that a slice is meant to have.
 GROUP, SLICE = 200_000, 500_000
+#: Bytes of a group's numbers, three times over in a task; with many components a group has fewer queries.
+GROUP_BYTES = 256 << 20
+#: Tasks that add up the others' statistics.
+ADDERS = 32
 #: Queries and candidates multiplied at once.
 _ROWS, _COLUMNS = 1024, 2048
 
@@ -64,6 +68,20 @@ def _statistics(dims: int):
     return run
 
 
+def _added(dims: int):
+    """The statistics of several tasks as one row; of no task as zeros."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums, most, n = np.zeros((dims, dims)), 0.0, 0
+        for batch in batches:
+            for raw in batch["sums"]:
+                sums += np.frombuffer(raw).reshape(dims, dims)
+            most, n = max(most, batch["most"].max()) if len(batch) else most, n + int(batch["n"].sum())
+        yield pd.DataFrame({"sums": [sums.tobytes()], "dims": [dims], "most": [most], "n": [n]})
+
+    return run
+
+
 def _pack(dims: int, kind: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -155,11 +173,12 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, group: int = GROUP, s
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.coalesce(sound, F.lit(False)))
     if isinstance(dims := rows.agg(F.max(F.size("v"))).first()[0], int) and dims > 0:
-        parts = rows.mapInPandas(_statistics(dims), _STATS)
-        sums, most, n = np.zeros((dims, dims)), 0.0, 0
-        for part in parts.toLocalIterator():  # dims^2 numbers from each task, one at a time
-            sums += np.frombuffer(part.sums).reshape(dims, dims)
-            most, n = max(most, part.most), n + part.n
+        # dims^2 numbers from each task are added in some tasks, then in one; the driver gets them once.
+        parts = rows.mapInPandas(_statistics(dims), _STATS).repartition(ADDERS)
+        total = parts.mapInPandas(_added(dims), _STATS).coalesce(1).mapInPandas(_added(dims), _STATS).first()
+        sums, most, n = np.frombuffer(total.sums).reshape(dims, dims), total.most, total.n
+        if most >= 2.0**63:
+            raise ValueError(f"a component of {most / SCALE:g} has no place in a long integer")
     else:
         dims, sums, most, n = 1, np.ones((1, 1)), 0.0, rows.count()
     energy, basis = np.linalg.eigh(sums)
@@ -184,7 +203,7 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, group: int = GROUP, s
 
     queries = packed.where(F.col("vec_id") % every == 0)
     queries = written(queries.mapInPandas(bounds, _VECTORS + ", bound double").withColumn("own", F.xxhash64("vector")), "queries")
-    groups = max(1, math.ceil(queries.count() / group))
+    groups = max(1, math.ceil(queries.count() / min(group, max(1, GROUP_BYTES // (8 * dims)))))
     slices = max(spark.sparkContext.defaultParallelism, math.ceil(n / slice_rows))
     g = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(groups)).cast("int")
     s = F.pmod(F.xxhash64("vec_id", "vector", F.lit(1)), F.lit(slices)).cast("int")

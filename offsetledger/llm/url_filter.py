@@ -52,7 +52,10 @@ RULES = (
 )
 
 #: A cascade is broadcast if all its levels together have no more bytes than this.
-MAX_CASCADE_BYTES = 256 << 20
+MAX_CASCADE_BYTES = 64 << 20
+#: Levels after which a cascade that does not get smaller is given up; chance alone would leave one key so long
+#: once in 10^15 times.
+STUCK_LEVELS = 24
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -141,13 +144,20 @@ def _filter_of(keys: DataFrame, n: int, rate: float, level: int) -> Level | None
 
 
 def build_cascade(universe: DataFrame, rate: float = 0.05) -> Cascade | None:
-    """From rows (key1, key2, listed), each key once. None if it outgrows `MAX_CASCADE_BYTES`."""
-    cascade, wrong, included = Cascade(), universe, True
+    """From rows (key1, key2, listed), each key once. None if it outgrows `MAX_CASCADE_BYTES`.
+
+    Each level leaves fewer keys of one kind; if none goes away for many levels, a listed key and another are the
+    same in both hashes, and no cascade can tell them apart: that is an error.
+    """
+    cascade, wrong, included, sizes = Cascade(), universe, True, []
     while True:
         keys = wrong.where(F.col("listed") == included)
         n = keys.count()
         if not n:
             return cascade
+        sizes.append(n)
+        if len(sizes) > STUCK_LEVELS and set(sizes[-1 - STUCK_LEVELS :: 2]) == {n}:
+            raise ValueError(f"{n} keys, listed={included}, can't be told from others by their hashes")
         at = len(cascade.levels)
         level = _filter_of(keys, n, rate, at)
         if level is None or sum(x.data.nbytes for x in cascade.levels) + level.data.nbytes > MAX_CASCADE_BYTES:
@@ -161,7 +171,7 @@ def build_cascade(universe: DataFrame, rate: float = 0.05) -> Cascade | None:
 
 
 def with_keys(df: DataFrame, host: str = "host") -> DataFrame:
-    return df.withColumn("key1", F.xxhash64(host)).withColumn("key2", F.xxhash64(host, F.lit(1)))
+    return df.withColumn("key1", F.xxhash64(host)).withColumn("key2", F.xxhash64(F.lit(1), host))
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

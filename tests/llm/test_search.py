@@ -79,3 +79,33 @@ def test_few_or_no_vectors(spark):
     assert [tuple(row) for row in T.top_k(frame).collect()] == [(0, 1, 1, 256 * 128 - 512 * 256)]
     assert T.top_k(frame.limit(0)).count() == 0
     assert T.top_k(frame.where("vec_id = 0").distinct()).count() == 0
+
+
+def test_components_beyond_a_long_are_an_error(spark):
+    vectors = spark.createDataFrame([(0, [1 / 256, 0.0]), (1, [1e300, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="long integer"):
+        T.top_k(vectors)
+
+
+def test_groups_are_sized_by_bytes(spark, monkeypatch):
+    dice = random.Random(3)
+    rows = [(n, [dice.gauss(0, 1) for _ in range(6)]) for n in range(200)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    before = sorted(map(tuple, T.top_k(vectors, every=7).collect()))
+    monkeypatch.setattr(T, "GROUP_BYTES", 6 * 8 * 3)
+    assert sorted(map(tuple, T.top_k(vectors, every=7).collect())) == before
+
+
+def test_second_keys_do_not_follow_from_first_ones(spark):
+    from pyspark.sql import functions as F
+
+    hosts = spark.createDataFrame([(f"h{n}",) for n in range(50)], "host string")
+    both = U.with_keys(hosts)
+    assert both.where(F.col("key2") == F.xxhash64(F.col("host"), F.lit(1))).count() == 0
+    assert both.select("key2").distinct().count() == 50
+
+
+def test_keys_that_are_the_same_end_in_an_error(spark):
+    universe = spark.createDataFrame([(1, 2, True), (1, 2, False), (3, 4, False)], "key1 long, key2 long, listed boolean")
+    with pytest.raises(ValueError, match="told from"):
+        U.build_cascade(universe)
