@@ -232,8 +232,10 @@ def _least_needed(n: Column, low: Column, high: Column) -> Column:
     falls by `slope` a size and three roundings move it by less than 3, so the least is near `high`.
     """
     slope = (SHARE - LONGER) / 100 - SHARE / (100 + SHARE)
-    beyond = [_needed(n, F.greatest(n, high - back)) for back in range(int(3 / slope) + 1)]
-    return F.least(_needed(low, n), _needed(n, n), *beyond)
+    # As one array: written out, the terms make a method that the JVM does not compile.
+    backs = F.array(*map(F.lit, range(int(3 / slope) + 1)))
+    beyond = F.transform(backs, lambda back: _needed(n, F.greatest(n, high - back)))
+    return F.least(_needed(low, n), _needed(n, n), F.array_min(beyond))
 
 
 def _enough(na: str, nb: str, common: str) -> Column:
@@ -259,6 +261,22 @@ def _labelled(rows: DataFrame, joined: DataFrame | None) -> DataFrame:
     return rows.join(names, "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
 
 
+def _grown(joined: DataFrame | None, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """Components after more links: only links between components go through the contraction."""
+    if joined is None:
+        return components(found, scratch)
+    ends = found.select(F.col("a").alias("class_id")).union(found.select("b")).distinct()
+    ends = _labelled(ends, joined).select(F.col("class_id").alias("node"), "component")
+    names = scratch.written(ends, "ends")
+    a = names.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    b = names.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    between = components(found.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")), scratch)
+    nodes = joined.unionByName(names.join(joined.select("node"), "node", "left_anti"))
+    upper = between.select(F.col("node").alias("component"), F.col("component").alias("name"))
+    nodes = nodes.join(upper, "component", "left").select("node", F.coalesce("name", "component").alias("component"))
+    return scratch.written(nodes, "components")
+
+
 def _star_pairs(rows: DataFrame, turn: int) -> DataFrame:
     """Each class with the hubs of most of the values it shares with them; a turn has two hubs for a value."""
     pairs = []
@@ -274,7 +292,7 @@ def _star_pairs(rows: DataFrame, turn: int) -> DataFrame:
     return pairs[0].union(pairs[1]).distinct()
 
 
-def _across(rows: DataFrame) -> DataFrame:
+def _across(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """Of `rows` (token, class_id, n, component) those of sets that share enough with any others of possible
     size, in groups that hold several components, with the size `k` of their group.
 
@@ -290,7 +308,10 @@ def _across(rows: DataFrame) -> DataFrame:
         low = F.greatest(F.min("low").over(own), F.ceil(SHARE * n / 100))
         high = F.least(F.max("high").over(own), F.floor(100 * n / SHARE))
         rows = rows.withColumns({"least": low, "most": high, "c": F.count("*").over(own)})
+        # Whatever its size, a partner needs more of a set's prefix than what that is longer by.
+        rows = rows.where(100 * F.col("c") > LONGER * n)
         rows = rows.withColumn("needed", _least_needed(n, F.col("least"), F.col("most"))).where("c >= needed").drop("low", "high", "least", "most")
+        rows = scratch.written(rows, "across")  # the next round reads them twice
     return rows
 
 
@@ -367,8 +388,7 @@ def _near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
         found = written(_verified(pairs, sets), "found") if tried else pairs
         joins = found.count() if tried else 0
         if joins:
-            links = links.unionAll(found)
-            joined = components(links, scratch)
+            joined = _grown(joined, found, scratch)
         if joins * WORTHWHILE <= tried:
             break
 
@@ -378,7 +398,7 @@ def _near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     tokens = tokens.withColumn("k", F.count("*").over(Window.partitionBy("bucket"))).where((F.col("k") > 1) | salted)
     base = F.col("bucket").bitwiseAND(~((1 << _SALT_BITS) - 1)).alias("token")
     tokens = _labelled(tokens.select(base, "sig1").join(classes.select("sig1", "class_id", "n"), "sig1").drop("sig1"), joined)
-    rest = written(_across(written(tokens.distinct(), "tokens")), "rest")  # copies in several tasks are one
+    rest = _across(written(tokens.distinct(), "tokens"), scratch)  # copies in several tasks are one
     pairs = written(_all_pairs(rest), "pairs")
     if not pairs.isEmpty():
         lacking = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct().join(sets, "class_id", "left_anti")
@@ -387,12 +407,11 @@ def _near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
         best = best.agg(F.max_by(F.struct("a", "b"), F.struct("common", "a", "b")).alias("pair")).select("pair.*")
         found = written(_verified(best, sets), "found")
         if not found.isEmpty():
-            links = links.unionAll(found)
-            joined = components(links, scratch)
+            joined = _grown(joined, found, scratch)
             pairs = _relabelled(pairs, joined)
         found = written(_verified(pairs.join(best, ["a", "b"], "left_anti"), sets), "found")
         if not found.isEmpty():
-            joined = components(links.unionAll(found), scratch)
+            joined = _grown(joined, found, scratch)
 
     # A component is named by the least id of its rows.
     rows = _labelled(members, joined)
