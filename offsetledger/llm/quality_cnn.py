@@ -169,6 +169,8 @@ def train(docs: DataFrame, labels: DataFrame, training: Training = Training()) -
             yield batch[["doc_id", "quality"]].assign(chunks=cuts)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
+    # Of rows that share an id one text counts, so no more come back than ids were drawn.
+    texts = texts.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     rows = texts.mapInPandas(cut, "doc_id long, quality int, chunks binary").collect()
     rows.sort(key=lambda row: (row.doc_id, row.quality, bytes(row.chunks)))
     if len({row.quality for row in rows}) < 2:

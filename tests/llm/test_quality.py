@@ -17,12 +17,54 @@ def test_rules_by_hand(documents):
     assert rows[1].base_failed is False and rows[1].n_failed_lines == 9
     assert rows[3].n_words == rows[4].n_words == rows[5].n_words == 0
     assert (rows[6].n_words, rows[6].n_repeat_words, rows[6].base_failed) == (80, 80, True)
-    assert (rows[7].n_dup_lines, rows[7].n_failed_lines) == (2, 1)
+    assert (rows[7].n_dup_lines, rows[7].n_failed_lines) == (2, 4)  # a notice and three entries without an end mark
     assert rows[9].n_repeat_words == 30_000
 
 
+LINES = [
+    ("Some sentence that goes on and then breaks off...", True),
+    ("Another one\u2026  ", True),
+    ("https://a.org/x  www.b.org", True),
+    ("See https://a.org/x for more.", False),
+    ("Home", True),
+    ("Home.", False),
+    ('He said "no."', False),
+    ("Ein kurzes, aber doch recht langes Wortungeheuer", False),
+    ("\u2022 two words", True),
+    ("- two words.", False),
+    ("\u2022 a point with rather more than a few words", False),
+    ("Back to top of this page of ours.", True),
+    ("a & b & c & d", True),
+    ("one | two | three", True),
+    ("\u4eca\u65e5\u306f\u3002", False),
+]
+
+
+def test_each_line_rule(documents):
+    for text, fails in LINES:
+        (row,) = R.quality_rules(documents([GOOD + "\n" + text])).collect()
+        assert (row.n_failed_lines == 1) == fails, text
+    (row,) = R.judge(documents([GOOD + "\n" + "\n".join(text for text, _ in LINES)])).select("rules.*").collect()
+    assert row.clean_text.split("\n") == [GOOD, *(text for text, fails in LINES if not fails)]
+
+
+def test_results_can_be_filtered(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    every = {row.doc_id: row for row in R.quality_rules(docs).collect()}
+    for condition, test in (
+        ("kept", lambda row: row.kept),
+        ("not base_failed", lambda row: not row.base_failed),
+        ("n_words > 300 and n_repeat_words < 5", lambda row: row.n_words > 300 and row.n_repeat_words < 5),
+        ("lost_chars > 0 or n_dup_lines > 0", lambda row: row.lost_chars > 0 or row.n_dup_lines > 0),
+    ):
+        found = {row.doc_id: row for row in R.quality_rules(docs).where(condition).collect()}
+        assert found == {key: row for key, row in every.items() if test(row)}, condition
+    assert R.judge(docs).where("rules.kept").count() == sum(row.kept for row in every.values())
+
+
 def test_rules_equal_their_sql(documents):
-    docs = documents(TEXTS, [(0, GOOD, None, None, None), (0, GOOD, None, None, None), (None, MENU, "x", "y", 1)])
+    texts = TEXTS + [GOOD + "\n" + text for text, _ in LINES]
+    docs = documents(texts, [(0, GOOD, None, None, None), (0, GOOD, None, None, None), (None, MENU, "x", "y", 1)])
     connection = duckdb.connect()
     connection.register("documents", docs.toArrow())
     result = R.quality_rules(docs)
