@@ -1,8 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from offsetledger import schemas
 from offsetledger.operators import records as R
-from offsetledger.operators.round_robin import assign_round_robin
+from offsetledger.operators.round_robin import assign_round_robin, dense_position, round_robin_batches
 
 GOOD = b'{"uuid":"u%d","timestamp":%d}'
 
@@ -110,3 +111,36 @@ def test_ordered_round_robin_by_time(spark):
     df = spark.range(50).select(F.timestamp_seconds(F.col("id") * 60).alias("at"), "id")
     rows = assign_round_robin(df, 4, "at", 20).collect()
     assert all(row.partition == row.id % 4 for row in rows) and len(rows) == 50
+
+
+@pytest.mark.parametrize("crash", [False, True])
+def test_a_stream_goes_round_exactly_over_batches_and_replays(spark, tmp_path, crash):
+    sizes = [17, 1, 0, 40, 5]
+    taken, failed = {}, []
+
+    def sink(batch, batch_id):
+        taken[batch_id] = [row.partition for row in batch.collect()]
+        if crash and batch_id == 3 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost")
+
+    state = str(tmp_path / "starts")
+    for batch_id, n in enumerate(sizes):
+        frame = spark.range(n).repartition(3)
+        process = round_robin_batches(sink, 7, state)  # a new driver each time
+        try:
+            process(frame, batch_id)
+        except RuntimeError:
+            process(frame, batch_id)
+    counts = [sum(taken[batch].count(partition) for batch in taken) for partition in range(7)]
+    assert sum(counts) == sum(sizes) and max(counts) - min(counts) <= 1
+    assert [len(taken[batch]) for batch in range(5)] == sizes and failed == ([3] if crash else [])
+
+
+def test_ordered_round_robin_of_strings_and_of_one_value(spark):
+    rows = spark.range(500).selectExpr("cast(id % 3 as string) as name", "id")
+    placed = dense_position(rows, "name", rows_per_slice=20).collect()
+    assert sorted(row._position for row in placed) == list(range(500))
+    assert [row.name for row in sorted(placed, key=lambda row: row._position)] == sorted(row.name for row in placed)
+    same = assign_round_robin(spark.range(100).selectExpr("1 as x", "id"), 8, order_by="x")
+    assert sorted(row["count"] for row in same.groupBy("partition").count().collect()) == [12] * 4 + [13] * 4
