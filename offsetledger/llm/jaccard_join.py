@@ -13,8 +13,10 @@ shingle need not become g^2 pairs:
   with other hubs, among what is not joined yet, as long as that joins many;
 * the rest, exactly: two sets that are similar enough share a shingle among the first fifth of each, and one more for
   each shingle that this prefix is made longer by. Prefixes are grouped by shingle, groups inside one component
-  fall out, then sets that share less than any partner of possible size would need; of what is left every pair across
-  components that shares enough of its prefixes is counted, first the best pair between two components.
+  fall out, then sets that share less than any partner of possible size would need. What is left goes through
+  stars again, now with hubs of each shingle's group, so that a group of copies that are only just similar grows together
+  first; of what is open then every pair across components that shares enough of its prefixes is counted, first the best
+  pair between two components. A pair that shares many shingles is made where it meets first, or nearly so.
 
 So no link between components is missed, and a large group of copies costs a few pairs a member.
 
@@ -57,6 +59,10 @@ COUNTED, REPORTED = 8_000_000, 3
 GROUP = 50_000
 #: Hash functions whose least values are kept, and how many must agree for a pair to be counted in a star.
 LEAST_VALUES, VOTES = 12, 6
+#: Shingles before its own that a row of a prefix knows: two sets that share one of them have met there.
+EARLIER = 4
+#: One of so many classes is drawn for the hubs of a round; the first hubs are drawn from all.
+DRAW = 8
 #: Stars are tried while a round joins at least one of so many pairs.
 WORTHWHILE = 50
 MAX_STAR_ROUNDS = 5
@@ -201,6 +207,15 @@ def _sets_of(texts: DataFrame, classes: DataFrame, order: Order) -> DataFrame:
     return sets.dropDuplicates(["class_id", "fragment"])  # rows may repeat each other
 
 
+def _completed(sets: DataFrame, pairs: DataFrame, texts: DataFrame, classes: DataFrame, order: Order, scratch: Scratch) -> DataFrame:
+    """`sets` with those of the classes in `pairs` that it lacks."""
+    lacking = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct().join(sets, "class_id", "left_anti")
+    lacking = scratch.written(lacking, "lacking")
+    if lacking.isEmpty():
+        return sets
+    return sets.unionAll(scratch.written(_sets_of(texts, classes.join(lacking, "class_id", "left_semi"), order), "sets"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that are similar enough: overlaps per fragment, summed."""
     a = sets.select(F.col("class_id").alias("a"), F.col("n").alias("na"), "fragment", F.col("tokens").alias("ta"))
@@ -238,12 +253,6 @@ def _least_needed(n: Column, low: Column, high: Column) -> Column:
     return F.least(_needed(low, n), _needed(n, n), F.array_min(beyond))
 
 
-def _enough(na: str, nb: str, common: str) -> Column:
-    """Whether sets of these sizes can be similar with so many common shingles in their prefixes."""
-    sizes = 100 * F.least(na, nb) >= SHARE * F.greatest(na, nb)
-    return sizes & (F.col(common) >= _needed(F.col(na), F.col(nb)))
-
-
 def _near_size(na: str, nb: str) -> Column:
     return 100 * F.least(na, nb) >= SHARE * F.greatest(na, nb)
 
@@ -277,16 +286,21 @@ def _grown(joined: DataFrame | None, found: DataFrame, scratch: Scratch) -> Data
     return scratch.written(nodes, "components")
 
 
-def _star_pairs(rows: DataFrame, turn: int) -> DataFrame:
-    """Each class with the hubs of most of the values it shares with them; a turn has two hubs for a value."""
+def _star_pairs(rows: DataFrame, turn: int, least: int = VOTES) -> DataFrame:
+    """Each class with the hubs of most of the values it shares with them, `least` at least; a turn has two hubs for a value.
+
+    The hub of a value is the most `central` of a draw of its classes: the one whose values most others have too, as the
+    text has that the others were copied from. Of two copies each may be similar to that one only.
+    """
     pairs = []
     for seed in (2 * turn, 2 * turn + 1):
-        place = F.struct(F.xxhash64("class_id", F.lit(seed)).alias("at"), "class_id", "n", "component")
+        drawn = F.pmod(F.xxhash64("class_id", F.lit(seed)), F.lit(DRAW)) if seed else F.lit(0)
+        place = F.struct((drawn != 0).alias("out"), (-F.col("central")).alias("at"), "class_id", "n", "component")
         hubs = rows.groupBy("at", "value").agg(F.min(place).alias("hub"), F.min("component").alias("low"), F.max("component").alias("high"))
         hubs = hubs.where("low < high").drop("low", "high")
         votes = rows.join(hubs, ["at", "value"]).where("component <> hub.component")
         votes = votes.groupBy("class_id", "n", F.col("hub.class_id").alias("h"), F.col("hub.n").alias("hn")).agg(F.count("*").alias("votes"))
-        likely = votes.where((F.col("votes") >= VOTES) & _near_size("n", "hn"))
+        likely = votes.where((F.col("votes") >= least) & _near_size("n", "hn"))
         best = likely.groupBy("class_id").agg(F.max_by("h", F.struct("votes", F.xxhash64("h", F.lit(seed)))).alias("h"))
         pairs.append(best.select(F.least("class_id", "h").alias("a"), F.greatest("class_id", "h").alias("b")))
     return pairs[0].union(pairs[1]).distinct()
@@ -315,30 +329,57 @@ def _across(rows: DataFrame, scratch: Scratch) -> DataFrame:
     return rows
 
 
-def _all_pairs(rows: DataFrame) -> DataFrame:
-    """Every pair across components that has enough common shingles in both prefixes, with their number.
+def _reopened(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """Of the rows of `_across` those that are open still when classes have been joined."""
+    rows = _labelled(rows.select("token", "class_id", "n", "needed"), joined)
+    known = rows.groupBy("token").agg(F.count("*").alias("k"), F.min("component").alias("first"), F.max("component").alias("last"))
+    rows = rows.join(known.where("first < last").drop("first", "last"), "token")
+    return rows.withColumn("c", F.count("*").over(Window.partitionBy("class_id"))).where("c >= needed")
+
+
+def _telling(rows: DataFrame) -> DataFrame:
+    """Of each set's open shingles those of which it shares one with any set that is similar enough.
 
     A set whose partner needs m of its c open shingles shares one of the first c - m + 1 with it, in any
-    order that is the same for both sets; here those in the smallest groups come first. Only these make
-    pairs, of sets in one or in neighbouring bands of size, and all open shingles are compared afterwards.
+    order that is the same for both sets; here those in the smallest groups come first.
     """
     first = Window.partitionBy("class_id").orderBy("k", "token")
-    telling = rows.withColumn("place", F.row_number().over(first)).where("place <= c - needed + 1")
+    earlier = F.collect_list("token").over(first.rowsBetween(-EARLIER, -1))
+    return rows.withColumns({"place": F.row_number().over(first), "earlier": earlier}).where("place <= c - needed + 1")
+
+
+def _meetings(rows: DataFrame) -> DataFrame:
+    """(a, b) of sets across components that share a telling shingle, in one or in neighbouring bands of size.
+
+    Every such pair is there once at least, with the first telling shingle that both have. At a later one it is left
+    out if both have one of the few shingles before it in common, for it has been made at that one, or before.
+    """
+    telling = _telling(rows)
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / SHARE))).cast("int")
-    x = telling.select("token", F.col("class_id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), band.alias("band"))
-    y = telling.select("token", F.col("class_id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), band.alias("own"))
+    x = telling.select("token", F.col("class_id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("earlier").alias("ea"), band.alias("band"))
+    y = telling.select("token", F.col("class_id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("earlier").alias("eb"), band.alias("own"))
     # Sizes up to a band apart lie in the same or a neighbouring band; the smaller set looks upwards.
-    y = y.select("token", "b", "nb", "cb", F.explode(F.array(F.col("own"), F.col("own") - 1)).alias("band"))
+    y = y.select("token", "b", "nb", "cb", "eb", F.explode(F.array(F.col("own"), F.col("own") - 1)).alias("band"))
     smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    pairs = x.join(y, ["token", "band"]).where(smaller & (F.col("ca") != F.col("cb")) & _near_size("na", "nb"))
-    pairs = pairs.select("a", "na", "ca", "b", "nb", "cb").distinct()
-    own = rows.groupBy("class_id").agg(F.collect_set("token").alias("tokens"))
-    pairs = pairs.join(own.select(F.col("class_id").alias("a"), F.col("tokens").alias("ta")), "a")
-    pairs = pairs.join(own.select(F.col("class_id").alias("b"), F.col("tokens").alias("tb")), "b")
-    counted = pairs.select("a", "na", "ca", "b", "nb", "cb", F.size(F.array_intersect("ta", "tb")).alias("common"))
+    new = smaller & (F.col("ca") != F.col("cb")) & _near_size("na", "nb") & ~F.arrays_overlap("ea", "eb")
+    return x.join(y, ["token", "band"]).where(new).select("a", "b")
+
+
+def _counted(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Of the pairs (a, b) those that have enough common shingles in both prefixes, with their number."""
+    own = rows.groupBy("class_id").agg(F.collect_set("token").alias("tokens"), F.first("n").alias("n"), F.first("component").alias("component"))
+    for side in "ab":
+        side_of = own.select(F.col("class_id").alias(side), F.col("tokens").alias(f"t{side}"), F.col("n").alias(f"n{side}"), F.col("component").alias(f"c{side}"))
+        pairs = pairs.join(side_of, side)
+    counted = pairs.withColumn("common", F.size(F.array_intersect("ta", "tb")))
     return counted.where(_enough("na", "nb", "common")).select("a", "ca", "b", "cb", "common")
 
 
+def _all_pairs(rows: DataFrame) -> DataFrame:
+    """Every pair across components that has enough common shingles in both prefixes, with their number."""
+    return _counted(_meetings(rows).distinct(), rows)
+
+
 def _relabelled(pairs: DataFrame, joined: DataFrame) -> DataFrame:
     """The pairs that still lie across components."""
     for side, label in (("a", "ca"), ("b", "cb")):
@@ -377,9 +418,10 @@ def _near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
     # Stars among the classes that share most of their least values with others.
     values = classes.select("class_id", "n", F.posexplode("least").alias("at", "value"))
-    shared = values.groupBy("at", "value").agg(F.count("*").alias("k")).where("k > 1").drop("k")
-    open_ = values.join(shared, ["at", "value"]).withColumn("c", F.count("*").over(Window.partitionBy("class_id")))
-    open_ = written(open_.where(F.col("c") >= VOTES).drop("c"), "open")
+    shared = values.groupBy("at", "value").agg(F.count("*").alias("k")).where("k > 1")
+    own = Window.partitionBy("class_id")
+    open_ = values.join(shared, ["at", "value"]).withColumns({"c": F.count("*").over(own), "central": F.sum("k").over(own)})
+    open_ = written(open_.where(F.col("c") >= VOTES).drop("c", "k"), "open")
     sets = _sets_of(texts, classes.join(open_.select("class_id").distinct(), "class_id", "left_semi"), order)
     sets = written(sets, "sets")
     for turn in range(MAX_STAR_ROUNDS):
@@ -399,10 +441,23 @@ def _near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     base = F.col("bucket").bitwiseAND(~((1 << _SALT_BITS) - 1)).alias("token")
     tokens = _labelled(tokens.select(base, "sig1").join(classes.select("sig1", "class_id", "n"), "sig1").drop("sig1"), joined)
     rest = _across(written(tokens.distinct(), "tokens"), scratch)  # copies in several tasks are one
+    for turn in range(MAX_STAR_ROUNDS):
+        central = (100 * F.sum("k").over(own) / F.col("n")).cast("long").alias("central")
+        hubs = _telling(rest.select("*", central)).select(F.lit(0).alias("at"), F.col("token").alias("value"), "class_id", "n", "component", "central")
+        pairs = written(_counted(_star_pairs(hubs, turn, 1), rest), "pairs")
+        tried = pairs.count()
+        if tried:
+            sets = _completed(sets, pairs, texts, classes, order, scratch)
+        found = written(_verified(pairs, sets), "found") if tried else pairs
+        joins = found.count() if tried else 0
+        if joins:
+            joined = _grown(joined, found, scratch)
+            rest = written(_reopened(rest, joined), "open")
+        if joins * WORTHWHILE <= tried:
+            break
     pairs = written(_all_pairs(rest), "pairs")
     if not pairs.isEmpty():
-        lacking = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct().join(sets, "class_id", "left_anti")
-        sets = sets.unionAll(written(_sets_of(texts, classes.join(lacking, "class_id", "left_semi"), order), "sets"))
+        sets = _completed(sets, pairs, texts, classes, order, scratch)
         best = pairs.groupBy(F.least("ca", "cb").alias("x"), F.greatest("ca", "cb").alias("y"))
         best = best.agg(F.max_by(F.struct("a", "b"), F.struct("common", "a", "b")).alias("pair")).select("pair.*")
         found = written(_verified(best, sets), "found")

@@ -187,6 +187,38 @@ def test_a_hot_group_without_similar_texts(documents, monkeypatch):
     assert [rows[at].component_id for at in range(len(texts))] == names and len(set(names)) > 300
 
 
+def test_pairs_of_a_large_group_grow_with_its_size(documents, monkeypatch):
+    """Copies of one text that are just similar to it, and seldom to each other: the text joins them, not their pairs."""
+    pairs, dice = [], random.Random(21)
+    monkeypatch.setattr(J, "VOTES", J.LEAST_VALUES + 1)  # no stars by least values
+    all_pairs = J._all_pairs
+    monkeypatch.setattr(J, "_all_pairs", lambda rows: pairs.append(all_pairs(rows).count()) or all_pairs(rows))
+    base = [dice.choice(WORDS) for _ in range(140)]
+    texts = [" ".join(base)]
+    for at in range(150):
+        words = list(base)
+        for place in dice.sample(range(5, 135), 2):
+            words[place] = f"x{at}y{place}"
+        texts.append(" ".join(words))
+    sizes, names = brute_components(texts)
+    rows = {row.doc_id: row for row in J.near_duplicates(documents(texts)).collect()}
+    assert [rows[at].component_id for at in range(len(texts))] == names == [0] * len(texts)
+    assert pairs[0] < 2 * len(texts)
+
+
+def test_a_pair_is_made_where_it_meets_first(spark):
+    """Every pair shares its telling shingles in a row; with one in two of them lost no pair is."""
+    dice, tokens = random.Random(4), range(60)
+    sets = {at: sorted(dice.sample(tokens, 45)) if at % 2 else list(tokens) for at in range(40)}
+    rows = [(token, at, 60, 30, len(own), 5, at) for at, own in sets.items() for token in own]
+    rows = spark.createDataFrame(rows, "token long, class_id long, n long, needed long, c long, k long, component long")
+    told = {at: set(own[: len(own) - 30 + 1]) for at, own in sets.items()}
+    wanted = {(a, b) for a in sets for b in sets if a < b and told[a] & told[b]}
+    found = [tuple(row) for row in J._meetings(rows).collect()]
+    assert set(found) == wanted and len(found) < 1.5 * len(wanted)
+    assert sum(len(told[a] & told[b]) for a, b in wanted) > 8 * len(wanted)
+
+
 def test_rows_under_one_id_are_one_node_and_tables_on_the_way_go(documents, monkeypatch, tmp_path):
     a, b, c = (" ".join(WORDS[at : at + 40]) for at in (0, 50, 100))
     docs = documents([a, b, c], [(5, a, "x", "y", 1), (5, b, "x", "y", 1), (7, c, "x", "y", 1), (7, "", "x", "y", 1), (None, "alone " * 9, "x", "y", 1)])
