@@ -130,7 +130,7 @@ def _scan(spark: SparkSession, globs: list[str], root: str, levels: list[str], s
     """The rows below some directories of one table, with the directories' values as strings."""
     reader = spark.read.schema(StructType([*schema.fields, *(StructField(level, StringType()) for level in levels)]))
     if levels:
-        reader = reader.option("basePath", glob_escape(root))
+        reader = reader.option("basePath", root)
     else:
         # A folder's own files: the glob is for files, so tables in folders below are not listed.
         globs = [f"{glob}/*.parquet" for glob in globs]

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from offsetledger.functions.paths import decode_path, glob_escape, one_of, partition_value
+from offsetledger.functions.paths import decode_path, one_of, partition_value
 from offsetledger.functions.timecols import bucket_columns
 from offsetledger.operators.records import (
     DROPPED,
@@ -112,7 +112,7 @@ def _written_files(spark: SparkSession, path: str, folders: list[str], rows: int
         raise RuntimeError(f"no data file below {path}/{min(lost)}: the batch must not be logged as complete")
     number = sum(row.files for row in found)
     # Only the files' footers are read.
-    stored = spark.read.option("basePath", glob_escape(path.rstrip("/"))).parquet(*globs).count()
+    stored = spark.read.option("basePath", path.rstrip("/")).parquet(*globs).count()
     if stored != rows:
         raise RuntimeError(f"{number} files of a batch hold {stored} rows instead of {rows}")
     return files, number
