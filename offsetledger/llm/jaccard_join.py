@@ -365,9 +365,11 @@ def _meetings(rows: DataFrame) -> DataFrame:
     return x.join(y, ["token", "band"]).where(new).select("a", "b")
 
 
-def _counted(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+def _counted(pairs: DataFrame, rows: DataFrame, scratch: Scratch) -> DataFrame:
     """Of the pairs (a, b) those that have enough common shingles in both prefixes, with their number."""
-    own = rows.groupBy("class_id").agg(F.collect_set("token").alias("tokens"), F.first("n").alias("n"), F.first("component").alias("component"))
+    pairs = scratch.written(pairs, "meetings")
+    ends = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
+    own = rows.join(ends, "class_id", "left_semi").groupBy("class_id").agg(F.collect_set("token").alias("tokens"), F.first("n").alias("n"), F.first("component").alias("component"))
     for side in "ab":
         side_of = own.select(F.col("class_id").alias(side), F.col("tokens").alias(f"t{side}"), F.col("n").alias(f"n{side}"), F.col("component").alias(f"c{side}"))
         pairs = pairs.join(side_of, side)
@@ -375,9 +377,9 @@ def _counted(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return counted.where(_enough("na", "nb", "common")).select("a", "ca", "b", "cb", "common")
 
 
-def _all_pairs(rows: DataFrame) -> DataFrame:
+def _all_pairs(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """Every pair across components that has enough common shingles in both prefixes, with their number."""
-    return _counted(_meetings(rows).distinct(), rows)
+    return _counted(_meetings(rows).distinct(), rows, scratch)
 
 
 def _relabelled(pairs: DataFrame, joined: DataFrame) -> DataFrame:
@@ -444,7 +446,7 @@ def _near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     for turn in range(MAX_STAR_ROUNDS):
         central = (100 * F.sum("k").over(own) / F.col("n")).cast("long").alias("central")
         hubs = _telling(rest.select("*", central)).select(F.lit(0).alias("at"), F.col("token").alias("value"), "class_id", "n", "component", "central")
-        pairs = written(_counted(_star_pairs(hubs, turn, 1), rest), "pairs")
+        pairs = written(_counted(_star_pairs(written(hubs, "hubs"), turn, 1), rest, scratch), "pairs")
         tried = pairs.count()
         if tried:
             sets = _completed(sets, pairs, texts, classes, order, scratch)
@@ -455,7 +457,7 @@ def _near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
             rest = written(_reopened(rest, joined), "open")
         if joins * WORTHWHILE <= tried:
             break
-    pairs = written(_all_pairs(rest), "pairs")
+    pairs = written(_all_pairs(rest, scratch), "pairs")
     if not pairs.isEmpty():
         sets = _completed(sets, pairs, texts, classes, order, scratch)
         best = pairs.groupBy(F.least("ca", "cb").alias("x"), F.greatest("ca", "cb").alias("y"))

@@ -192,7 +192,7 @@ def test_pairs_of_a_large_group_grow_with_its_size(documents, monkeypatch):
     pairs, dice = [], random.Random(21)
     monkeypatch.setattr(J, "VOTES", J.LEAST_VALUES + 1)  # no stars by least values
     all_pairs = J._all_pairs
-    monkeypatch.setattr(J, "_all_pairs", lambda rows: pairs.append(all_pairs(rows).count()) or all_pairs(rows))
+    monkeypatch.setattr(J, "_all_pairs", lambda *rows: pairs.append(all_pairs(*rows).count()) or all_pairs(*rows))
     base = [dice.choice(WORDS) for _ in range(140)]
     texts = [" ".join(base)]
     for at in range(150):
